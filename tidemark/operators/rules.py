@@ -17,11 +17,16 @@ ALERT_COLUMNS = ("sensor_id", "alert_type", "timestamp", "details")
 
 @dataclass(frozen=True)
 class Rule:
-    """An alert rule as data; a new rule needs no new operator."""
+    """An alert rule as data; a new rule needs no new operator.
+
+    ``prescreen`` is a plain comparison that holds wherever the rule fires (and maybe elsewhere);
+    unlike a NaN test it can be handed to the scan. By default it is the rule itself.
+    """
 
     alert_type: str
     fires: Callable[[], Column]
     details: Callable[[], Column]
+    prescreen: Callable[[], Column] | None = None
 
 
 def high_temperature(threshold: float = 35.0) -> Rule:
@@ -29,6 +34,7 @@ def high_temperature(threshold: float = 35.0) -> Rule:
         "HIGH_TEMPERATURE",
         lambda: scalars.greater_than("temperature", threshold),
         lambda: scalars.temperature_text(threshold),
+        lambda: F.col("temperature") > F.lit(float(threshold)),
     )
 
 
@@ -39,6 +45,9 @@ def low_humidity(threshold: float = 0.2, mode: str = "below") -> Rule:
         "LOW_HUMIDITY",
         lambda: compare("humidity", threshold),
         lambda: scalars.humidity_text(threshold),
+        lambda: F.col("humidity") < F.lit(float(threshold))
+        if mode == "below"
+        else F.col("humidity") > F.lit(float(threshold)),
     )
 
 
@@ -53,8 +62,8 @@ def default_rules(params: AlertParams | None = None) -> list[Rule]:
 def raise_alerts(telemetry: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     """Fan every row out to one alert per rule that fires.
 
-    The leading filter repeats the rules so that a table scan can skip row groups in which no
-    rule can fire. No exchange, and the source is read once.
+    The leading filter lets a table scan skip row groups in which no rule can fire. No exchange,
+    and the source is read once.
     """
     rules = default_rules() if rules is None else rules
     fired = [
@@ -64,7 +73,7 @@ def raise_alerts(telemetry: DataFrame, rules: Sequence[Rule] | None = None) -> D
         )
         for rule in rules
     ]
-    any_rule = reduce(lambda a, b: a | b, (rule.fires() for rule in rules))
+    any_rule = reduce(lambda a, b: a | b, ((rule.prescreen or rule.fires)() for rule in rules))
     return (
         telemetry.where(any_rule)
         .select("sensor_id", "timestamp", F.inline(F.array(*fired)))
