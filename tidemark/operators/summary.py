@@ -19,13 +19,14 @@ def with_key_and_value(df: DataFrame, key: str = "key", value: str | None = None
 
 
 def totals(quantity: str = "quantity", price: str = "price") -> list[Column]:
-    """Sum of units (64 bit, so it cannot wrap) and sum of prices.
+    """Sum of units and sum of prices in cents.
 
-    Prices are summed as decimals, which makes the result independent of row order.
+    Both are 64-bit integer sums: independent of row order, and an overflow (9.2e18) raises
+    instead of wrapping.
     """
     return [
         F.sum(F.col(quantity).cast("bigint")).alias("total_quantity"),
-        F.sum(scalars.money(price)).alias("revenue"),
+        F.sum(scalars.cents(price)).alias("total_cents"),
     ]
 
 
@@ -38,27 +39,32 @@ def summarize(
     price: str = "price",
     time_col: str = "timestamp",
 ) -> DataFrame:
-    """One row per (key, window). Works unchanged on tables and on watermarked streams.
+    """One row per (key, window), on a table or on a watermarked stream.
 
     Partial sums are built before the only exchange, so a hot key ships one row per window
     and map task.
     """
-    grouped = (
-        with_key_and_value(sales, key)
-        .groupBy(F.window(time_col, scalars.minutes(window_minutes)).alias("w"), F.col(key).alias("category"))
-        .agg(*totals(quantity, price))
-    )
-    return flatten_window(grouped)
-
-
-def flatten_window(grouped: DataFrame) -> DataFrame:
-    """Turn the (window, key) group into the flat summary record."""
-    return grouped.select(
+    keyed = with_key_and_value(sales, key).where(F.col(time_col).isNotNull())
+    if sales.isStreaming:
+        # Spark only drops the state of ended windows when it knows the group as a window.
+        group = F.window(time_col, scalars.minutes(window_minutes)).alias("w")
+        grouped = keyed.groupBy(group, F.col(key).alias("category")).agg(*totals(quantity, price))
+        started = grouped.withColumn("window_start", scalars.epoch_ms("w.start"))
+    else:
+        # A single number groups and travels at half the cost of the (start, end) pair.
+        group = scalars.window_start(time_col, window_minutes).alias("window_start")
+        started = keyed.groupBy(group, F.col(key).alias("category")).agg(*totals(quantity, price))
+    return summary_record(started, window_minutes)
+
+
+def summary_record(started: DataFrame, window_minutes: int) -> DataFrame:
+    """(category, window_start in ms, totals) to the flat summary record."""
+    return started.select(
         "category",
         "total_quantity",
-        F.col("revenue").cast("double").alias("total_revenue"),
-        scalars.epoch_ms("w.start").alias("window_start"),
-        scalars.epoch_ms("w.end").alias("window_end"),
+        scalars.from_cents("total_cents").alias("total_revenue"),
+        "window_start",
+        (F.col("window_start") + F.lit(window_minutes * 60_000)).alias("window_end"),
     )
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions import scalars
 from ..operators import lateness
-from ..operators.summary import totals, with_key_and_value
+from ..operators.summary import summary_record, totals, with_key_and_value
 from . import batches
 
 TIME = T.StructType(
@@ -31,7 +31,7 @@ TOTALS = T.StructType(
         T.StructField("category", T.StringType()),
         T.StructField(lateness.WINDOW_NO, T.IntegerType()),
         T.StructField("total_quantity", T.LongType()),
-        T.StructField("revenue", T.DecimalType(38, 2)),
+        T.StructField("total_cents", T.LongType()),
     ]
 )
 GROUP = ("partition", "category", lateness.WINDOW_NO)
@@ -93,7 +93,7 @@ class StrictSummary:
             )
             merged = marked.groupBy(*GROUP).agg(
                 F.sum("total_quantity").alias("total_quantity"),
-                F.sum("revenue").cast("decimal(38,2)").alias("revenue"),
+                F.sum("total_cents").alias("total_cents"),
                 F.max("changed").alias("changed"),
             )
             # One small table holds both the updates of this batch and the windows still open.
@@ -116,15 +116,8 @@ class StrictSummary:
         """The summary table the changelog describes."""
         updates = batches.read_changelog(spark, self._path("updates"), TOTALS)
         latest = batches.last_wins(updates, GROUP)
-        width = F.lit(self.window_minutes * 60_000).cast("bigint")
-        return (
-            latest.groupBy("category", lateness.WINDOW_NO)
-            .agg(F.sum("total_quantity").alias("total_quantity"), F.sum("revenue").alias("revenue"))
-            .select(
-                "category",
-                "total_quantity",
-                F.col("revenue").cast("double").alias("total_revenue"),
-                (F.col(lateness.WINDOW_NO) * width).alias("window_start"),
-                ((F.col(lateness.WINDOW_NO) + 1) * width).alias("window_end"),
-            )
+        started = (F.col(lateness.WINDOW_NO) * F.lit(self.window_minutes * 60_000).cast("bigint")).alias("window_start")
+        summed = latest.groupBy("category", started).agg(
+            F.sum("total_quantity").alias("total_quantity"), F.sum("total_cents").alias("total_cents")
         )
+        return summary_record(summed, self.window_minutes)
