@@ -66,7 +66,8 @@ def literal(rows, width=60):
         if key is None:
             continue
         seen[partition] = max(seen.get(partition, float("-inf")), seconds)
-        if (seconds // width + 1) * width > seen[partition]:
+        now, base = seconds, START.timestamp()
+        if ((base + now) // width + 1) * width > base + seen[partition]:
             kept.add((partition, offset))
     return kept
 
@@ -126,16 +127,17 @@ def test_expiry_offsets_agree_with_the_literal_rule(spark, drawn, minutes):
 
 @relaxed
 @given(arrivals, st.integers(1, 5), st.integers(0, 2))
-def test_blocked_running_max(spark, drawn, block, levels):
+def test_blocked_running_aggregates(spark, drawn, block, levels):
     rows = [("a", i, float(s), p, i) for i, (_, s, p) in enumerate(drawn)]
-    got = scan.running_max(
-        records(spark, rows), "partition", "offset", "quantity", "top", block=block, levels=levels
-    )
-    seen, expected = {}, {}
-    for _, quantity, _, partition, offset in rows:
-        seen[partition] = max(seen.get(partition, -1), quantity)
-        expected[partition, offset] = seen[partition]
-    assert {(r.partition, r.offset): r.top for r in got.collect()} == expected
+    outputs = {"top": scan.highest("seconds"), "sum": scan.total("seconds")}
+    timed = records(spark, rows).withColumn("seconds", F.unix_seconds("timestamp") - int(START.timestamp()))
+    got = scan.running(timed, ["partition"], "offset", outputs, block=block, levels=levels)
+    top, total, expected = {}, {}, {}
+    for _, _, seconds, partition, offset in rows:
+        top[partition] = max(top.get(partition, -1), seconds)
+        total[partition] = total.get(partition, 0) + seconds
+        expected[partition, offset] = (top[partition], total[partition])
+    assert {(r.partition, r.offset): (r.top, r.sum) for r in got.collect()} == expected
 
 
 @relaxed

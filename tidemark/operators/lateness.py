@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..session import written
-from .scan import running_max
+from .scan import highest, running
 from .summary import with_key_and_value
 
 WINDOW_NO = "window_no"
@@ -114,4 +114,4 @@ def with_stream_time(
     block: int = 1 << 20,
 ) -> DataFrame:
     """Add ``stream_time``: the highest record time seen so far in the partition, in offset order."""
-    return running_max(records, partition, offset, time_col, "stream_time", block=block)
+    return running(records, [partition], offset, {"stream_time": highest(time_col)}, block=block)

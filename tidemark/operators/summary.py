@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars
+from .scan import running, total
 
 SUMMARY_COLUMNS = ("category", "total_quantity", "total_revenue", "window_start", "window_end")
 
@@ -57,9 +58,10 @@ def summarize(
     return summary_record(started, window_minutes)
 
 
-def summary_record(started: DataFrame, window_minutes: int) -> DataFrame:
-    """(category, window_start in ms, totals) to the flat summary record."""
+def summary_record(started: DataFrame, window_minutes: int, *keep: str) -> DataFrame:
+    """(category, window_start in ms, totals) to the flat summary record, behind ``keep``."""
     return started.select(
+        *keep,
         "category",
         "total_quantity",
         scalars.from_cents("total_cents").alias("total_revenue"),
@@ -68,6 +70,41 @@ def summary_record(started: DataFrame, window_minutes: int) -> DataFrame:
     )
 
 
+def update_stream(
+    accepted: DataFrame,
+    window_minutes: int = 1,
+    *,
+    key: str = "key",
+    quantity: str = "quantity",
+    price: str = "price",
+    time_col: str = "timestamp",
+    partition: str = "partition",
+    offset: str = "offset",
+    block: int = 1 << 20,
+) -> DataFrame:
+    """Every single update of the windowed totals: one row per accepted record, unthinned.
+
+    This is what the changelog holds when nothing merges updates before they are forwarded. The
+    totals of a record cover the records of its window up to its own offset.
+    """
+    started = with_key_and_value(accepted, key).select(
+        partition,
+        offset,
+        F.col(key).alias("category"),
+        scalars.window_start(time_col, window_minutes).alias("window_start"),
+        F.col(quantity).cast("bigint").alias("__units"),
+        scalars.cents(price).alias("__cents"),
+    )
+    updates = running(
+        started,
+        [partition, "category", "window_start"],
+        offset,
+        {"total_quantity": total("__units"), "total_cents": total("__cents")},
+        block=block,
+    )
+    return summary_record(updates, window_minutes, partition, offset)
+
+
 def keyed_summary(summary: DataFrame) -> DataFrame:
     """Re-key summaries by category for a topic: (key, value)."""
     return summary.select(F.col("category").alias("key"), F.struct(*SUMMARY_COLUMNS).alias("value"))

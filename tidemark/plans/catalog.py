@@ -100,6 +100,12 @@ def summary_strict_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.summarize(lateness.drop_late(keyed, 60), 60)
 
 
+def summary_updates_60min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog of the strict summary, one update per accepted record."""
+    accepted = lateness.drop_late(_transactions(spark, sf_dir), 60)
+    return summary.update_stream(accepted, 60)
+
+
 def late_rows_60min(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = lateness.late_only(_transactions(spark, sf_dir), 60)
     return late.select("transaction_id", "partition", "offset", F.unix_micros("timestamp").alias("timestamp_us"))
@@ -367,6 +373,7 @@ QUERIES: dict[str, Query] = {
     "summary_strict_1min": _summary_strict(1),
     "summary_strict_60min": _summary_strict(60),
     "summary_strict_null_key": summary_strict_null_key,
+    "summary_updates_60min": summary_updates_60min,
     "late_rows_60min": late_rows_60min,
     "stream_time": stream_time,
     "summary_stream_update": summary_stream_update,

@@ -190,6 +190,13 @@ ORACLES: dict[str, str] = {
     "summary_strict_1min": _strict(1),
     "summary_strict_60min": _strict(60),
     "summary_strict_null_key": _strict(60, "category <> 'view'"),
+    "summary_updates_60min": f"""WITH {_timed(60)}
+        SELECT part AS "partition", sparse_offset AS "offset", category,
+               cast(sum(quantity) OVER so_far AS bigint) AS total_quantity,
+               cast(sum(price) OVER so_far AS double) AS total_revenue,
+               epoch_ms(ends) - 3600000 AS window_start, epoch_ms(ends) AS window_end
+        FROM timed WHERE ends > stream_time
+        WINDOW so_far AS (PARTITION BY part, category, ends ORDER BY place ROWS UNBOUNDED PRECEDING)""",
     "late_rows_60min": f"""WITH {_timed(60)}
         SELECT transaction_id, part AS "partition", sparse_offset AS "offset", epoch_us(ts) AS timestamp_us
         FROM timed WHERE ends <= stream_time""",
