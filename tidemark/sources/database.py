@@ -47,14 +47,18 @@ def replay(
 
 @dataclass(frozen=True)
 class JdbcTable:
-    """Where a table lives. ``options`` takes driver, user, password, fetchsize and so on."""
+    """Where a table lives. ``options`` takes driver, user, password, fetchsize and so on.
+
+    Times are read without a zone, exactly as the database prints them, so an offset written
+    back into a predicate means the same moment.
+    """
 
     url: str
     name: str
     options: Mapping[str, str] = field(default_factory=dict)
 
     def _base(self) -> dict[str, str]:
-        return {"url": self.url, "fetchsize": "10000", **self.options}
+        return {"url": self.url, "fetchsize": "10000", "preferTimestampNTZ": "true", **self.options}
 
     def newest_options(self, ts_col: str, last: datetime | None, upper: datetime) -> dict[str, str]:
         """Let the database compute the new offset; one row crosses the network."""

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators import rules, summary
-from ..params import AlertParams, SummaryParams
-from ..schemas import SUMMARY_WIRE, ALERT, TELEMETRY, TRANSACTION
 from ..operators.shape import unpack
+from ..params import AlertParams, SummaryParams
+from ..schemas import ALERT, SUMMARY_WIRE, TELEMETRY, TRANSACTION
 from ..session import use_rocksdb_state, use_utc
 from ..sources import topics
 from .batches import upsert_batches
+from .strict import StrictSummary
 
 COMMIT_INTERVAL = "30 seconds"
+STRICT_INPUT = ("key", "quantity", "price", "kafka_timestamp", "partition", "offset")
 
 
 def summary_updates(sales: DataFrame, window_minutes: int = 1, *, time_col: str = "timestamp", **columns) -> DataFrame:
@@ -58,11 +60,27 @@ def run_alerts(spark: SparkSession, params: AlertParams, checkpoint: str, schema
     return topics.topic_writer(encoded, params, checkpoint, "append").start()
 
 
+def _summary_messages(summaries: DataFrame, schema_id: int) -> DataFrame:
+    return topics.encode_topic(summary.keyed_summary(summaries), schema_id, SUMMARY_WIRE, "sales_summary")
+
+
 def run_summary(spark: SparkSession, params: SummaryParams, checkpoint: str, schema_id: int) -> StreamingQuery:
     """Sales topic to summary topic, one update per changed window and commit interval."""
     raw = topics.read_topic(use_rocksdb_state(use_utc(spark)), params)
     sales = unpack(topics.decode_topic(raw, TRANSACTION))
     updates = summary_updates(sales, params.window_minutes, time_col="kafka_timestamp")
-    encoded = topics.encode_topic(summary.keyed_summary(updates), schema_id, SUMMARY_WIRE, "sales_summary")
-    out = topics.topic_writer(encoded, params, checkpoint, "update")
+    out = topics.topic_writer(_summary_messages(updates, schema_id), params, checkpoint, "update")
     return out.trigger(processingTime=COMMIT_INTERVAL).start()
+
+
+def run_strict_summary(spark: SparkSession, params: SummaryParams, checkpoint: str, schema_id: int) -> StreamingQuery:
+    """As ``run_summary``, but judging every record by exact zero grace."""
+    raw = topics.read_topic(use_utc(spark), params)
+    sales = unpack(topics.decode_topic(raw, TRANSACTION)).select(*STRICT_INPUT)
+    job = StrictSummary(
+        f"{checkpoint}/strict",
+        params.window_minutes,
+        time_col="kafka_timestamp",
+        publish=lambda updates: topics.write_topic(_summary_messages(updates, schema_id), params),
+    )
+    return writer(sales, checkpoint, "append", name=params.app_id).foreachBatch(job).start()

@@ -10,10 +10,11 @@ kept per batch id, so a repeated batch starts from the same state:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,14 +43,19 @@ class StrictSummary:
     """``foreachBatch`` target writing the update changelog to ``{folder}/updates``.
 
     Offsets must rise from batch to batch within a partition, as a topic delivers them. As in
-    the original, totals belong to a partition: its key is expected to live in one partition
-    only, and ``result`` adds up whatever several partitions hold.
+    the original, totals belong to a partition: a key is expected to live in one partition
+    only, and ``result`` adds up whatever several partitions hold. ``publish`` receives the
+    summary records every batch has changed; a repeated batch publishes them again.
     """
 
     folder: str
     window_minutes: int = 1
     key: str = "key"
     time_col: str = "timestamp"
+    publish: Callable[[DataFrame], None] | None = None
+
+    def _window_start(self) -> Column:
+        return F.col(lateness.WINDOW_NO) * F.lit(self.window_minutes * 60_000).cast("bigint")
 
     def _path(self, part: str) -> str:
         return f"{self.folder}/{part}"
@@ -105,6 +111,9 @@ class StrictSummary:
             ended = scalars.window_index("seen_until", self.window_minutes) > F.col(lateness.WINDOW_NO)
             still_open = current.join(now, "partition").where(~ended).select(*TOTALS.names)
             batches.write_batch(still_open, self._path("open"), batch_id)
+            if self.publish:
+                changed = self._at(spark, "updates", batch_id, TOTALS).withColumn("window_start", self._window_start())
+                self.publish(summary_record(changed, self.window_minutes))
         finally:
             records.unpersist()
         for part in ("expiry", "totals"):
@@ -116,8 +125,7 @@ class StrictSummary:
         """The summary table the changelog describes."""
         updates = batches.read_changelog(spark, self._path("updates"), TOTALS)
         latest = batches.last_wins(updates, GROUP)
-        started = (F.col(lateness.WINDOW_NO) * F.lit(self.window_minutes * 60_000).cast("bigint")).alias("window_start")
-        summed = latest.groupBy("category", started).agg(
+        summed = latest.groupBy("category", self._window_start().alias("window_start")).agg(
             F.sum("total_quantity").alias("total_quantity"), F.sum("total_cents").alias("total_cents")
         )
         return summary_record(summed, self.window_minutes)
