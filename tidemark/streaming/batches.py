@@ -27,8 +27,8 @@ def read_batch(spark: SparkSession, folder: str, batch_id: int, schema) -> DataF
     return spark.read.schema(schema).parquet(batch_path(folder, batch_id))
 
 
-def remove_batch(spark: SparkSession, folder: str, batch_id: int) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(batch_path(folder, batch_id))
+def remove_batch(spark: SparkSession, folder: str, batch_id: int, part: str = "") -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{batch_path(folder, batch_id)}/{part}")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

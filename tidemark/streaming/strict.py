@@ -4,8 +4,9 @@ Every micro-batch is judged by the same rule as a table (``operators.lateness``)
 the record time each partition had reached before. What is carried between batches is small and
 kept per batch id, so a repeated batch starts from the same state:
 
-* ``time``  - (partition, seen_until), one row per topic partition;
-* ``open``  - running totals of the windows that can still change.
+* ``time``    - (partition, seen_until), one row per topic partition;
+* ``windows`` - running totals: those the batch changed (``changed=1``, kept as the update
+  changelog) and those it left alone but which are still open (``changed=0``, dropped later).
 """
 
 from __future__ import annotations
@@ -35,12 +36,13 @@ TOTALS = T.StructType(
         T.StructField("total_cents", T.LongType()),
     ]
 )
+WINDOWS = T.StructType([*TOTALS.fields, T.StructField("changed", T.IntegerType())])
 GROUP = ("partition", "category", lateness.WINDOW_NO)
 
 
 @dataclass(frozen=True)
 class StrictSummary:
-    """``foreachBatch`` target writing the update changelog to ``{folder}/updates``.
+    """``foreachBatch`` target writing the update changelog below ``folder``.
 
     Offsets must rise from batch to batch within a partition, as a topic delivers them. As in
     the original, totals belong to a partition: a key is expected to live in one partition
@@ -66,24 +68,23 @@ class StrictSummary:
     def _before(self, spark: SparkSession, part: str, batch_id: int, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema) if batch_id == 0 else self._at(spark, part, batch_id - 1, schema)
 
-    def _kept(self, df: DataFrame, part: str, batch_id: int) -> DataFrame:
-        """Write a small intermediate table of this batch, so that its real size is known."""
-        batches.write_batch(df, self._path(part), batch_id)
-        return self._at(df.sparkSession, part, batch_id, df.schema)
+    def _open(self, spark: SparkSession, batch_id: int, time_before: DataFrame) -> DataFrame:
+        """Totals of the windows the previous batch left open."""
+        ended = scalars.window_index("seen_until", self.window_minutes) > F.col(lateness.WINDOW_NO)
+        windows = self._before(spark, "windows", batch_id, WINDOWS)
+        return windows.join(time_before, "partition").where(~ended).select(*TOTALS.names)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         time_before = self._before(spark, "time", batch_id, TIME)
-        open_before = self._before(spark, "open", batch_id, TOTALS)
         records = with_key_and_value(batch, self.key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            expiry = self._kept(
-                lateness.expiry_offsets(
-                    records, self.window_minutes, time_col=self.time_col, stream_time=time_before
-                ),
-                "expiry",
-                batch_id,
+            expiry = lateness.expiry_offsets(
+                records, self.window_minutes, time_col=self.time_col, stream_time=time_before
             )
+            # Written so that its real size is known before it is joined.
+            batches.write_batch(expiry, self._path("expiry"), batch_id)
+            expiry = self._at(spark, "expiry", batch_id, expiry.schema)
             reached = expiry.select("partition", F.col("last_time").alias("seen_until"))
             time_after = time_before.unionByName(reached).groupBy("partition").agg(F.max("seen_until").alias("seen_until"))
             batches.write_batch(time_after, self._path("time"), batch_id)
@@ -94,37 +95,34 @@ class StrictSummary:
                 .groupBy("partition", F.col(self.key).alias("category"), lateness.WINDOW_NO)
                 .agg(*totals())
             )
-            marked = added.select("*", F.lit(True).alias("changed")).unionByName(
-                open_before.select("*", F.lit(False).alias("changed"))
+            before = self._open(spark, batch_id, time_before)
+            windows = (
+                added.withColumn("changed", F.lit(1))
+                .unionByName(before.withColumn("changed", F.lit(0)))
+                .groupBy(*GROUP)
+                .agg(*(F.sum(c).alias(c) for c in ("total_quantity", "total_cents")), F.max("changed").alias("changed"))
             )
-            merged = marked.groupBy(*GROUP).agg(
-                F.sum("total_quantity").alias("total_quantity"),
-                F.sum("total_cents").alias("total_cents"),
-                F.max("changed").alias("changed"),
+            windows.write.mode("overwrite").partitionBy("changed").parquet(
+                batches.batch_path(self._path("windows"), batch_id)
             )
-            # One small table holds both the updates of this batch and the windows still open.
-            current = self._kept(merged, "totals", batch_id)
-            batches.write_batch(
-                current.where("changed").drop("changed"), self._path("updates"), batch_id
-            )
-            now = self._at(spark, "time", batch_id, TIME)
-            ended = scalars.window_index("seen_until", self.window_minutes) > F.col(lateness.WINDOW_NO)
-            still_open = current.join(now, "partition").where(~ended).select(*TOTALS.names)
-            batches.write_batch(still_open, self._path("open"), batch_id)
             if self.publish:
-                changed = self._at(spark, "updates", batch_id, TOTALS).withColumn("window_start", self._window_start())
-                self.publish(summary_record(changed, self.window_minutes))
+                changed = self._at(spark, "windows", batch_id, WINDOWS).where("changed = 1")
+                self.publish(
+                    summary_record(changed.withColumn("window_start", self._window_start()), self.window_minutes)
+                )
         finally:
             records.unpersist()
-        for part in ("expiry", "totals"):
-            batches.remove_batch(spark, self._path(part), batch_id)
-        for part in ("time", "open"):
-            batches.remove_batch(spark, self._path(part), batch_id - 2)
+        batches.remove_batch(spark, self._path("expiry"), batch_id)
+        batches.remove_batch(spark, self._path("time"), batch_id - 2)
+        batches.remove_batch(spark, self._path("windows"), batch_id - 2, "changed=0")
+
+    def updates(self, spark: SparkSession) -> DataFrame:
+        """Every update so far, with its batch id."""
+        return batches.read_changelog(spark, self._path("windows"), WINDOWS).where("changed = 1").drop("changed")
 
     def result(self, spark: SparkSession) -> DataFrame:
         """The summary table the changelog describes."""
-        updates = batches.read_changelog(spark, self._path("updates"), TOTALS)
-        latest = batches.last_wins(updates, GROUP)
+        latest = batches.last_wins(self.updates(spark), GROUP)
         summed = latest.groupBy("category", self._window_start().alias("window_start")).agg(
             F.sum("total_quantity").alias("total_quantity"), F.sum("total_cents").alias("total_cents")
         )
