@@ -206,6 +206,11 @@ def test_foreign_messages_become_null_values(spark):
     decoded = topics.decode_topic(raw, TELEMETRY)
     assert decoded.first().value is None
     assert shape.unpack(decoded).count() == 0
+    assert topics.foreign_messages(raw).count() == 1
+    framed = raw.withColumn("value", F.unhex(F.lit("0000000005")))
+    assert topics.foreign_messages(framed).count() == 0
+    assert topics.foreign_messages(framed, {5}).count() == 0
+    assert topics.foreign_messages(framed, {6}).count() == 1
 
 
 def test_framing_accepts_a_column(spark):

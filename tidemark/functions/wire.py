@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Collection
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -45,15 +46,19 @@ def _tail(value: Column) -> Column:
     return F.substring(value, HEADER_BYTES + 1, 2**31 - 1)
 
 
-def is_framed(value: str | Column) -> Column:
+def is_framed(value: str | Column, schema_ids: Collection[int] | None = None) -> Column:
+    """Whether a message carries a header and, if given, one of these schema ids."""
     value = _col(value)
-    return (F.length(value) >= HEADER_BYTES) & (F.substring(value, 1, 1) == F.lit(MAGIC))
+    carries = (F.length(value) >= HEADER_BYTES) & (F.substring(value, 1, 1) == F.lit(MAGIC))
+    if schema_ids is None:
+        return carries
+    return carries & F.substring(value, 2, 4).isin([number.to_bytes(4, "big") for number in schema_ids])
 
 
-def payload_if_framed(value: str | Column) -> Column:
-    """The body behind the header, or null for anything that does not carry one."""
+def payload_if_framed(value: str | Column, schema_ids: Collection[int] | None = None) -> Column:
+    """The body behind the header, or null for anything ``is_framed`` does not accept."""
     value = _col(value)
-    return F.when(is_framed(value), _tail(value))
+    return F.when(is_framed(value, schema_ids), _tail(value))
 
 
 def framed(body: Column, schema_id: int | Column) -> Column:

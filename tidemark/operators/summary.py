@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,31 +33,47 @@ def totals(quantity: str = "quantity", price: str = "price") -> list[Column]:
     ]
 
 
-def summarize(
-    sales: DataFrame,
-    window_minutes: int = 1,
+def window_aggregate(
+    records: DataFrame,
+    window_minutes: int,
+    aggregates: Sequence[Column],
     *,
     key: str = "key",
-    quantity: str = "quantity",
-    price: str = "price",
     time_col: str = "timestamp",
 ) -> DataFrame:
-    """One row per (key, window), on a table or on a watermarked stream.
+    """Any aggregates per (key, tumbling window): columns category, window_start (ms), aggregates.
 
-    Partial sums are built before the only exchange, so a hot key ships one row per window
-    and map task.
+    Partial results are built before the only exchange, so a hot key ships one row per window
+    and map task. Works on a table or on a watermarked stream.
     """
-    keyed = with_key_and_value(sales, key).where(F.col(time_col).isNotNull())
-    if sales.isStreaming:
+    keyed = with_key_and_value(records, key).where(F.col(time_col).isNotNull())
+    category = F.col(key).alias("category")
+    if records.isStreaming:
         # Spark only drops the state of ended windows when it knows the group as a window.
-        group = F.window(time_col, scalars.minutes(window_minutes)).alias("w")
-        grouped = keyed.groupBy(group, F.col(key).alias("category")).agg(*totals(quantity, price))
-        started = grouped.withColumn("window_start", scalars.epoch_ms("w.start"))
+        window = F.window(time_col, scalars.minutes(window_minutes)).alias("__window")
+        grouped = keyed.groupBy(category, window).agg(*aggregates)
+        start = scalars.epoch_ms("__window.start")
     else:
         # A single number groups and travels at half the cost of the (start, end) pair.
-        group = scalars.window_start(time_col, window_minutes).alias("window_start")
-        started = keyed.groupBy(group, F.col(key).alias("category")).agg(*totals(quantity, price))
-    return summary_record(started, window_minutes)
+        window = scalars.window_start(time_col, window_minutes).alias("__window")
+        grouped = keyed.groupBy(category, window).agg(*aggregates)
+        start = F.col("__window")
+    kept = [c for c in grouped.columns if c not in ("category", "__window")]
+    return grouped.select("category", start.alias("window_start"), *kept)
+
+
+def summarize(
+    sales: DataFrame,
+    window_minutes: int = 1,
+    *,
+    key: str = "key",
+    quantity: str = "quantity",
+    price: str = "price",
+    time_col: str = "timestamp",
+) -> DataFrame:
+    """Units and revenue, one row per (key, window), on a table or on a watermarked stream."""
+    sums = totals(quantity, price)
+    return summary_record(window_aggregate(sales, window_minutes, sums, key=key, time_col=time_col), window_minutes)
 
 
 def summary_record(started: DataFrame, window_minutes: int, *keep: str) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators import lateness, rules, shape, summary, tablekey
 from ..params import AlertParams
 from ..schemas import ALERT, SUMMARY, SUMMARY_WIRE, TELEMETRY, TRANSACTION
 from ..session import shared_dir, use_rocksdb_state
-from ..sources import database, replayed, synthetic
+from ..sources import database, replayed, synthetic, topics
 from ..streaming import batches, jobs, strict
 from . import tables
 
@@ -86,6 +86,17 @@ def summary_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.select("key", "value.total_quantity", "value.window_start")
 
 
+def window_aggregate_60min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Other aggregates than the summary's over the same windows."""
+    folds = [
+        F.count(F.lit(1)).alias("sales"),
+        F.min("price").alias("lowest"),
+        F.max("price").alias("highest"),
+        F.max("quantity").alias("largest"),
+    ]
+    return summary.window_aggregate(_transactions(spark, sf_dir), 60, folds)
+
+
 def _summary_strict(window_minutes: int) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         kept = lateness.drop_late(_transactions(spark, sf_dir), window_minutes)
@@ -283,6 +294,21 @@ def wire_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw messages with two schema ids, errors being unframed."""
+    events = replayed.events(spark, sf_dir)
+    number = F.when(F.col("event_type") == "view", 7).otherwise(8)
+    body = F.col("event_type").cast("binary")
+    value = F.when(F.col("event_type") != "error", wire.framed(body, number)).otherwise(body)
+    return events.select("event_id", value.alias("value"))
+
+
+def wire_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages to route away: no header, or a schema other than the expected one."""
+    foreign = topics.foreign_messages(_mixed_messages(spark, sf_dir), {8})
+    return foreign.select("event_id", F.hex("value").alias("value_hex"))
+
+
 def wire_alert_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts as the bytes a topic carries."""
     keyed = rules.keyed_alerts(rules.raise_alerts(_telemetry(spark, sf_dir)))
@@ -370,6 +396,7 @@ QUERIES: dict[str, Query] = {
     "summary_1day": _summary(1440),
     "summary_null_key": summary_null_key,
     "summary_keyed": summary_keyed,
+    "window_aggregate_60min": window_aggregate_60min,
     "summary_strict_1min": _summary_strict(1),
     "summary_strict_60min": _summary_strict(60),
     "summary_strict_null_key": summary_strict_null_key,
@@ -392,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "incremental_read": incremental_read,
     "incremental_replay": incremental_replay,
     "wire_header": wire_header,
+    "wire_foreign": wire_foreign,
     "wire_alert_bytes": wire_alert_bytes,
     "wire_transactions": wire_transactions,
     "wire_telemetry": wire_telemetry,

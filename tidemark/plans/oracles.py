@@ -187,6 +187,10 @@ ORACLES: dict[str, str] = {
     "summary_null_key": _summary(60, "nullif(category, 'view')", "category <> 'view'"),
     "summary_keyed": f"""WITH {_TX}, s AS ({_totals("tx", 60)})
         SELECT category AS key, total_quantity, window_start FROM s""",
+    "window_aggregate_60min": f"""WITH {_TX}
+        SELECT category, epoch_ms(time_bucket(INTERVAL '60 minutes', ts, TIMESTAMP '1970-01-01')) AS window_start,
+               count(*) AS sales, min(price)::double AS lowest, max(price)::double AS highest, max(quantity) AS largest
+        FROM tx GROUP BY 1, 2""",
     "summary_strict_1min": _strict(1),
     "summary_strict_60min": _strict(60),
     "summary_strict_null_key": _strict(60, "category <> 'view'"),
@@ -239,6 +243,9 @@ ORACLES: dict[str, str] = {
              ELSE user_id END::bigint AS schema_id,
         hex(CASE WHEN event_type = 'error' THEN props[5:] ELSE event_type END) AS payload_hex,
         (event_type <> 'error')::int AS framed FROM events""",
+    "wire_foreign": """SELECT event_id,
+        CASE WHEN event_type = 'view' THEN '0000000007' || hex(event_type) ELSE hex(event_type) END AS value_hex
+        FROM events WHERE event_type IN ('view', 'error')""",
     "wire_alert_bytes": f"""WITH {_TEL}, a AS ({_hot()} UNION ALL {_dry()})
         SELECT hex(sensor_id) AS key_hex,
                '000000002A' || {_hex_text("sensor_id")} || {_hex_text("alert_type")}

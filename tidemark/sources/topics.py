@@ -6,6 +6,8 @@ wiring can be checked without it.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -39,9 +41,9 @@ def read_topic(spark: SparkSession, params: JobParams, streaming: bool = True, *
     return reader.format("kafka").options(**reader_options(params, **limits)).load()
 
 
-def decode_topic(raw: DataFrame, schema) -> DataFrame:
+def decode_topic(raw: DataFrame, schema, schema_ids: Collection[int] | None = None) -> DataFrame:
     """Raw Kafka columns to an envelope: string key, decoded value; foreign values become null."""
-    payload = wire.payload_if_framed("value")
+    payload = wire.payload_if_framed("value", schema_ids)
     return raw.select(
         F.col("key").cast("string").alias("key"),
         wire.decode_record(payload, schema).alias("value"),
@@ -52,6 +54,11 @@ def decode_topic(raw: DataFrame, schema) -> DataFrame:
     )
 
 
+def foreign_messages(raw: DataFrame, schema_ids: Collection[int] | None = None) -> DataFrame:
+    """The messages ``decode_topic`` gives no value for, to be kept elsewhere."""
+    return raw.where(~F.coalesce(wire.is_framed("value", schema_ids), F.lit(False)))
+
+
 def encode_topic(keyed: DataFrame, schema_id: int, schema, name: str | None = None) -> DataFrame:
     """(key, value record) to the two binary columns of the Kafka sink.
 
