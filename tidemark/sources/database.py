@@ -6,17 +6,25 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from ..operators.tablekey import default_timestamp, first_per_key
 from ..schemas import TRANSACTION_TABLE_KEY
 
 
+def _moment(df: DataFrame, ts_col: str, moment: datetime) -> Column:
+    """A bound of the column's own type: a wall clock stays one, whatever zone Python runs in."""
+    if isinstance(df.schema[ts_col].dataType, TimestampNTZType):
+        return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(moment)
+
+
 def newer_than(df: DataFrame, ts_col: str, last: datetime | None, upper: datetime) -> DataFrame:
     """``last < ts < upper``; both bounds are plain comparisons, so any source can push them."""
-    bounded = df.where(F.col(ts_col) < F.lit(upper))
-    return bounded if last is None else bounded.where(F.col(ts_col) > F.lit(last))
+    bounded = df.where(F.col(ts_col) < _moment(df, ts_col, upper))
+    return bounded if last is None else bounded.where(F.col(ts_col) > _moment(df, ts_col, last))
 
 
 def read_increment(
@@ -31,7 +39,7 @@ def read_increment(
     newest = fresh.agg(F.max(ts_col)).first()[0]
     if newest is None:
         return fresh, last
-    return fresh.where(F.col(ts_col) <= F.lit(newest)), newest
+    return fresh.where(F.col(ts_col) <= _moment(table, ts_col, newest)), newest
 
 
 def replay(
