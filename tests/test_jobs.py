@@ -184,17 +184,45 @@ def test_generated_messages(spark, kind, schema, key):
     assert back.where(f"k <> v.{key}").count() == 0 and back.count() == 50
 
 
-def test_last_wins_and_compaction(spark, folder):
+def updates_folder(spark, folder):
     schema = "category string, window_start bigint, total bigint"
-    for batch_id, rows in enumerate([[("a", 0, 1), ("b", 0, 5)], [("a", 0, 3)], [("a", 60, 7)]]):
-        batches.write_batch(spark.createDataFrame(rows, schema), f"{folder}/updates", batch_id)
-    batches.write_batch(spark.createDataFrame([("a", 0, 3)], schema), f"{folder}/updates", 1)
-    struct = spark.createDataFrame([], schema).schema
-    key = ["category", "window_start"]
-    table = batches.last_wins(batches.read_changelog(spark, f"{folder}/updates", struct), key)
-    expected = [("a", 0, 3), ("a", 60, 7), ("b", 0, 5)]
-    assert sorted(tuple(r) for r in table.collect()) == expected
-    batches.compact(spark, f"{folder}/updates", struct, key, f"{folder}/compacted")
-    batches.write_batch(spark.createDataFrame([("b", 0, 6)], schema), f"{folder}/compacted", 3)
-    newer = batches.last_wins(batches.read_changelog(spark, f"{folder}/compacted", struct), key)
-    assert sorted(tuple(r) for r in newer.collect()) == [("a", 0, 3), ("a", 60, 7), ("b", 0, 6)]
+    parts = [[("a", 0, 1), ("b", 0, 5)], [("a", 0, 3)], [("a", 60, 7)], [("b", 0, 6)], [("a", 60, 8)]]
+    for batch_id, rows in enumerate(parts):
+        batches.write_batch(spark.createDataFrame(rows, schema), folder, batch_id)
+    return spark.createDataFrame([], schema).schema
+
+
+KEY = ["category", "window_start"]
+LATEST = [("a", 0, 3), ("a", 60, 8), ("b", 0, 6)]
+
+
+def newest(spark, folder, schema):
+    return sorted(tuple(r) for r in batches.last_wins(batches.read_changelog(spark, folder, schema), KEY).collect())
+
+
+def test_last_wins_after_a_repeated_batch(spark, folder):
+    schema = updates_folder(spark, f"{folder}/u")
+    assert newest(spark, f"{folder}/u", schema) == LATEST
+    batches.write_batch(spark.createDataFrame([("a", 0, 3)], schema), f"{folder}/u", 1)
+    assert newest(spark, f"{folder}/u", schema) == LATEST
+
+
+def test_compaction_keeps_the_table(spark, folder):
+    schema = updates_folder(spark, f"{folder}/u")
+    batches.compact(spark, f"{folder}/u", schema, KEY)
+    assert batches.batch_ids(spark, f"{folder}/u") == [2, 3, 4]
+    assert newest(spark, f"{folder}/u", schema) == LATEST
+    batches.compact(spark, f"{folder}/u", schema, KEY)
+    batches.write_batch(spark.createDataFrame([("a", 0, 9)], schema), f"{folder}/u", 5)
+    assert newest(spark, f"{folder}/u", schema) == [("a", 0, 9), *LATEST[1:]]
+
+
+def test_interrupted_compaction_is_harmless(spark, folder, monkeypatch):
+    schema = updates_folder(spark, f"{folder}/u")
+    with monkeypatch.context() as stopped:
+        stopped.setattr(batches, "remove_batch", lambda *a: None)
+        batches.compact(spark, f"{folder}/u", schema, KEY)
+    assert batches.batch_ids(spark, f"{folder}/u") == [0, 1, 2, 3, 4]
+    assert newest(spark, f"{folder}/u", schema) == LATEST
+    batches.compact(spark, f"{folder}/u", schema, KEY)
+    assert newest(spark, f"{folder}/u", schema) == LATEST

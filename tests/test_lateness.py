@@ -167,13 +167,16 @@ def test_strict_stream_agrees_with_the_table(spark, tmp_path_factory, drawn):
     assert by_window(job.result(spark)) == by_window(summary.summarize(lateness.drop_late(everything, 1)))
 
 
-def test_a_repeated_batch_changes_nothing(spark, folder):
+def test_repeated_batches_and_compaction_change_nothing(spark, folder):
     parts = numbered(BATCHES)
     job = strict.StrictSummary(f"{folder}/state", 1)
     for batch_id, part in enumerate(parts):
         job(records(spark, part), batch_id)
         if batch_id in (1, 2, 5):
             job(records(spark, part), batch_id)
+        if batch_id in (3, 4):
+            job.compact(spark)
+            job(records(spark, part), batch_id)
     assert by_window(job.result(spark)) == STRICT
 
 

@@ -28,8 +28,19 @@ def read_batch(spark: SparkSession, folder: str, batch_id: int, schema) -> DataF
 
 
 def remove_batch(spark: SparkSession, folder: str, batch_id: int, part: str = "") -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{batch_path(folder, batch_id)}/{part}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path, files = _hadoop(spark, f"{batch_path(folder, batch_id)}/{part}")
+    files.delete(path, True)
+
+
+def batch_ids(spark: SparkSession, folder: str) -> list[int]:
+    path, files = _hadoop(spark, folder)
+    names = [status.getPath().getName() for status in files.listStatus(path)]
+    return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{BATCH}="))
+
+
+def _hadoop(spark: SparkSession, location: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def read_changelog(spark: SparkSession, folder: str, schema) -> DataFrame:
@@ -57,6 +68,20 @@ def upsert_batches(folder: str):
     return lambda batch, batch_id: write_batch(batch, folder, batch_id)
 
 
-def compact(spark: SparkSession, folder: str, schema, key: Sequence[str], target: str) -> None:
-    """Write the current last-wins table to a new folder as batch -1, ahead of later batches."""
-    write_batch(last_wins(read_changelog(spark, folder, schema), key), target, -1)
+def compact(spark: SparkSession, folder: str, schema, key: Sequence[str], part: str = "") -> None:
+    """Fold all but the two newest batches into one, keeping what ``last_wins`` gives.
+
+    The two newest may still be run again or read by the next batch. The folded rows are added
+    to the newest of the older batches before the others go: a stop in between only leaves rows
+    that lose, or repeat the winner. ``part`` names the sub-folder of a batch that holds updates.
+    """
+    older = batch_ids(spark, folder)[:-2]
+    if len(older) < 2:
+        return
+    changelog = read_changelog(spark, folder, schema).where(F.col(BATCH) <= older[-1])
+    if part:
+        name, _, value = part.partition("=")
+        changelog = changelog.where(F.col(name) == value).drop(name)
+    last_wins(changelog, key).write.mode("append").parquet(f"{batch_path(folder, older[-1])}/{part}")
+    for batch_id in older[:-1]:
+        remove_batch(spark, folder, batch_id)

@@ -120,6 +120,10 @@ class StrictSummary:
         """Every update so far, with its batch id."""
         return batches.read_changelog(spark, self._path("windows"), WINDOWS).where("changed = 1").drop("changed")
 
+    def compact(self, spark: SparkSession) -> None:
+        """Fold old updates into one batch; may run between micro-batches at any time."""
+        batches.compact(spark, self._path("windows"), WINDOWS, GROUP, "changed=1")
+
     def result(self, spark: SparkSession) -> DataFrame:
         """The summary table the changelog describes."""
         latest = batches.last_wins(self.updates(spark), GROUP)
