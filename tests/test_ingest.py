@@ -130,43 +130,81 @@ def test_increment_bounds_reach_the_scan(spark, small):
     assert "GreaterThan(ts," in plan and "LessThan(ts," in plan
 
 
-@given(st.integers(0, 1000), st.integers(1, 5000), st.integers(1, 9))
+@given(st.integers(0, 1000), st.integers(0, 5000), st.integers(1, 9))
 def test_slices_cover_the_span_without_overlap(start, width, slices):
-    last, newest = T0 + timedelta(seconds=start), T0 + timedelta(seconds=start + width)
-    spans = database.slice_predicates("ts", last, newest, slices)
-    edges = [span.replace("ts > ", "").split(" AND ts <= ") for span in spans]
+    oldest, newest = T0 + timedelta(seconds=start), T0 + timedelta(seconds=start + width)
+    spans = database.slice_predicates("ts", oldest, newest, slices)
+    edges = [span.replace("ts >= ", "").replace("ts > ", "").split(" AND ts <= ") for span in spans]
     assert len(spans) == slices
+    assert [span.startswith("ts >= ") for span in spans] == [True] + [False] * (slices - 1)
     assert all(high == low for (_, high), (low, _) in zip(edges, edges[1:]))
-    assert edges[0][0] == database._literal(last) and edges[-1][1] == database._literal(newest)
+    assert edges[0][0] == database._literal(oldest) and edges[-1][1] == database._literal(newest)
 
 
-def test_slices_can_be_split_by_a_hash(spark):
+def test_slices_can_be_split_by_a_hash():
     predicates = database.slice_predicates("ts", T0, T0 + timedelta(hours=1), 2, "CRC32(transaction_id)", 3)
     assert len(predicates) == 6 and predicates[-1].endswith("MOD(CRC32(transaction_id), 3) = 2")
-    assert database.slice_predicates("ts", None, T0, 4) == ["ts <= TIMESTAMP '2024-01-01 00:00:00.000000'"]
     with pytest.raises(ValueError):
-        database.slice_predicates("ts", None, T0, 0)
+        database.slice_predicates("ts", T0, T0, 0)
 
 
-def test_slices_split_a_table_exactly(spark):
+@pytest.mark.parametrize("slices", [1, 4])
+def test_slices_split_a_table_exactly(spark, slices):
     df = table(spark, *[(f"t{i}", 1.0, i) for i in range(50)])
-    predicates = database.slice_predicates("timestamp", T0, T0 + timedelta(seconds=49), 4, "crc32(transaction_id)", 2)
+    last = T0 + timedelta(seconds=49)
+    predicates = database.slice_predicates("timestamp", T0, last, slices, "crc32(transaction_id)", 2)
     parts = [seconds(df.where(p)) for p in predicates]
-    assert sorted(s for part in parts for s in part) == list(range(1, 50))
+    assert sorted(s for part in parts for s in part) == list(range(50))
 
 
 def test_jdbc_options():
     source = database.JdbcTable("jdbc:x:y", "sales_transactions", {"driver": "d", "user": "u"})
-    options = source.newest_options("timestamp", None, T0)
+    options = source.span_options("timestamp", T0, T0 + timedelta(seconds=1))
     assert options["query"] == (
-        "SELECT max(timestamp) AS newest FROM sales_transactions "
-        "WHERE timestamp < TIMESTAMP '2024-01-01 00:00:00.000000'"
+        "SELECT min(timestamp) AS oldest, max(timestamp) AS newest FROM sales_transactions "
+        "WHERE timestamp > TIMESTAMP '2024-01-01 00:00:00.000000' "
+        "AND timestamp < TIMESTAMP '2024-01-01 00:00:01.000000'"
     )
     assert options["driver"] == "d" and options["fetchsize"] == "10000"
+    assert database.time_bounds("ts", None, T0) == ["ts < TIMESTAMP '2024-01-01 00:00:00.000000'"]
     assert source.append_options(4)["numPartitions"] == "4"
     assert source.append_options()["dbtable"] == "sales_transactions"
 
 
+class FakeReader:
+    """Stands in for ``spark.read``: answers the span query and records the sliced read."""
+
+    def __init__(self, spark, span):
+        self.spark, self.span, self.calls = spark, span, []
+
+    read = property(lambda self: self)
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.calls.append(options["query"])
+        return self
+
+    def load(self):
+        return self.spark.createDataFrame([self.span], "oldest timestamp_ntz, newest timestamp_ntz")
+
+    def jdbc(self, url, name, predicates, properties):
+        self.calls.append((url, name, predicates, properties["preferTimestampNTZ"]))
+        return "rows"
+
+
+def test_jdbc_poll_reads_the_span_in_slices(spark):
+    newest = T0 + timedelta(seconds=10)
+    fake = FakeReader(spark, (T0, newest))
+    source = database.JdbcTable("jdbc:x:y", "t")
+    assert source.increment(fake, "ts", None, newest + timedelta(seconds=1), slices=5) == ("rows", newest)
+    _, (url, name, predicates, ntz) = fake.calls
+    assert (url, name, ntz, len(predicates)) == ("jdbc:x:y", "t", "true", 5)
+    assert source.increment(FakeReader(spark, (None, None)), "ts", T0, newest) == (None, T0)
+
+
 # --- topics
 
 

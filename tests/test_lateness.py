@@ -1,6 +1,7 @@
 """Zero grace: the worked example, edges, and agreement with a literal evaluation."""
 
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import lateness, scan, summary
 from tidemark.plans import inspect
+from tidemark.session import use_rocksdb_state
 from tidemark.sources import replayed
 from tidemark.streaming import batches, jobs, strict
 
@@ -94,6 +96,14 @@ def test_worked_example_with_the_native_watermark(spark, folder):
     assert by_window(table) == NATIVE
 
 
+def test_stream_state_lives_in_rocksdb(spark, folder):
+    use_rocksdb_state(spark)
+    updates = jobs.summary_updates(deliver(spark, folder, numbered(BATCHES[:1])))
+    jobs.summary_to_table(updates, f"{folder}/updates", f"{folder}/checkpoint", once=True).awaitTermination()
+    names = {path.suffix for path in Path(f"{folder}/checkpoint/state").rglob("*") if path.is_file()}
+    assert names & {".changelog", ".zip"} and ".delta" not in names
+
+
 def test_window_end_itself_expires_the_window(spark):
     rows = [("a", 1, 60.0, 0, 0), ("a", 2, 59.999999, 0, 1), ("a", 4, 60.0, 0, 2)]
     assert {r.quantity for r in lateness.late_only(records(spark, rows), 1).collect()} == {2}

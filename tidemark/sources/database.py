@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,10 +68,11 @@ class JdbcTable:
     def _base(self) -> dict[str, str]:
         return {"url": self.url, "fetchsize": "10000", "preferTimestampNTZ": "true", **self.options}
 
-    def newest_options(self, ts_col: str, last: datetime | None, upper: datetime) -> dict[str, str]:
-        """Let the database compute the new offset; one row crosses the network."""
+    def span_options(self, ts_col: str, last: datetime | None, upper: datetime) -> dict[str, str]:
+        """Let the database compute the span to read; one row crosses the network."""
         where = " AND ".join(time_bounds(ts_col, last, upper))
-        return self._base() | {"query": f"SELECT max({ts_col}) AS newest FROM {self.name} WHERE {where}"}
+        columns = f"min({ts_col}) AS oldest, max({ts_col}) AS newest"
+        return self._base() | {"query": f"SELECT {columns} FROM {self.name} WHERE {where}"}
 
     def increment(
         self,
@@ -84,11 +85,11 @@ class JdbcTable:
         hash_parts: int = 1,
     ) -> tuple[DataFrame | None, datetime | None]:
         """One poll over JDBC, read by ``slices * hash_parts`` tasks."""
-        options = self.newest_options(ts_col, last, upper)
-        newest = spark.read.format("jdbc").options(**options).load().first()[0]
+        span = spark.read.format("jdbc").options(**self.span_options(ts_col, last, upper)).load()
+        oldest, newest = span.first()
         if newest is None:
             return None, last
-        predicates = slice_predicates(ts_col, last, newest, slices, hash_sql, hash_parts)
+        predicates = slice_predicates(ts_col, oldest, newest, slices, hash_sql, hash_parts)
         properties = {k: v for k, v in self._base().items() if k != "url"}
         return spark.read.jdbc(self.url, self.name, predicates=predicates, properties=properties), newest
 
@@ -111,29 +112,24 @@ def time_bounds(ts_col: str, last: datetime | None, upper: datetime) -> list[str
 
 def slice_predicates(
     ts_col: str,
-    last: datetime | None,
+    oldest: datetime,
     newest: datetime,
     slices: int,
     hash_sql: str | None = None,
     hash_parts: int = 1,
 ) -> list[str]:
-    """Disjoint WHERE clauses that together cover ``last < ts <= newest``.
+    """Disjoint WHERE clauses that together cover ``oldest <= ts <= newest``.
 
     Time slices alone leave one hot second in one task; ``hash_sql`` (an integer expression of
-    the database, for example a checksum of the row id) splits every slice further. Without a
-    last offset the first slice is open below.
+    the database, for example a checksum of the row id) splits every slice further.
     """
     if slices < 1 or hash_parts < 1:
         raise ValueError("slices and hash_parts must be at least 1")
-    if last is None or slices == 1:
-        lows = [f"{ts_col} > {_literal(last)}"] if last else []
-        spans = [" AND ".join([*lows, f"{ts_col} <= {_literal(newest)}"])]
-    else:
-        width: timedelta = (newest - last) / slices
-        edges = [last + i * width for i in range(slices)] + [newest]
-        spans = [
-            f"{ts_col} > {_literal(low)} AND {ts_col} <= {_literal(high)}" for low, high in zip(edges, edges[1:])
-        ]
+    edges = [oldest + (newest - oldest) * i / slices for i in range(slices)] + [newest]
+    spans = [
+        f"{ts_col} {'>' if i else '>='} {_literal(low)} AND {ts_col} <= {_literal(high)}"
+        for i, (low, high) in enumerate(zip(edges, edges[1:]))
+    ]
     if hash_sql is None or hash_parts == 1:
         return spans
     return [f"{span} AND MOD({hash_sql}, {hash_parts}) = {i}" for span in spans for i in range(hash_parts)]
