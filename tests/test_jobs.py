@@ -207,6 +207,12 @@ def test_last_wins_after_a_repeated_batch(spark, folder):
     assert newest(spark, f"{folder}/u", schema) == LATEST
 
 
+def test_updates_can_be_written_to_few_files(spark, folder):
+    frame = spark.range(0, 100, 1, 10).selectExpr("'a' AS category", "id AS window_start", "id AS total")
+    batches.upsert_batches(f"{folder}/u", files=2)(frame, 0)
+    assert len(spark.read.parquet(f"{folder}/u").inputFiles()) == 2
+
+
 def test_compaction_keeps_the_table(spark, folder):
     schema = updates_folder(spark, f"{folder}/u")
     batches.compact(spark, f"{folder}/u", schema, KEY)

@@ -63,9 +63,17 @@ def last_wins(changelog: DataFrame, key: Sequence[str], version: str = BATCH) ->
     )
 
 
-def upsert_batches(folder: str):
-    """A ``foreachBatch`` function collecting updates for ``last_wins``."""
-    return lambda batch, batch_id: write_batch(batch, folder, batch_id)
+def upsert_batches(folder: str, files: int | None = None):
+    """A ``foreachBatch`` function collecting updates for ``last_wins``.
+
+    A stateful batch has one task, and so one file, per state partition. ``files`` shuffles the
+    (already aggregated) updates into fewer.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch if files is None else batch.repartition(files), folder, batch_id)
+
+    return write
 
 
 def compact(spark: SparkSession, folder: str, schema, key: Sequence[str], part: str = "") -> None:

@@ -18,7 +18,9 @@ COMMIT_INTERVAL = "30 seconds"
 STRICT_INPUT = ("key", "quantity", "price", "kafka_timestamp", "partition", "offset")
 
 
-def summary_updates(sales: DataFrame, window_minutes: int = 1, *, time_col: str = "timestamp", **columns) -> DataFrame:
+def summary_updates(
+    sales: DataFrame, window_minutes: int = 1, *, time_col: str = "timestamp", **columns
+) -> DataFrame:
     """Windowed totals of a stream, with state dropped as soon as a window has ended.
 
     The watermark lags one micro-batch and spans all partitions, so it accepts rows that exact
@@ -28,7 +30,9 @@ def summary_updates(sales: DataFrame, window_minutes: int = 1, *, time_col: str
     return summary.summarize(watermarked, window_minutes, time_col=time_col, **columns)
 
 
-def writer(frame: DataFrame, checkpoint: str, mode: str, *, name: str | None = None, once: bool = False) -> DataStreamWriter:
+def writer(
+    frame: DataFrame, checkpoint: str, mode: str, *, name: str | None = None, once: bool = False
+) -> DataStreamWriter:
     """Checkpointed writer; ``once`` drains what is there now, else one batch per commit interval."""
     out = frame.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
@@ -36,9 +40,12 @@ def writer(frame: DataFrame, checkpoint: str, mode: str, *, name: str | None = N
     return out.trigger(availableNow=True) if once else out.trigger(processingTime=COMMIT_INTERVAL)
 
 
-def summary_to_table(summaries: DataFrame, folder: str, checkpoint: str, *, once: bool = False) -> StreamingQuery:
+def summary_to_table(
+    summaries: DataFrame, folder: str, checkpoint: str, *, once: bool = False, files: int | None = None
+) -> StreamingQuery:
     """Update-mode changelog into ``folder``; read it with ``batches.last_wins``."""
-    return writer(summaries, checkpoint, "update", once=once).foreachBatch(upsert_batches(folder)).start()
+    write = upsert_batches(folder, files)
+    return writer(summaries, checkpoint, "update", once=once).foreachBatch(write).start()
 
 
 def closed_windows(summaries: DataFrame, folder: str, checkpoint: str, *, once: bool = False) -> StreamingQuery:
