@@ -3,6 +3,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import scalars
 from tidemark.operators import summary
 from tidemark.plans import inspect
 from tidemark.schemas import SUMMARY
@@ -83,3 +84,38 @@ def test_one_exchange_after_partial_sums(spark, small):
 def test_keyed_output(spark):
     out = summary.keyed_summary(summary.summarize(sales(spark, ("a", 1, 1.0, "2024-01-01"))))
     assert out.first().key == "a" and out.columns == ["key", "value"]
+
+
+def test_cents_equal_the_decimal_cast(spark):
+    """Whole cents, ties, near-ties, negative and large prices."""
+    unit = F.shiftrightunsigned(F.xxhash64("id"), 11).cast("double") * 2.0**-53
+    prices = spark.range(40_000).select(
+        F.explode(
+            F.array(
+                F.round(unit * 200, 2),
+                (F.floor(unit * 20_000) + 0.5) / 100,
+                F.round(unit * 99_000_000, 2),
+                -F.round(unit * 1000, 2),
+                -(F.floor(unit * 2_000_000) + 0.5) / 100,
+                unit * 1000,
+                F.floor(unit * 20_000) / 100 + 0.0000099,
+                F.round(unit * 200, 2).cast("float").cast("double"),
+            )
+        ).alias("price")
+    )
+    literal = (F.col("price").cast("decimal(10,2)") * 100).cast("bigint")
+    assert prices.where(scalars.cents("price") != literal).count() == 0
+    assert prices.where(scalars.cents("price").isNull()).count() == 0
+
+
+@pytest.mark.parametrize("text", ["1e8", "-1e8", "1e300"])
+def test_prices_beyond_the_column_raise(spark, text):
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        spark.sql(f"SELECT {text}D AS price").select(scalars.cents("price")).collect()
+
+
+def test_any_aggregates_over_the_same_windows(spark):
+    rows = sales(spark, ("a", 1, 2.5, "2024-01-01 00:00:10"), ("a", 3, 1.5, "2024-01-01 00:00:50"))
+    out = summary.window_aggregate(rows, 1, [F.max("price").alias("top"), F.count(F.lit(1)).alias("n")])
+    assert out.columns == ["category", "window_start", "top", "n"]
+    assert tuple(out.first()) == ("a", 1704067200000, 2.5, 2)

@@ -50,7 +50,7 @@ def cents(column: str | Column) -> Column:
     value = (F.col(column) if isinstance(column, str) else column).cast("double")
     scaled = value * F.lit(100.0)
     nearest = F.floor(scaled + F.lit(0.5))
-    plain = (F.abs(scaled - nearest) < F.lit(1e-3)) & (F.abs(scaled) < F.lit(1e10))
+    plain = (F.abs(scaled - nearest) < F.lit(1e-3)) & (F.abs(nearest) < F.lit(10**10))
     return F.when(plain, nearest).otherwise((money(value) * 100).cast("bigint"))
 
 

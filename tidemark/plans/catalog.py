@@ -152,21 +152,16 @@ def summary_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary_stream_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The arrival log is first laid out as three deliveries in offset order."""
+    """Three deliveries in offset order, each drained as one micro-batch before the next arrives."""
     arrivals = _transactions(spark, sf_dir).select("key", "quantity", "price", "timestamp", "partition", "offset")
     root = shared_dir(spark, "summary-strict")
+    job = strict.StrictSummary(f"{root}/state", 60)
     end = arrivals.agg(F.max("offset")).first()[0] + 1
     for i in range(3):
         part = arrivals.where((F.col("offset") >= end * i // 3) & (F.col("offset") < end * (i + 1) // 3))
         part.write.parquet(f"{root}/arrivals/delivery={i}")
-    stream = (
-        spark.readStream.schema(arrivals.schema)
-        .option("maxFilesPerTrigger", 64)
-        .option("recursiveFileLookup", "true")
-        .parquet(f"{root}/arrivals")
-    )
-    job = strict.StrictSummary(f"{root}/state", 60)
-    jobs.writer(stream, f"{root}/checkpoint", "append", once=True).foreachBatch(job).start().awaitTermination()
+        stream = spark.readStream.schema(arrivals.schema).parquet(f"{root}/arrivals")
+        jobs.writer(stream, f"{root}/checkpoint", "append", once=True).foreachBatch(job).start().awaitTermination()
     return job.result(spark)
 
 
