@@ -40,32 +40,26 @@ def expiry_offsets(
 ) -> DataFrame:
     """Per (partition, window): ``expires_at`` (null: still open) and ``last_time``.
 
-    ``stream_time`` carries (partition, seen_until) over from earlier batches; a window that had
-    already ended by then expires at offset -1, before every record.
+    ``stream_time`` carries (partition, seen_until) over from earlier batches. It enters as a
+    record ahead of all others, at offset -1, so that windows it has ended admit nothing.
 
     The suffix minimum runs per partition over one row per distinct window, a number bounded by
     time span / window width and not by the number of records.
     """
+    arrivals = records.select(partition, offset, time_col)
+    if stream_time is not None:
+        ahead = F.lit(-1).cast("bigint")
+        arrivals = arrivals.union(stream_time.select(partition, ahead, "seen_until"))
     firsts = (
-        with_window_number(records, window_minutes, time_col)
+        with_window_number(arrivals, window_minutes, time_col)
         .groupBy(partition, WINDOW_NO)
         .agg(F.min(offset).alias("first_offset"), F.max(time_col).alias("last_time"))
     )
     later_windows = (
         Window.partitionBy(partition).orderBy(F.col(WINDOW_NO).desc()).rowsBetween(Window.unboundedPreceding, -1)
     )
-    expires = firsts.select(
-        partition, WINDOW_NO, "last_time", F.min("first_offset").over(later_windows).alias(EXPIRES_AT)
-    )
-    if stream_time is None:
-        return expires
-    ended = scalars.window_index("seen_until", window_minutes) > F.col(WINDOW_NO)
-    return expires.join(stream_time, partition, "left").select(
-        partition,
-        WINDOW_NO,
-        "last_time",
-        F.when(ended, F.lit(-1).cast("bigint")).otherwise(F.col(EXPIRES_AT)).alias(EXPIRES_AT),
-    )
+    expires_at = F.min("first_offset").over(later_windows)
+    return firsts.select(partition, WINDOW_NO, "last_time", expires_at.alias(EXPIRES_AT))
 
 
 def mark_late(

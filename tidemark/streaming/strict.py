@@ -4,7 +4,7 @@ Every micro-batch is judged by the same rule as a table (``operators.lateness``)
 the record time each partition had reached before. What is carried between batches is small and
 kept per batch id, so a repeated batch starts from the same state:
 
-* ``time``    - (partition, seen_until), one row per topic partition;
+* ``expiry``  - when the windows of the batch expired, and with it the time its partitions reached;
 * ``windows`` - running totals: those the batch changed (``changed=1``, kept as the update
   changelog) and those it left alone but which are still open (``changed=0``, dropped later).
 """
@@ -24,8 +24,13 @@ from ..operators import lateness
 from ..operators.summary import summary_record, totals, with_key_and_value
 from . import batches
 
-TIME = T.StructType(
-    [T.StructField("partition", T.IntegerType()), T.StructField("seen_until", T.TimestampType())]
+EXPIRY = T.StructType(
+    [
+        T.StructField("partition", T.IntegerType()),
+        T.StructField(lateness.WINDOW_NO, T.IntegerType()),
+        T.StructField("last_time", T.TimestampType()),
+        T.StructField(lateness.EXPIRES_AT, T.LongType()),
+    ]
 )
 TOTALS = T.StructType(
     [
@@ -76,7 +81,8 @@ class StrictSummary:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        time_before = self._before(spark, "time", batch_id, TIME)
+        expiry_before = self._before(spark, "expiry", batch_id, EXPIRY)
+        time_before = expiry_before.groupBy("partition").agg(F.max("last_time").alias("seen_until"))
         records = with_key_and_value(batch, self.key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             expiry = lateness.expiry_offsets(
@@ -84,10 +90,7 @@ class StrictSummary:
             )
             # Written so that its real size is known before it is joined.
             batches.write_batch(expiry, self._path("expiry"), batch_id)
-            expiry = self._at(spark, "expiry", batch_id, expiry.schema)
-            reached = expiry.select("partition", F.col("last_time").alias("seen_until"))
-            time_after = time_before.unionByName(reached).groupBy("partition").agg(F.max("seen_until").alias("seen_until"))
-            batches.write_batch(time_after, self._path("time"), batch_id)
+            expiry = self._at(spark, "expiry", batch_id, EXPIRY)
 
             kept = lateness.mark_late(records, self.window_minutes, time_col=self.time_col, expiry=expiry)
             added = (
@@ -112,8 +115,7 @@ class StrictSummary:
                 )
         finally:
             records.unpersist()
-        batches.remove_batch(spark, self._path("expiry"), batch_id)
-        batches.remove_batch(spark, self._path("time"), batch_id - 2)
+        batches.remove_batch(spark, self._path("expiry"), batch_id - 2)
         batches.remove_batch(spark, self._path("windows"), batch_id - 2, "changed=0")
 
     def updates(self, spark: SparkSession) -> DataFrame:
