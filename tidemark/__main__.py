@@ -1,4 +1,4 @@
-"""Command line of the jobs: ``spark-submit ... -m tidemark <job>``.
+"""Command line of the jobs: ``spark-submit job.py <job>`` or ``python -m tidemark <job>``.
 
 Settings come from the environment (see ``params.ENVIRONMENT``). Besides, every job needs
 CHECKPOINT_LOCATION, and what it writes to a topic carries SCHEMA_ID. The table jobs read
