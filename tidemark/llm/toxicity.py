@@ -2,11 +2,10 @@
 
 Two zstandard dictionaries are trained on labelled text, one on toxic and one on ordinary windows. A window of a text
 that the toxic dictionary makes shorter than the ordinary one does gains that many bytes; gains over all windows of the
-whole text are calibrated into a score by a logistic curve fitted on labelled rows the dictionaries have not seen.
+whole text are calibrated into a score by a logistic curve, fitted on gains under dictionaries of other labelled rows.
 
 Both dictionaries end in the same trained ordinary content, so that ordinary windows compress alike; in front of it each
-has the words marked for its class: those in a larger share of the class's training texts by ``lift``, as often as they
-come. Dictionaries and curve are fitted on at most ``train_rows`` labelled rows a class, chosen by a hash of their ids;
+has the words that mark its class's training texts. Dictionaries and curve are fitted on at most ``train_rows`` labelled rows a class, chosen by a hash of their ids;
 every row is scored.
 
 Defined results: a null or empty text has no gain and gets the score of none; without labels of both classes the
@@ -28,18 +27,18 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 240  # bytes, extended to the end of a word
+WINDOW = 64  # bytes, extended to the end of a word
+CLEAR = 3  # bytes
 SCORES = "doc_id long, score double"
-FEATURES = 4
 WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 
 @dataclass(frozen=True)
 class Settings:
-    train_rows: int = 2000  # labelled rows a class, half for the dictionaries and half for the curve
+    train_rows: int = 2000  # labelled rows a class
     dictionary: int = 16 << 10
     lift: float = 4.0
-    least_texts: int = 5  # training texts a marked word stands in
+    ratio: float = 15.0  # likelihood ratio of a marked word
     level: int = 3
     threshold: float = 0.7
 
@@ -79,23 +78,30 @@ class Compressors:
             self.both.append(zstandard.ZstdCompressor(dict_data=table, compression_params=parameters).compress)
 
     def features(self, text: str | None) -> np.ndarray:
-        """Mean gain, largest gain, share of windows that gain, and a constant."""
+        """Of the gains of all windows: mean, largest, share of clear ones, number of clear ones; and a constant."""
         toxic, ordinary = self.both
         gains = [len(ordinary(part)) - len(toxic(part)) for part in windows(lowered(text))]
         if not gains:
-            return np.array([0.0, 0.0, 0.0, 1.0])
-        clear = sum(gain >= 3 for gain in gains)
-        return np.array([sum(gains) / len(gains), max(gains) / 4, clear / len(gains), 1.0])
+            return np.array([0.0, 0.0, 0.0, 0.0, 1.0])
+        clear = sum(gain >= CLEAR for gain in gains)
+        return np.array([sum(gains) / len(gains), max(gains) / 4, 10 * clear / len(gains), math.log1p(clear), 1.0])
 
 
 def marked(own: Counter, n_own: int, other: Counter, n_other: int, settings: Settings) -> list[bytes]:
-    """Words in a larger share of one class's texts than of the other's, the strongest last (nearest to the window)."""
+    """Words that mark one class's texts, the strongest last (nearest to the window).
+
+    A word marks a class if it stands in a ``lift`` times larger share of its texts, the likelihood ratio rules out
+    chance, and it stands in at least a third as many texts as the class's strongest word (else it tells of a few texts).
+    """
     words = []
     for word, n in own.items():
-        share, rest = n / n_own, (other[word] + 1) / (n_other + 2)
-        if n >= settings.least_texts and share >= settings.lift * rest:
+        rest = other[word]
+        share, even = n / n_own, (n + rest) / (n_own + n_other)
+        ratio = 2 * (n * math.log(share / even) + (rest and rest * math.log(rest / n_other / even)))
+        if share >= settings.lift * (rest + 1) / (n_other + 2) and ratio >= settings.ratio:
             words.append((share, word))
-    return [word for _, word in sorted(words)]
+    words.sort()
+    return [word for share, word in words if 3 * share >= words[-1][0]]
 
 
 def trained(samples: list[bytes], size: int) -> bytes:
@@ -109,26 +115,34 @@ def trained(samples: list[bytes], size: int) -> bytes:
     return b" ".join(samples)[-size:]
 
 
-def train(rows: list[tuple[str | None, int]], settings: Settings) -> Model | None:
-    """``rows``: labelled texts, of which every other one trains the dictionaries and the rest the curve."""
-    halves = [rows[0::2], rows[1::2]]
-    texts = {label: list(dict.fromkeys(lowered(t) for t, x in halves[0] if x == label)) for label in (0, 1)}
-    if not texts[0] or not texts[1] or len({x for _, x in halves[1]}) < 2:
+def dictionaries(rows: list[tuple[str | None, int]], settings: Settings) -> tuple[bytes, bytes] | None:
+    """The toxic and the ordinary dictionary."""
+    texts = {label: list(dict.fromkeys(lowered(t) for t, x in rows if x == label)) for label in (0, 1)}
+    if not texts[0] or not texts[1]:
         return None
     counts = {label: Counter(w for t in own for w in set(WORD.findall(t))) for label, own in texts.items()}
     ordinary = trained([part for t in texts[0] for part in windows(t)], settings.dictionary)
     front = {}
     for label in (0, 1):
         words = marked(counts[label], len(texts[label]), counts[1 - label], len(texts[1 - label]), settings)
-        parts = [part for t in texts[label] for part in windows(b" ".join(w for w in WORD.findall(t) if w in set(words)))] if words else []
-        front[label] = trained(parts, settings.dictionary // 4) + b" " + b" ".join(words)[-settings.dictionary // 2 :]
+        front[label] = (b" " + b" ".join(words) + b" ")[-settings.dictionary // 2 :]
     size = max(map(len, front.values()))
-    filler = b" " * size
-    model = [(front[label] + filler)[:size] + ordinary for label in (1, 0)]
-    compressors = Compressors(*model, settings.level)
-    x = np.stack([compressors.features(t) for t, _ in halves[1]])
-    y = np.array([label for _, label in halves[1]], float)
-    return Model(*model, tuple(fitted(x, y)), settings.level)
+    toxic, plain = ((b" " * size + front[label])[-size:] + ordinary for label in (1, 0))
+    return toxic, plain
+
+
+def train(rows: list[tuple[str | None, int]], settings: Settings) -> Model | None:
+    """Dictionaries from all rows; the curve from each half's gains under dictionaries of the other half."""
+    halves = [rows[0::2], rows[1::2]]
+    whole, *parts = (dictionaries(some, settings) for some in (rows, *halves))
+    if not whole or not all(parts):
+        return None
+    x = []
+    for own, pair in zip(halves, reversed(parts), strict=True):
+        compressors = Compressors(*pair, settings.level)
+        x += [compressors.features(t) for t, _ in own]
+    y = np.array([float(label) for half in halves for _, label in half])
+    return Model(*whole, tuple(map(float, fitted(np.stack(x), y))), settings.level)
 
 
 def fitted(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
