@@ -141,16 +141,19 @@ def host_verdicts(measured: DataFrame, host: str, limits: Limits) -> DataFrame:
         F.count(F.lit(1)).alias("hosts"),
         F.sum(F.col("n_failed") * F.col("n_failed") / F.col("n_docs")).alias("squares"),
     )
-    m = F.col("failed") / F.col("docs")
-    v = (F.col("squares") - F.col("docs") * m * m) / F.col("docs") - m * (1 - m) * F.col("hosts") / F.col("docs")
-    weight = F.least(F.lit(1e6), F.greatest(F.lit(1.0), m * (1 - m) / F.greatest(v, F.lit(1e-12)) - 1))
-    prior = moments.select((m * weight).alias("a"), ((1 - m) * weight).alias("b")).where(F.col("a").isNotNull())
-    rate = (F.col("n_failed") + F.col("a")) / (F.col("n_docs") + F.col("a") + F.col("b"))
-    return (
-        hosts.join(F.broadcast(prior))  # one row
-        .withColumn("shrunk_rate", rate)
-        .select("host", "n_docs", "n_failed", "shrunk_rate", (rate > limits.host_limit).alias("host_rejected"))
-    )
+    a, b = beta_prior(*moments.first())
+    rate = (F.col("n_failed") + a) / (F.col("n_docs") + a + b)
+    return hosts.withColumn("shrunk_rate", rate).withColumn("host_rejected", rate > limits.host_limit)
+
+
+def beta_prior(docs: int | None, failed: int | None, hosts: int, squares: float | None) -> tuple[float, float]:
+    """The beta distribution that hosts' shares come from, by moments; four sums of the corpus are all it needs."""
+    if not docs:
+        return 0.5, 0.5
+    m = failed / docs
+    between = (squares - docs * m * m) / docs - m * (1 - m) * hosts / docs
+    weight = min(1e6, max(1.0, m * (1 - m) / max(between, 1e-12) - 1))
+    return m * weight, (1 - m) * weight
 
 
 def judge(measured: DataFrame, verdicts: DataFrame, host: str, limits: Limits) -> DataFrame:
