@@ -251,4 +251,4 @@ def read_archives(spark: SparkSession, files: DataFrame, folder: str, rows: int
         if found:
             yield pa.RecordBatch.from_pylist(found, schema)
 
-    return files.select("path").repartition(F.col("path")).mapInArrow(run, RECORDS)
+    return files.select("path").repartition(max(1, files.count())).mapInArrow(run, RECORDS)
