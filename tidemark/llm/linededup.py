@@ -93,7 +93,7 @@ def without(lines: Column, cuts: Column) -> Column:
 def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with the struct column ``CUTS`` holding text (shortened), n_lines and n_removed."""
     found = written(stretches(docs, id_col, text_col), "stretches")
-    found = found.select(F.struct(DOC, HASH, CUTS).alias(CUTS))
+    found = found.select(F.struct(DOC, HASH, CUTS).alias(CUTS)).hint("merge")  # the same plan at every size
     same = F.col(id_col).eqNullSafe(F.col(f"{CUTS}.{DOC}")) & F.xxhash64(text_col).eqNullSafe(F.col(f"{CUTS}.{HASH}"))
     cuts, lines = F.col(f"{CUTS}.{CUTS}"), lines_of(F.col(text_col))
     removed = F.aggregate(cuts, F.lit(0), lambda n, c: n + c["last"] - c["first"] + 1)
