@@ -43,7 +43,7 @@ U = np.uint64
 SETS = "doc_id long, text_hash long, n long, set_id long, block int, counts binary"
 POSTINGS = "part int, postings binary"
 FOUND = "a long, b long, token long, n long, place long"
-TEXTS = "doc_id long, text_hash long, body binary"
+TEXTS = "set_id long, doc_id long, text_hash long, body binary"
 LINKS = "a long, b long, linked boolean"
 POSTING = np.dtype([("token", "u8"), ("set", "u8"), ("n", "u4"), ("place", "u4")])
 
@@ -289,7 +289,7 @@ def bitmap_of(ids: DataFrame, bits: int) -> np.ndarray:
 
 
 def texts_of(rows: DataFrame, involved: DataFrame, s: Settings) -> DataFrame:
-    """set_id, body (compressed text) of the involved classes."""
+    """set_id, doc_id, text_hash, body (compressed text) of the involved documents, and of a few more."""
     table = rows.sparkSession.sparkContext.broadcast(bitmap_of(involved, s.bitmap))
     place = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(s.bitmap))
     marked = rows.select(
@@ -306,14 +306,14 @@ def texts_of(rows: DataFrame, involved: DataFrame, s: Settings) -> DataFrame:
             bucket, position = (part.column(i).to_numpy() for i in (3, 4))
             byte = bits[bucket * 4096 + position // 8]
             part = part.filter(pa.array((byte >> (position % 8)) & 1 == 1))
+            ids = [set_id(x) for x in sets_of(part.column(2), s.width)]
             bodies = [zstandard.compress((text or "").encode(), 3) for text in part.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(bodies, pa.binary())], names=["doc_id", "text_hash", "body"]
+                [pa.array(ids, pa.int64()), part.column(0), part.column(1), pa.array(bodies, pa.binary())],
+                names=["set_id", "doc_id", "text_hash", "body"],
             )
 
-    bodies = marked.mapInArrow(run, TEXTS)
-    same = bodies["doc_id"].eqNullSafe(involved["doc_id"]) & (bodies["text_hash"] == involved["text_hash"])
-    return bodies.join(involved, same).select("set_id", "body").dropDuplicates(["set_id"])
+    return marked.mapInArrow(run, TEXTS)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
@@ -342,10 +342,16 @@ def verified(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
                 [part.column(0), part.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"]
             )
 
-    left = texts.select(F.col("set_id").alias("a"), F.col("body").alias("body_a"))
-    right = texts.select(F.col("set_id").alias("b"), F.col("body").alias("body_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "body_a", "body_b").sortWithinPartitions("a")
-    return both.mapInArrow(run, LINKS).where("linked").select("a", "b")
+    for side in ("a", "b"):
+        own = texts.select(F.struct("set_id", "doc_id", "text_hash").alias(f"{side}_key"), F.col("body").alias(f"body_{side}"))
+        same = [
+            F.col(side) == F.col(f"{side}_key.set_id"),
+            F.col(f"{side}_doc").eqNullSafe(F.col(f"{side}_key.doc_id")),
+            F.col(f"{side}_hash") == F.col(f"{side}_key.text_hash"),
+        ]
+        pairs = pairs.join(own.hint("merge"), same[0] & same[1] & same[2]).drop(f"{side}_key")
+    both = pairs.select("a", "b", "body_a", "body_b").sortWithinPartitions("a")
+    return both.mapInArrow(run, LINKS).where("linked").select("a", "b").distinct()
 
 
 def cross_pairs(long: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
@@ -382,9 +388,15 @@ class Joined:
 
 
 def _verify(rows: DataFrame, classes: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
-    sides = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    involved = written(classes.join(sides, "set_id").select("set_id", "doc_id", "text_hash"), "involved")
-    texts = written(texts_of(rows, involved, s), "texts")
+    """The links among the pairs. Each class is stood for by one document, whose text alone is moved."""
+    for side in ("a", "b"):
+        own = classes.select(
+            F.col("set_id").alias(side), F.col("doc_id").alias(f"{side}_doc"), F.col("text_hash").alias(f"{side}_hash")
+        )
+        pairs = pairs.join(own, side)
+    pairs = written(pairs, "pairs")
+    involved = [pairs.select(F.col(f"{x}_doc").alias("doc_id"), F.col(f"{x}_hash").alias("text_hash")) for x in "ab"]
+    texts = written(texts_of(rows, involved[0].union(involved[1]), s), "texts")
     return written(verified(pairs, texts, s), "verified")
 
 
