@@ -123,8 +123,8 @@ def with_membership(docs: DataFrame, classifier: Classifier, *keep: str) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 n, p = classifier.posteriors(part.column(at_text))
                 bounds = pa.array(np.arange(len(n) + 1, dtype=np.int32) * p.shape[1])
                 struct = pa.StructArray.from_arrays(

@@ -275,8 +275,8 @@ def pseudonymise(docs: DataFrame, key: bytes, *keep: str, text: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 rows = [replace(x, pseudonyms) for x in part.column(at_text).to_pylist()]
                 struct = pa.StructArray.from_arrays(
                     [pa.array([x for x, _ in rows], pa.string()), pa.array([x for _, x in rows], span)], ["text", "spans"]

@@ -103,8 +103,8 @@ def measures(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 struct = pa.StructArray.from_arrays(measure_column(part.column(at_text)), names=NAMES)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:width], struct], names=[*part.schema.names[:width], MEASURED]

@@ -6,7 +6,7 @@ more share a shingle among the first n - ceil(2 t n / (1 + t)) + 1 of the smalle
 the larger one. Frequencies are counted over all documents in a table of fixed size; the order they give is the same
 for all sets, so it decides the cost and never the result.
 
-* Lists are cut by shingle over numpy workers. Within a list, postings are sorted by (set size, position); equal sizes
+* Lists are cut by shingle into parts of bounded size, joined one after another in numpy. Within a list, postings are sorted by (set size, position); equal sizes
   form blocks, and as a shingle at position i leaves at most n - i common ones, the rest of a block is skipped at the
   first position that is too late.
 * Answers are derived from similar sets: in a list longer than ``short`` entries, a set is first compared only with its
@@ -53,8 +53,8 @@ class Settings:
     width: int = 5
     percent: int = 75  # link when 100 * intersection >= percent * union
     buckets: int = 1 << 20  # frequency table
-    per_part: int = 1_500_000  # postings a task joins at once
-    flush: int = 2_000_000  # postings a task holds before it sends them
+    per_part: int = 400_000  # postings a task joins at once
+    flush: int = 1_000_000  # postings a task holds before it sends them
     short: int = 8  # longest list whose pairs are compared directly
     near: int = 3  # neighbours in a longer list
     bitmap: int = 1 << 25  # bits that tell which texts have candidates
@@ -80,7 +80,7 @@ def set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
@@ -253,10 +253,20 @@ def join_lists(lists: DataFrame, parts: int, s: Settings) -> DataFrame:
         return pairs, p[long]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [unpack(packed) for batch in batches for packed in batch.column(1).to_pylist()]
-        if not held:
-            return
-        pairs, long = pairs_of(np.concatenate(held))
+        held: list[np.ndarray] = []
+        at = None
+        for batch in batches:
+            for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if held and part != at:
+                    yield from found_in(np.concatenate(held))
+                    held = []
+                at = part
+                held.append(unpack(packed))
+        if held:
+            yield from found_in(np.concatenate(held))
+
+    def found_in(postings: np.ndarray) -> Iterator[pa.RecordBatch]:
+        pairs, long = pairs_of(postings)
         nothing = pa.nulls(len(pairs), pa.int64())
         names = ["a", "b", "token", "n", "place"]
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), *[nothing] * 3], names=names)
@@ -269,7 +279,7 @@ def join_lists(lists: DataFrame, parts: int, s: Settings) -> DataFrame:
         ]
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return lists.repartition(parts, "part").mapInArrow(run, FOUND)
+    return lists.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, FOUND)
 
 
 def bitmap_of(ids: DataFrame, bits: int) -> np.ndarray:
@@ -302,7 +312,7 @@ def texts_of(rows: DataFrame, involved: DataFrame, s: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = table.value
-        for part in slices(batches, 2048):
+        for part in slices(batches):
             bucket, position = (part.column(i).to_numpy() for i in (3, 4))
             byte = bits[bucket * 4096 + position // 8]
             part = part.filter(pa.array((byte >> (position % 8)) & 1 == 1))
@@ -325,7 +335,7 @@ def verified(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
         def sets(bodies: list[bytes]) -> list[np.ndarray]:
             return sets_of(pa.array([zstandard.decompress(x) for x in bodies], pa.binary()), s.width)
 
-        for part in slices(batches, 256):
+        for part in slices(batches):
             a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
             bodies = part.column(2)
             new = [i for i, x in enumerate(a) if x != (a[i - 1] if i else last[0])]
