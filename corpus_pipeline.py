@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, linededup, mixing, quality, setjoin
 from tidemark.llm.catalog import read
@@ -17,8 +18,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated passages cut out."""
-    return linededup.dedup_lines(docs)
+    """Later occurrences of repeated passages cut out; a document of which nothing is left goes."""
+    return linededup.dedup_lines(docs).where(F.trim("text") != "")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
