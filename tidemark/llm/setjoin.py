@@ -14,6 +14,8 @@ for all sets, so it decides the cost and never the result.
   group of edited copies, the original). Sets that are linked, directly or not, then share all answers that
   matter for components, so a long list is dropped if all its sets are in one component, and otherwise only pairs
   between different components are compared. No pair between components is left out.
+* A candidate's parities (of 256 classes of shingles, which hold an odd number) bound the difference of the two sets from
+  below and rule out most pairs before any text is moved.
 * Candidates are verified exactly on the sets rebuilt from the whole texts. Only texts with a candidate are moved; a
   bitmap of fixed size, broadcast, keeps nearly all others from the shuffle.
 
@@ -32,7 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
@@ -40,7 +42,8 @@ from tidemark.llm.graph import components
 from tidemark.llm.store import written
 
 U = np.uint64
-SETS = "doc_id long, text_hash long, n long, set_id long, block int, counts binary"
+PARITY = ["parity0", "parity1", "parity2", "parity3"]
+SETS = f"doc_id long, text_hash long, n long, set_id long, {' long, '.join(PARITY)} long, block int, counts binary"
 POSTINGS = "part int, postings binary"
 FOUND = "a long, b long, token long, n long, place long"
 TEXTS = "set_id long, doc_id long, text_hash long, body binary"
@@ -80,6 +83,20 @@ def set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """Of 256 classes of shingles, which hold an odd number; two sets differ in as many shingles at least as bits here."""
+    odd = np.bincount((tokens >> U(8)).astype(np.int64) & 255, minlength=256) & 1
+    return np.packbits(odd.astype("u1")).view(np.int64)
+
+
+def may_link(a: str, b: str, s: Settings) -> Column:
+    """Whether sizes and parities allow a link: a link has at most (100 - p) / (100 + p) of both sizes not in common."""
+    differing = sum(
+        (F.bit_count(F.col(f"{a}{name}").bitwiseXOR(F.col(f"{b}{name}"))) for name in PARITY), start=F.lit(0)
+    )
+    return (100 + s.percent) * differing <= (100 - s.percent) * (F.col(f"{a}n") + F.col(f"{b}n"))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
@@ -110,10 +127,11 @@ def describe_sets(rows: DataFrame, s: Settings) -> DataFrame:
                     part.column(1),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([set_id(x) for x in sets], pa.int64()),
+                    *[pa.array(x) for x in np.stack([parities(x) for x in sets]).T],
                     nothing.cast(pa.int32()),
                     nothing.cast(pa.binary()),
                 ],
-                names=["doc_id", "text_hash", "n", "set_id", "block", "counts"],
+                names=["doc_id", "text_hash", "n", "set_id", *PARITY, "block", "counts"],
             )
         if counts.any():
             packed = [
@@ -122,8 +140,8 @@ def describe_sets(rows: DataFrame, s: Settings) -> DataFrame:
             ]
             nothing = pa.nulls(16, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [nothing, nothing, nothing, nothing, pa.array(range(16), pa.int32()), pa.array(packed, pa.binary())],
-                names=["doc_id", "text_hash", "n", "set_id", "block", "counts"],
+                [*[nothing] * 8, pa.array(range(16), pa.int32()), pa.array(packed, pa.binary())],
+                names=["doc_id", "text_hash", "n", "set_id", *PARITY, "block", "counts"],
             )
 
     return rows.mapInArrow(run, SETS)
@@ -364,13 +382,14 @@ def verified(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     return both.mapInArrow(run, LINKS).where("linked").select("a", "b").distinct()
 
 
-def cross_pairs(long: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
+def cross_pairs(long: DataFrame, classes: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     """All candidate pairs of long lists whose sets are in different components so far."""
     own = long.join(labels.withColumnRenamed("node", "a"), "a", "left").select(
         "token", "a", "n", "place", F.coalesce("root", "a").alias("root")
     )
     mixed = own.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    own = written(own.join(mixed.select("token"), "token"), "mixed")
+    bits = classes.select(F.col("set_id").alias("a"), *PARITY)
+    own = written(own.join(mixed.select("token"), "token").join(bits, "a"), "mixed")
     p = F.lit(s.percent)
     x, y = own.alias("x"), own.alias("y")
     n_x, n_y = F.col("x.n"), F.col("y.n")
@@ -382,6 +401,7 @@ def cross_pairs(long: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
         & (F.col("x.place") < index)
         & (left * (100 + s.percent) >= p * (n_x + n_y))
         & (F.col("x.root") != F.col("y.root"))
+        & may_link("x.", "y.", s)
     )
     a, b = F.col("x.a"), F.col("y.a")
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & near)
@@ -400,11 +420,10 @@ class Joined:
 def _verify(rows: DataFrame, classes: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
     """The links among the pairs. Each class is stood for by one document, whose text alone is moved."""
     for side in ("a", "b"):
-        own = classes.select(
-            F.col("set_id").alias(side), F.col("doc_id").alias(f"{side}_doc"), F.col("text_hash").alias(f"{side}_hash")
-        )
+        names = {"doc_id": "doc", "text_hash": "hash", "n": "n", **{name: name for name in PARITY}}
+        own = classes.select(F.col("set_id").alias(side), *[F.col(k).alias(f"{side}_{v}") for k, v in names.items()])
         pairs = pairs.join(own, side)
-    pairs = written(pairs, "pairs")
+    pairs = written(pairs.where(may_link("a_", "b_", s)).select("a", "b", "a_doc", "a_hash", "b_doc", "b_hash"), "pairs")
     involved = [pairs.select(F.col(f"{x}_doc").alias("doc_id"), F.col(f"{x}_hash").alias("text_hash")) for x in "ab"]
     texts = written(texts_of(rows, involved[0].union(involved[1]), s), "texts")
     return written(verified(pairs, texts, s), "verified")
@@ -416,8 +435,13 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     described = written(describe_sets(rows, s), "sets")
     sets = described.where("block IS NULL").select("doc_id", "text_hash", "n", "set_id")
     classes = (
-        sets.where("n > 0").groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"), F.max("n").alias("n"))
-    ).select("set_id", "one.doc_id", "one.text_hash", "n")
+        described.where("block IS NULL AND n > 0")
+        .groupBy("set_id")
+        .agg(
+            F.min(F.struct("doc_id", "text_hash")).alias("one"),
+            *[F.max(name).alias(name) for name in ("n", *PARITY)],  # the same in all rows of a class
+        )
+    ).select("set_id", "one.doc_id", "one.text_hash", "n", *PARITY)
     classes = written(classes, "classes")
     total = classes.agg(F.sum(F.floor(F.col("n") * (100 - s.percent) / 100) + 1)).first()[0] or 0
     parts = max(1, -(-int(total) // s.per_part))
@@ -427,7 +451,7 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     links = _verify(rows, classes, pairs, s)
     labels = components(links.toDF("u", "v"))
     long = found.where("token IS NOT NULL").select("a", "token", "n", "place")
-    more = written(cross_pairs(long, labels, s).join(pairs, ["a", "b"], "left_anti"), "cross")
+    more = written(cross_pairs(long, classes, labels, s).join(pairs, ["a", "b"], "left_anti"), "cross")
     if not more.isEmpty():
         links = links.union(_verify(rows, classes, more, s))
         labels = components(links.toDF("u", "v"))
