@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, decontaminate, licenses, linededup, mixing, pii, quality, setjoin, toxicity, warc
+from tidemark.llm.oracles import ORACLES as ORACLES
 from tidemark.llm.store import new_folder, written
 
 PII_KEY = os.environ.get("TIDEMARK_PII_KEY", "set TIDEMARK_PII_KEY to a secret of your own").encode()
@@ -30,7 +31,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = setjoin.join_sets(read(spark, sf_dir, "documents"))
-    return setjoin.with_components(joined).select("doc_id", "n_shingles", "component_id", "set_id")
+    return setjoin.with_components(joined).select("doc_id", "n_shingles", "component_id")
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,4 +111,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_toxicity,
     )
 }
-ORACLES: dict[str, str] = {}
