@@ -37,6 +37,20 @@ def first_per_key_stream(df: DataFrame, key: Sequence[str] = TRANSACTION_TABLE_K
     return df.dropDuplicatesWithinWatermark(list(key))
 
 
+def split_clashes(
+    df: DataFrame, key: Sequence[str] = TRANSACTION_TABLE_KEY
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that are alone with their key, and all rows of keys that several rows share.
+
+    Together they are every row of ``df``. Clashing keys are counted with a map-side combine and only they are joined
+    back; a hot key is one row on that side, so the other side can be split.
+    """
+    # a renamed copy of the keys, compared null-safely: a missing key part clashes like any other value
+    clashing = duplicate_keys(df, key).select(*[F.col(name).alias(f"__{name}") for name in key])
+    same = [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in key]
+    return df.join(clashing, same, "left_anti"), df.join(clashing, same, "left_semi")
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str] = TRANSACTION_TABLE_KEY) -> DataFrame:
     """Keys a plain insert would fail on, with their number of rows."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")

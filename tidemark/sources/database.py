@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from ..operators.tablekey import default_timestamp, first_per_key
+from ..operators.tablekey import default_timestamp, duplicate_keys, split_clashes
 from ..schemas import TRANSACTION_TABLE_KEY
 
 
@@ -135,17 +135,47 @@ def slice_predicates(
     return [f"{span} AND MOD({hash_sql}, {hash_parts}) = {i}" for span in spans for i in range(hash_parts)]
 
 
-def prepare_append(rows: DataFrame) -> DataFrame:
-    """Rows as the table will hold them: default timestamp, two-decimal price, unique key."""
-    timed = default_timestamp(rows)
-    return first_per_key(timed.withColumn("price", F.col("price").cast("decimal(10,2)")), TRANSACTION_TABLE_KEY)
+class KeyClash(ValueError):
+    """Rows of one append share a table key; nothing was written."""
 
 
-def append(rows: DataFrame, table: JdbcTable, connections: int = 8) -> None:
-    options = table.append_options(connections)
-    prepare_append(rows).write.format("jdbc").options(**options).mode("append").save()
+def prepare_append(rows: DataFrame) -> DataFrame:
+    """Rows as the table will hold them, all of them: default timestamp and two-decimal price."""
+    return default_timestamp(rows).withColumn("price", F.col("price").cast("decimal(10,2)"))
 
 
-def append_batches(table: JdbcTable, connections: int = 8) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function appending every micro-batch."""
-    return lambda batch, _batch_id: append(batch, table, connections)
+def append(
+    rows: DataFrame, table: JdbcTable, connections: int = 8, clash_folder: str | None = None, shown: int = 10
+) -> None:
+    """Insert every row. Rows that share a table key raise ``KeyClash`` before anything is written, as the table's own
+    key would; with ``clash_folder`` they are kept there, all of them, and the other rows are inserted.
+    """
+    ready = prepare_append(rows)
+    if clash_folder is None:
+        clashes = duplicate_keys(ready).select(*TRANSACTION_TABLE_KEY).take(shown)
+        if clashes:
+            raise KeyClash(f"several rows for {', '.join(str(tuple(row)) for row in clashes)} and perhaps more keys")
+    else:
+        ready, clashing = split_clashes(ready)
+        clashing.write.mode("overwrite").parquet(clash_folder)
+    insert(ready, table, connections)
+
+
+def insert(rows: DataFrame, table: JdbcTable, connections: int) -> None:
+    rows.write.format("jdbc").options(**table.append_options(connections)).mode("append").save()
+
+
+def append_batches(
+    table: JdbcTable, connections: int = 8, clash_folder: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function appending every micro-batch. A repeated batch replaces its own clash folder's part."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folder = None if clash_folder is None else f"{clash_folder}/batch={batch_id}"
+        batch = batch.persist()  # counted for clashes, then written
+        try:
+            append(batch, table, connections, folder)
+        finally:
+            batch.unpersist()
+
+    return write
