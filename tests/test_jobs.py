@@ -1,5 +1,6 @@
 """The jobs end to end, with folders of raw messages in place of topics."""
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -12,6 +13,8 @@ from tidemark.schemas import ALERT, ENVELOPE, GENERATED_TRANSACTION, SUMMARY_WIR
 from tidemark.sources import database, replayed, synthetic, topics
 from tidemark.streaming import batches, ingest, jobs
 
+INTAKE = jobs.Intake(frozenset({3}), max_rows=1_000_000)  # the id that messages here carry
+
 
 def as_topic(df, schema, folder):
     """Store records as raw messages: (key, value bytes, topic, partition, offset, timestamp)."""
@@ -69,7 +72,7 @@ def test_alert_job(spark, wired, small):
         {"key": F.col("sensor_id"), "partition": F.lit(0), "offset": F.lit(0).cast("bigint"), "record_time": F.current_timestamp()}
     )
     as_topic(messages, TELEMETRY, f"{wired}/in")
-    jobs.run_alerts(spark, AlertParams(), f"{wired}/checkpoint", 42).awaitTermination()
+    jobs.run_alerts(spark, AlertParams(), f"{wired}/checkpoint", 42, INTAKE).awaitTermination()
     out = decoded(spark, wired, ALERT)
     assert same(out.drop("k"), rules.raise_alerts(telemetry))
     assert out.where("k <> sensor_id").count() == 0
@@ -86,7 +89,7 @@ def sales_topic(spark, wired, small):
 
 def test_summary_job(spark, wired, sales_topic):
     params = SummaryParams(window_minutes=60)
-    jobs.run_summary(spark, params, f"{wired}/checkpoint", 42).awaitTermination()
+    jobs.run_summary(spark, params, f"{wired}/checkpoint", 42, INTAKE).awaitTermination()
     out = decoded(spark, wired, SUMMARY_WIRE)
     expected = summary.summarize(sales_topic, 60).withColumn("total_quantity", F.col("total_quantity").cast("int"))
     assert same(out.drop("k"), expected)
@@ -95,27 +98,34 @@ def test_summary_job(spark, wired, sales_topic):
 
 def test_strict_summary_job(spark, wired, sales_topic):
     params = SummaryParams(window_minutes=60)
-    jobs.run_strict_summary(spark, params, f"{wired}/checkpoint", 42).awaitTermination()
+    jobs.run_strict_summary(spark, params, f"{wired}/checkpoint", 42, INTAKE).awaitTermination()
     kept = lateness.drop_late(sales_topic, 60)
     expected = summary.summarize(kept, 60).withColumn("total_quantity", F.col("total_quantity").cast("int"))
     assert same(decoded(spark, wired, SUMMARY_WIRE).drop("k"), expected)
 
 
 def test_store_job(spark, folder, monkeypatch):
-    """Generated messages arrive at the table rounded, timed and with a unique key."""
+    """All generated messages arrive at the table, rounded and timed by their record; foreign ones in their folder."""
     made = synthetic.transactions(synthetic.row_numbers(spark, 200)).withColumns(
-        {"partition": F.lit(0), "offset": F.lit(0).cast("bigint"), "record_time": F.current_timestamp()}
+        {"partition": F.lit(0), "offset": F.lit(0).cast("bigint"), "record_time": F.timestamp_seconds(F.lit(1_700_000_000) + F.monotonically_increasing_id())}
     )
     as_topic(made, GENERATED_TRANSACTION, f"{folder}/in")
+    stray = spark.createDataFrame([(b"k", b"{json}", "t", 0, 9, datetime(2024, 1, 1))], ENVELOPE)
+    stray.write.mode("append").parquet(f"{folder}/in")
     stored = f"{folder}/table"
     monkeypatch.setattr(
-        database, "append", lambda rows, table, connections=8: database.prepare_append(rows).write.mode("append").parquet(stored)
+        database, "insert", lambda rows, table, connections: rows.write.mode("append").parquet(stored)
     )
     raw = spark.readStream.schema(ENVELOPE).parquet(f"{folder}/in")
-    out = ingest.store_transactions(raw, database.JdbcTable("jdbc:none", "t"), f"{folder}/checkpoint")
+    intake = replace(INTAKE, foreign_folder=f"{folder}/foreign")
+    out = ingest.store_transactions(raw, database.JdbcTable("jdbc:none", "t"), f"{folder}/checkpoint", intake)
     out.trigger(availableNow=True).start().awaitTermination()
     table = spark.read.parquet(stored)
-    assert table.count() == made.select("transaction_id").distinct().count()
+    assert table.count() == 200
+    for query in spark.streams.active:
+        query.processAllAvailable()
+        query.stop()
+    assert [r.offset for r in spark.read.parquet(f"{folder}/foreign").collect()] == [9]
     assert dict(table.dtypes)["price"] == "decimal(10,2)"
     assert table.where("timestamp IS NULL OR timestamp <> date_trunc('second', timestamp)").count() == 0
 

@@ -1,8 +1,11 @@
 """Command line of the jobs: ``spark-submit job.py <job>`` or ``python -m tidemark <job>``.
 
 Settings come from the environment (see ``params.ENVIRONMENT``). Besides, every job needs
-CHECKPOINT_LOCATION, and what it writes to a topic carries SCHEMA_ID. The table jobs read
-JDBC_URL, JDBC_DRIVER, JDBC_USER and JDBC_PASSWORD.
+CHECKPOINT_LOCATION. What is written to a topic carries SCHEMA_ID; what is read from one must carry one of
+INPUT_SCHEMA_IDS (comma-separated), and anything else stops the job or goes to FOREIGN_FOLDER.
+MAX_OFFSETS_PER_TRIGGER bounds a micro-batch (``strict-summary`` needs it) and MIN_PARTITIONS splits hot topic
+partitions. The table jobs read JDBC_URL, JDBC_DRIVER, JDBC_USER and JDBC_PASSWORD; ``poll`` needs JDBC_SLICES and takes
+JDBC_HASH_SQL with JDBC_HASH_PARTS; ``store`` takes CLASH_FOLDER.
 """
 
 from __future__ import annotations
@@ -32,22 +35,53 @@ def _table() -> JdbcTable:
     return JdbcTable(_required("JDBC_URL"), os.environ.get("JDBC_TABLE", "sales_transactions"), options)
 
 
+def _number(name: str, required: bool = False) -> int | None:
+    text = _required(name) if required else os.environ.get(name, "").strip()
+    if not text:
+        return None
+    if not text.isdigit() or int(text) < 1:
+        raise ParameterError(f"{name}={text!r} is not a positive number")
+    return int(text)
+
+
+def _intake(bounded: bool = False) -> jobs.Intake:
+    numbers = _required("INPUT_SCHEMA_IDS").split(",")
+    if not all(number.strip().isdigit() for number in numbers):
+        raise ParameterError("INPUT_SCHEMA_IDS must be numbers separated by commas")
+    return jobs.Intake(
+        frozenset(int(number) for number in numbers),
+        _number("MAX_OFFSETS_PER_TRIGGER", required=bounded),
+        _number("MIN_PARTITIONS"),
+        os.environ.get("FOREIGN_FOLDER") or None,
+    )
+
+
+def _slicing() -> dict:
+    found = {"slices": _number("JDBC_SLICES", required=True)}
+    if os.environ.get("JDBC_HASH_SQL"):
+        found |= {"hash_sql": os.environ["JDBC_HASH_SQL"], "hash_parts": _number("JDBC_HASH_PARTS", required=True)}
+    return found
+
+
 def start(spark: SparkSession, job: str):
-    checkpoint, schema_id = _required("CHECKPOINT_LOCATION"), int(os.environ.get("SCHEMA_ID", "1"))
+    checkpoint = _required("CHECKPOINT_LOCATION")
+    if job == "store":
+        params = JobParams("store-transactions", "_transactions", "sales_transactions")
+        table, intake = _table(), _intake()
+        raw = topics.read_topic(spark, params, max_rows=intake.max_rows, min_partitions=intake.min_partitions)
+        clashes = os.environ.get("CLASH_FOLDER") or None
+        return ingest.store_transactions(raw, table, checkpoint, intake, clashes).start()
+    schema_id = _number("SCHEMA_ID", required=True)
     if job == "alerts":
-        return jobs.run_alerts(spark, AlertParams.from_env(), checkpoint, schema_id)
+        return jobs.run_alerts(spark, AlertParams.from_env(), checkpoint, schema_id, _intake())
     if job == "summary":
-        return jobs.run_summary(spark, SummaryParams.from_env(), checkpoint, schema_id)
+        return jobs.run_summary(spark, SummaryParams.from_env(), checkpoint, schema_id, _intake())
     if job == "strict-summary":
-        return jobs.run_strict_summary(spark, SummaryParams.from_env(), checkpoint, schema_id)
-    if job == "store":
-        params = JobParams("store-transactions", "_transactions", "sales_transactions")
-        return ingest.store_transactions(topics.read_topic(spark, params), _table(), checkpoint).start()
+        return jobs.run_strict_summary(spark, SummaryParams.from_env(), checkpoint, schema_id, _intake(bounded=True))
     if job == "poll":
         servers = SummaryParams.from_env().bootstrap_servers
-        poll = ingest.TablePoll(
-            ingest.read_table(_table()), ingest.send_sales(servers, schema_id), f"{checkpoint}/offsets"
-        )
+        read = ingest.read_table(_table(), **_slicing())
+        poll = ingest.TablePoll(read, ingest.send_sales(servers, schema_id), f"{checkpoint}/offsets")
         return ingest.poll_table(poll, ingest.clock_stream(spark), checkpoint).start()
     kind = job.removeprefix("generate-")
     target = {"telemetry": "sensor-telemetry", "transactions": "_transactions"}[kind]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -41,9 +41,24 @@ def read_topic(spark: SparkSession, params: JobParams, streaming: bool = True, *
     return reader.format("kafka").options(**reader_options(params, **limits)).load()
 
 
-def decode_topic(raw: DataFrame, schema, schema_ids: Collection[int] | None = None) -> DataFrame:
-    """Raw Kafka columns to an envelope: string key, decoded value; foreign values become null."""
+def route(schema_ids: Collection[int], value: str = "value") -> Column:
+    """Where a message belongs: ``good``, ``empty`` (a null value) or ``foreign`` (no header, or another schema)."""
+    good = F.coalesce(wire.is_framed(value, schema_ids), F.lit(False))
+    return F.when(F.col(value).isNull(), "empty").when(good, "good").otherwise("foreign")
+
+
+def decode_topic(raw: DataFrame, schema, schema_ids: Collection[int], on_foreign: str = "fail") -> DataFrame:
+    """Raw Kafka columns to an envelope: string key, decoded value. An empty message has a null value.
+
+    A foreign message stops the job, naming its place; ``on_foreign="leave"`` gives it a null value instead, for jobs
+    that keep ``foreign_messages`` elsewhere.
+    """
+    if on_foreign not in ("fail", "leave"):
+        raise ValueError("on_foreign must be 'fail' or 'leave'")
     payload = wire.payload_if_framed("value", schema_ids)
+    if on_foreign == "fail":
+        at = F.format_string("foreign message in %s, partition %d, offset %d", "topic", "partition", "offset")
+        payload = F.when(route(schema_ids) == "foreign", F.raise_error(at).cast("binary")).otherwise(payload)
     return raw.select(
         F.col("key").cast("string").alias("key"),
         wire.decode_record(payload, schema).alias("value"),
@@ -54,9 +69,19 @@ def decode_topic(raw: DataFrame, schema, schema_ids: Collection[int] | None = No
     )
 
 
-def foreign_messages(raw: DataFrame, schema_ids: Collection[int] | None = None) -> DataFrame:
-    """The messages ``decode_topic`` gives no value for, to be kept elsewhere."""
-    return raw.where(~F.coalesce(wire.is_framed("value", schema_ids), F.lit(False)))
+def foreign_messages(raw: DataFrame, schema_ids: Collection[int]) -> DataFrame:
+    """The messages that are neither empty nor of the expected schemas, to be kept elsewhere."""
+    return raw.where(route(schema_ids) == "foreign")
+
+
+def foreign_to_files(raw: DataFrame, schema_ids: Collection[int], folder: str, checkpoint: str) -> DataStreamWriter:
+    """Foreign messages of a stream as they came, with topic, partition and offset, into ``folder``."""
+    return (
+        foreign_messages(raw, schema_ids)
+        .writeStream.format("parquet")
+        .option("path", folder)
+        .option("checkpointLocation", f"{checkpoint}/foreign")
+    )
 
 
 def encode_topic(keyed: DataFrame, schema_id: int, schema, name: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -16,6 +17,7 @@ from ..operators import shape
 from ..schemas import GENERATED_TRANSACTION, TELEMETRY, TRANSACTION
 from ..sources import database, synthetic, topics
 from . import batches
+from .jobs import Intake
 
 OFFSET = T.StructType([T.StructField("last", T.TimestampNTZType())])
 
@@ -97,10 +99,15 @@ def send_sales(bootstrap_servers: str, schema_id: int) -> Send:
     return send
 
 
-def store_transactions(raw: DataFrame, table: database.JdbcTable, checkpoint: str) -> DataStreamWriter:
-    """Generated transactions from their topic into the table; the table adds the time."""
-    rows = shape.unpack(topics.decode_topic(raw, GENERATED_TRANSACTION)).select(*GENERATED_TRANSACTION.names)
-    return rows.writeStream.foreachBatch(database.append_batches(table)).option("checkpointLocation", checkpoint)
+def store_transactions(
+    raw: DataFrame, table: database.JdbcTable, checkpoint: str, intake: Intake, clash_folder: str | None = None
+) -> DataStreamWriter:
+    """Generated transactions from their topic into the table. A row's time is its message's, in whole seconds."""
+    messages = intake.decoded(raw, GENERATED_TRANSACTION, checkpoint)
+    timed = messages.withColumn("timestamp", F.date_trunc("second", "kafka_timestamp"))
+    rows = timed.select(*GENERATED_TRANSACTION.names, "timestamp")
+    write = database.append_batches(table, clash_folder=clash_folder)
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
 # Per kind of generated record: its maker, schema, record name and key field.

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators import rules, summary
 from ..operators.shape import unpack
-from ..params import AlertParams, SummaryParams
+from ..params import AlertParams, JobParams, SummaryParams
 from ..schemas import ALERT, SUMMARY_WIRE, TELEMETRY, TRANSACTION
 from ..session import use_rocksdb_state, use_utc
 from ..sources import topics
@@ -58,10 +60,38 @@ def alerts_to_files(telemetry: DataFrame, folder: str, checkpoint: str, *, once:
     return writer(alerts, checkpoint, "append", once=once).format("parquet").option("path", folder).start()
 
 
-def run_alerts(spark: SparkSession, params: AlertParams, checkpoint: str, schema_id: int) -> StreamingQuery:
+@dataclass(frozen=True)
+class Intake:
+    """How a job reads its topic.
+
+    ``schema_ids`` are those the topic's messages may carry. A message with another one, or damaged, stops the job, or
+    is kept in ``foreign_folder`` if that is given. ``max_rows`` bounds a micro-batch, ``min_partitions`` splits hot topic
+    partitions over more tasks; neither changes a result.
+    """
+
+    schema_ids: frozenset[int]
+    max_rows: int | None = None
+    min_partitions: int | None = None
+    foreign_folder: str | None = None
+
+    def messages(self, spark: SparkSession, params: JobParams, schema, checkpoint: str) -> DataFrame:
+        raw = topics.read_topic(spark, params, max_rows=self.max_rows, min_partitions=self.min_partitions)
+        return self.decoded(raw, schema, checkpoint)
+
+    def decoded(self, raw: DataFrame, schema, checkpoint: str) -> DataFrame:
+        """The records, foreign messages going to their folder by a query of its own over the same offsets."""
+        if self.foreign_folder is None:
+            return unpack(topics.decode_topic(raw, schema, self.schema_ids))
+        aside = topics.foreign_to_files(raw, self.schema_ids, self.foreign_folder, checkpoint)
+        aside.trigger(processingTime=COMMIT_INTERVAL).start()
+        return unpack(topics.decode_topic(raw, schema, self.schema_ids, on_foreign="leave"))
+
+
+def run_alerts(
+    spark: SparkSession, params: AlertParams, checkpoint: str, schema_id: int, intake: Intake
+) -> StreamingQuery:
     """Telemetry topic to alert topic: stateless, no exchange."""
-    raw = topics.read_topic(use_utc(spark), params)
-    telemetry = unpack(topics.decode_topic(raw, TELEMETRY))
+    telemetry = intake.messages(use_utc(spark), params, TELEMETRY, checkpoint)
     alerts = rules.keyed_alerts(rules.raise_alerts(telemetry, rules.default_rules(params)))
     encoded = topics.encode_topic(alerts, schema_id, ALERT, "SensorAlerts")
     return topics.topic_writer(encoded, params, checkpoint, "append").start()
@@ -71,19 +101,25 @@ def _summary_messages(summaries: DataFrame, schema_id: int) -> DataFrame:
     return topics.encode_topic(summary.keyed_summary(summaries), schema_id, SUMMARY_WIRE, "sales_summary")
 
 
-def run_summary(spark: SparkSession, params: SummaryParams, checkpoint: str, schema_id: int) -> StreamingQuery:
+def run_summary(
+    spark: SparkSession, params: SummaryParams, checkpoint: str, schema_id: int, intake: Intake
+) -> StreamingQuery:
     """Sales topic to summary topic, one update per changed window and commit interval."""
-    raw = topics.read_topic(use_rocksdb_state(use_utc(spark)), params)
-    sales = unpack(topics.decode_topic(raw, TRANSACTION))
+    sales = intake.messages(use_rocksdb_state(use_utc(spark)), params, TRANSACTION, checkpoint)
     updates = summary_updates(sales, params.window_minutes, time_col="kafka_timestamp")
     out = topics.topic_writer(_summary_messages(updates, schema_id), params, checkpoint, "update")
     return out.trigger(processingTime=COMMIT_INTERVAL).start()
 
 
-def run_strict_summary(spark: SparkSession, params: SummaryParams, checkpoint: str, schema_id: int) -> StreamingQuery:
-    """As ``run_summary``, but judging every record by exact zero grace."""
-    raw = topics.read_topic(use_utc(spark), params)
-    sales = unpack(topics.decode_topic(raw, TRANSACTION)).select(*STRICT_INPUT)
+def run_strict_summary(
+    spark: SparkSession, params: SummaryParams, checkpoint: str, schema_id: int, intake: Intake
+) -> StreamingQuery:
+    """As ``run_summary``, but judging every record by exact zero grace. A micro-batch is kept on the executors while it
+    is judged, so ``intake.max_rows`` must bound it.
+    """
+    if intake.max_rows is None:
+        raise ValueError("the strict summary needs intake.max_rows")
+    sales = intake.messages(use_utc(spark), params, TRANSACTION, checkpoint).select(*STRICT_INPUT)
     job = StrictSummary(
         f"{checkpoint}/strict",
         params.window_minutes,
