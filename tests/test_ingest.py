@@ -7,6 +7,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import wire
 from tidemark.operators import shape, tablekey
@@ -92,9 +93,50 @@ def test_stream_guard(spark, folder):
 
 
 def test_prepared_rows_fit_the_table(spark):
+    """Every row stays, also where the default time makes keys clash."""
     out = database.prepare_append(table(spark, ("t1", 123.456, 0), ("t1", 9.0, 0)).drop("timestamp"))
     assert dict(out.dtypes)["price"] == "decimal(10,2)" and "timestamp" in out.columns
-    assert out.count() == 1
+    assert out.count() == 2
+
+
+@pytest.fixture
+def inserted(monkeypatch, folder):
+    path = f"{folder}/table"
+    monkeypatch.setattr(database, "insert", lambda rows, table, connections: rows.write.mode("append").parquet(path))
+    return path
+
+
+def many(spark, rows):
+    """Generated ids repeat: there are far fewer than rows."""
+    return spark.range(rows).select(
+        F.concat(F.lit("t"), F.col("id") % 59_049).alias("transaction_id"), F.lit("p").alias("product_id"),
+        F.lit("c").alias("category"), F.lit(1).alias("quantity"), F.lit(1.0).alias("price"),
+    )
+
+
+def test_a_large_append_fails_or_keeps_every_row(spark, inserted, folder):
+    rows = many(spark, 1_000_000)
+    with pytest.raises(database.KeyClash, match="t[0-9]+"):
+        database.append(rows, None)
+    database.append(rows, None, clash_folder=f"{folder}/clash")
+    assert spark.read.parquet(f"{folder}/clash").count() == 1_000_000
+    timed = rows.withColumn("timestamp", F.timestamp_seconds(F.lit(T0.timestamp()) + F.monotonically_increasing_id()))
+    database.append(timed, None)
+    assert spark.read.parquet(inserted).count() == 1_000_000
+
+
+def test_clashing_rows_go_aside_whole(spark, inserted, folder):
+    rows = table(spark, ("t1", 1.0, 0), ("t1", 2.0, 0), ("t1", 3.0, 1), ("t2", 4.0, 0))
+    database.append(rows, None, clash_folder=f"{folder}/clash")
+    assert sorted(r.price for r in spark.read.parquet(inserted).collect()) == [3, 4]
+    assert sorted(r.price for r in spark.read.parquet(f"{folder}/clash").collect()) == [1, 2]
+
+
+def test_default_times_are_now(spark):
+    before = datetime.now().timestamp()
+    made = tablekey.default_timestamp(many(spark, 3)).select(F.unix_micros("timestamp").alias("t")).collect()
+    after = datetime.now().timestamp()
+    assert all(int(before) <= r.t / 1e6 <= after and r.t % 1_000_000 == 0 for r in made)
 
 
 # --- incremental reads
@@ -235,22 +277,35 @@ def test_topic_round_trip_without_a_broker(spark):
         F.lit(0).cast("bigint").alias("offset"), F.current_timestamp().alias("timestamp"),
     )
     assert raw.columns == ENVELOPE.names
-    back = topics.decode_topic(raw, ALERT).first()
+    back = topics.decode_topic(raw, ALERT, {5}).first()
     assert back.key == "sensor_111" and tuple(back.value) == alert
 
 
-def test_foreign_messages_become_null_values(spark):
-    raw = spark.createDataFrame([(b"k", b"{json}", "t", 0, 0, T0)], ENVELOPE)
-    decoded = topics.decode_topic(raw, TELEMETRY)
-    assert decoded.first().value is None
+def test_foreign_messages_stop_or_go_aside(spark):
+    raw = spark.createDataFrame([(b"k", b"{json}", "t", 3, 14, T0), (b"k", None, "t", 3, 15, T0)], ENVELOPE)
+    with pytest.raises(Exception, match="foreign message in t, partition 3, offset 14"):
+        topics.decode_topic(raw, TELEMETRY, {5}).collect()
+    decoded = topics.decode_topic(raw, TELEMETRY, {5}, on_foreign="leave")
+    assert [r.value for r in decoded.collect()] == [None, None]
     assert shape.unpack(decoded).count() == 0
-    assert topics.foreign_messages(raw).count() == 1
-    framed = raw.withColumn("value", F.unhex(F.lit("0000000005")))
-    assert topics.foreign_messages(framed).count() == 0
+    assert [r.offset for r in topics.foreign_messages(raw, {5}).collect()] == [14]
+    framed = raw.limit(1).withColumn("value", F.unhex(F.lit("0000000005")))
     assert topics.foreign_messages(framed, {5}).count() == 0
     assert topics.foreign_messages(framed, {6}).count() == 1
 
 
+def test_a_body_of_another_shape_is_damaged(spark):
+    """A shorter reader schema leaves bytes over."""
+    longer = StructType([StructField("a", StringType()), StructField("b", StringType())])
+    shorter = StructType(longer.fields[:1])
+    body = spark.createDataFrame([("x", "y")], longer).select(wire.encode_record(F.struct("a", "b"), longer).alias("body"))
+    if wire.spark_avro_loaded(spark):
+        pytest.skip("spark-avro does not look at what follows a record")
+    assert body.select(wire.decode_record(F.col("body"), shorter, fail_fast=False).alias("r")).first().r is None
+    with pytest.raises(Exception, match="damaged"):
+        body.select(wire.decode_record(F.col("body"), shorter)).collect()
+
+
 def test_framing_accepts_a_column(spark):
     df = spark.createDataFrame([(258, b"x")], "id int, body binary")
     assert df.select(wire.framed(F.col("body"), F.col("id"))).first()[0] == b"\x00\x00\x00\x01\x02x"

@@ -66,6 +66,8 @@ def raise_alerts(telemetry: DataFrame, rules: Sequence[Rule] | None = None) -> D
     and the source is read once.
     """
     rules = default_rules() if rules is None else rules
+    if not rules:
+        raise ValueError("at least one rule is needed")
     fired = [
         F.when(
             rule.fires(),

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import wire
 from ..operators import lateness, rules, shape, summary, tablekey
@@ -81,6 +82,22 @@ def summary_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.summarize(keyed, 60)
 
 
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded sales messages: published 90 minutes after their payload's time, every fifth without a value."""
+    rows = _transactions(spark, sf_dir)
+    value = F.when(F.col("quantity") % 5 != 0, F.struct(*TRANSACTION.names))
+    return rows.select(
+        "key", value.alias("value"), F.lit("sales-transactions").alias("topic"), "partition", "offset",
+        (F.col("timestamp") + F.expr("INTERVAL 90 MINUTES")).alias("timestamp"),
+    )
+
+
+def summary_record_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows by the record time of messages; those without a value never count."""
+    present = summary.with_key_and_value(_messages(spark, sf_dir), value="value")
+    return summary.summarize(shape.unpack(present), 60, time_col="kafka_timestamp")
+
+
 def summary_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = summary.keyed_summary(summary.summarize(_transactions(spark, sf_dir), 60))
     return keyed.select("key", "value.total_quantity", "value.window_start")
@@ -165,6 +182,28 @@ def summary_stream_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.result(spark)
 
 
+def summary_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily totals over three deliveries, each a new start on the same checkpoint, with every tenth record a delivery late.
+
+    Deliveries are cut at noon, so a day's window is updated from two of them; a record is dropped if its day ended
+    before the latest time of the deliveries before its own.
+    """
+    sales = _transactions(use_rocksdb_state(spark), sf_dir).select(
+        "key", "quantity", "price", "timestamp", F.endswith("transaction_id", F.lit("0")).cast("int").alias("late")
+    )
+    cuts = sum((F.col("timestamp") >= f"2024-01-{day} 12:00:00").cast("int") for day in (11, 21))
+    root = shared_dir(spark, "summary-batches")
+    sales.withColumn("delivery", F.least(F.lit(2), cuts + F.col("late"))).write.partitionBy("delivery").parquet(f"{root}/arrivals")
+    for i in range(3):
+        arrived = spark.read.schema(sales.schema).parquet(f"{root}/arrivals/delivery={i}")
+        arrived.coalesce(1).write.mode("append").parquet(f"{root}/topic")
+        stream = spark.readStream.schema(sales.schema).parquet(f"{root}/topic")
+        updates = jobs.summary_updates(stream, 1440)
+        jobs.summary_to_table(updates, f"{root}/updates", f"{root}/checkpoint", once=True).awaitTermination()
+    changelog = batches.read_changelog(spark, f"{root}/updates", SUMMARY)
+    return batches.last_wins(changelog, ["category", "window_start", "window_end"])
+
+
 def last_wins_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily running totals as an update stream, reduced to the newest update per category."""
     daily = summary.summarize(_transactions(spark, sf_dir), 1440)
@@ -214,6 +253,12 @@ def shape_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shape_record_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The name the chain gives a record's schema, as the encoder reads it back."""
+    shaped = shape.sales_chain("sales.sales_transactions")(_sales_envelope(spark, sf_dir))
+    return shaped.select("key", "value.transaction_id", F.lit(shape.record_name(shaped)).alias("record_name"))
+
+
 def round_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices pass through FLOAT on their way to DECIMAL(10,2)."""
     floats = _transactions(spark, sf_dir).withColumn("price", F.col("price").cast("float"))
@@ -221,10 +266,23 @@ def round_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def default_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = tablekey.default_timestamp(_records(spark, sf_dir).drop("timestamp"))
-    whole = F.col("timestamp") == F.date_trunc("second", "timestamp")
-    near = F.abs(F.unix_seconds("timestamp") - F.unix_seconds(F.current_timestamp())) <= 1
-    return filled.select("transaction_id", whole.cast("int").alias("whole_second"), near.cast("int").alias("is_now"))
+    """Rows with a time keep it to the microsecond; rows without one get whole seconds, after every time in the data."""
+    rows = _records(spark, sf_dir)
+    even = F.col("quantity") % 2 == 0
+    given = tablekey.default_timestamp(rows.where(even))
+    filled = tablekey.default_timestamp(rows.where(~even).drop("timestamp"))
+    micros = F.unix_micros("timestamp")
+    return given.select("transaction_id", micros.alias("given_us"), F.lit(None).cast("int").alias("whole")).union(
+        filled.select("transaction_id", F.lit(None).cast("bigint"), (micros % 1_000_000 == 0).cast("int"))
+    )
+
+
+def append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of an append: those to insert, and those whose table key several rows share."""
+    alone, clashing = tablekey.split_clashes(_with_copies(spark, sf_dir))
+    return alone.withColumn("clash", F.lit(0)).union(clashing.withColumn("clash", F.lit(1))).select(
+        "transaction_id", F.unix_millis("timestamp").alias("timestamp_ms"), "quantity", "offset", "clash"
+    )
 
 
 def _with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,6 +362,32 @@ def wire_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return foreign.select("event_id", F.hex("value").alias("value_hex"))
 
 
+EVENT_TYPE = T.StructType([T.StructField("event_type", T.StringType())])
+
+
+def wire_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message once: good ones with their record, empty ones, and foreign ones (wrong id, too short, unframed)."""
+    events = replayed.events(spark, sf_dir)
+    body = wire.encode_record(F.struct("event_type"), EVENT_TYPE)
+    kind = F.col("event_id") % 6
+    value = (
+        F.when(kind == 0, F.lit(None).cast("binary"))
+        .when(kind == 1, wire.framed(body, 77))
+        .when(kind == 2, F.unhex(F.lit("0000")))
+        .when(kind == 3, body)
+        .otherwise(wire.framed(body, 8))
+    )
+    raw = events.select(
+        "event_id", F.col("event_type").cast("binary").alias("key"), value.alias("value"), F.lit("t").alias("topic"),
+        F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"),
+    )
+    good = topics.decode_topic(raw.where(topics.route({8}) != "foreign"), EVENT_TYPE, {8})
+    foreign = topics.foreign_messages(raw, {8})
+    return good.select(F.col("offset").alias("event_id"), F.lit(0).alias("foreign"), "value.event_type").union(
+        foreign.select("event_id", F.lit(1), F.lit(None).cast("string"))
+    )
+
+
 def wire_alert_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts as the bytes a topic carries."""
     keyed = rules.keyed_alerts(rules.raise_alerts(_telemetry(spark, sf_dir)))
@@ -390,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "summary_60min": _summary(60),
     "summary_1day": _summary(1440),
     "summary_null_key": summary_null_key,
+    "summary_record_time": summary_record_time,
     "summary_keyed": summary_keyed,
     "window_aggregate_60min": window_aggregate_60min,
     "summary_strict_1min": _summary_strict(1),
@@ -401,20 +486,24 @@ QUERIES: dict[str, Query] = {
     "summary_stream_update": summary_stream_update,
     "summary_stream_append": summary_stream_append,
     "summary_stream_strict": summary_stream_strict,
+    "summary_stream_batches": summary_stream_batches,
     "last_wins_table": last_wins_table,
     "shape_cast_price": shape_cast_price,
     "shape_route_topic": shape_route_topic,
     "shape_key": shape_key,
     "shape_key_from_field": shape_key_from_field,
     "shape_chain": shape_chain,
+    "shape_record_name": shape_record_name,
     "round_price": round_price,
     "default_timestamp": default_timestamp,
+    "append_rows": append_rows,
     "table_key_guard": table_key_guard,
     "table_key_conflicts": table_key_conflicts,
     "incremental_read": incremental_read,
     "incremental_replay": incremental_replay,
     "wire_header": wire_header,
     "wire_foreign": wire_foreign,
+    "wire_routing": wire_routing,
     "wire_alert_bytes": wire_alert_bytes,
     "wire_transactions": wire_transactions,
     "wire_telemetry": wire_telemetry,

@@ -211,6 +211,14 @@ ORACLES: dict[str, str] = {
     "summary_stream_append": f"""WITH {_TX}, s AS ({_totals("tx", 1)})
         SELECT * FROM s WHERE window_end <= (SELECT max(epoch_us(ts)) // 1000 FROM tx)""",
     "summary_stream_strict": _strict(60),
+    "summary_stream_batches": f"""WITH {_TX}, d AS (
+        SELECT *, least(2, (ts >= TIMESTAMP '2024-01-11 12:00')::int + (ts >= TIMESTAMP '2024-01-21 12:00')::int
+                           + (event_id % 10 = 0)::int) AS delivery FROM tx),
+        seen AS (SELECT delivery, max(ts) AS latest FROM d GROUP BY 1),
+        before AS (SELECT a.delivery, max(b.latest) AS latest FROM seen a LEFT JOIN seen b ON b.delivery < a.delivery GROUP BY 1),
+        kept AS (SELECT d.* FROM d JOIN before USING (delivery)
+                 WHERE latest IS NULL OR date_trunc('day', ts) + INTERVAL 1 DAY > latest)
+        {_totals("kept", 1440)}""",
     "last_wins_table": f"""WITH {_TX}, daily AS ({_totals("tx", 1440)}), {_LAST_DAY}
         SELECT category, total_quantity, total_revenue, window_start
         FROM daily JOIN last_day USING (category, window_start)""",
@@ -223,8 +231,18 @@ ORACLES: dict[str, str] = {
         category, quantity, price::double AS price, epoch_us(ts) AS timestamp_us FROM tx""",
     "round_price": """SELECT concat('tx', event_id::varchar) AS transaction_id,
         cast(cast(value AS float) AS decimal(10,2))::double AS price FROM events""",
-    "default_timestamp": """SELECT concat('tx', event_id::varchar) AS transaction_id,
-        1 AS whole_second, 1 AS is_now FROM events""",
+    "default_timestamp": f"""WITH {_TX} SELECT transaction_id,
+        CASE WHEN quantity % 2 = 0 THEN epoch_us(ts) END AS given_us,
+        CASE WHEN quantity % 2 = 1 THEN 1 END::int AS whole FROM tx""",
+    "append_rows": f"""WITH {_TX} SELECT product_id AS transaction_id, epoch_ms(date_trunc('hour', ts)) AS timestamp_ms,
+        quantity, sparse_offset AS "offset",
+        (count(*) OVER (PARTITION BY product_id, date_trunc('hour', ts)) > 1)::int AS clash FROM tx""",
+    "summary_record_time": f"""WITH {_TX}, moved AS (
+        SELECT * REPLACE (ts + INTERVAL 90 MINUTES AS ts) FROM tx WHERE quantity % 5 <> 0) {_totals("moved", 60)}""",
+    "shape_record_name": f"""WITH {_TX} SELECT category AS key, transaction_id,
+        'sales.sales_transactions' AS record_name FROM tx""",
+    "wire_routing": """SELECT event_id, (event_id % 6 IN (1, 2, 3))::int AS "foreign",
+        CASE WHEN event_id % 6 > 3 THEN event_type END AS event_type FROM events""",
     "table_key_guard": f"""WITH {_TX}, numbered AS (
         SELECT *, row_number() OVER (PARTITION BY product_id, date_trunc('hour', ts) ORDER BY sparse_offset) AS n FROM tx)
         SELECT product_id AS transaction_id, epoch_ms(date_trunc('hour', ts)) AS timestamp_ms, category, quantity,
