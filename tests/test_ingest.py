@@ -160,6 +160,14 @@ def test_first_and_empty_polls(spark):
     assert rows.count() == 0 and same == offset
 
 
+def test_poll_numbers_agree_with_polls(spark):
+    df = table(spark, *[(f"t{i}", 1.0, i * i % 50) for i in range(40)])
+    uppers = [T0 + timedelta(seconds=s) for s in (9, 9, 25, 49, 60)]
+    one = sorted((r.transaction_id, r.poll) for r in database.poll_numbers(df, "timestamp", uppers).collect())
+    polls = database.replay(df, "timestamp", uppers)
+    assert one == sorted((r.transaction_id, i) for i, (rows, _) in enumerate(polls) for r in rows.collect())
+
+
 def test_replay_reads_every_row_once(spark):
     df = table(spark, *[(f"t{i}", 1.0, i * i % 50) for i in range(40)])
     polls = database.replay(df, "timestamp", [T0 + timedelta(seconds=s) for s in (9, 9, 25, 60)])

@@ -201,10 +201,25 @@ def test_state_holds_open_windows_only(spark, folder):
     assert changed_nothing.count() == 0  # its untouched windows have been dropped from the log
 
 
-def test_strict_keeps_a_subset_of_native_on_one_partition(spark, folder):
-    parts = numbered(BATCHES)
-    strict_total = sum(STRICT.values())
-    assert strict_total <= sum(NATIVE.values()) <= sum(row[1] for part in parts for row in part)
+def test_published_totals_cover_all_partitions(spark, folder):
+    """A key in two partitions: a reader that keeps the last message per window holds the sum."""
+    held = {}
+
+    def publish(updates):
+        held.update({(r.category, r.window_start): r.total_quantity for r in updates.collect()})
+
+    job = strict.StrictSummary(f"{folder}/state", 1, publish=publish, compact_every=2)
+    deliveries = [[("a", 1, 1, 0, 0), ("a", 2, 2, 1, 0)], [("a", 4, 3, 0, 1)], [("a", 8, 70, 0, 2), ("a", 16, 5, 1, 1)],
+                  [("a", 32, 80, 1, 2)], [("a", 64, 81, 1, 3)], [("a", 128, 90, 0, 3)]]
+    rows = "key string, quantity int, second int, partition int, offset long"
+    for batch_id, part in enumerate(deliveries):
+        timed = spark.createDataFrame(part, rows).withColumns(
+            {"price": F.lit(1.0), "timestamp": F.timestamp_seconds(F.lit(1_704_067_200) + F.col("second"))}
+        )
+        job(timed, batch_id)
+    expected = {(r.category, r.window_start): r.total_quantity for r in job.result(spark).collect()}
+    assert held == expected and sorted(held.values()) == [23, 232]
+    assert len(batches.batch_ids(spark, f"{folder}/state/windows")) < len(deliveries)
 
 
 def test_records_are_not_sorted_or_exchanged_while_the_expiry_table_is_small(spark, small):

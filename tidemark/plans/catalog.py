@@ -318,12 +318,7 @@ def incremental_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = replayed.events(spark, sf_dir)
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     uppers = [first + (last - first) * i / 4 for i in range(1, 5)] + [last + timedelta(seconds=1)]
-    polls = database.replay(events, "ts", uppers)
-    read = None
-    for number, (rows, _) in enumerate(polls):
-        part = rows.select("event_id", F.lit(number).alias("poll"))
-        read = part if read is None else read.unionByName(part)
-    return read
+    return database.poll_numbers(events, "ts", uppers).select("event_id", "poll")
 
 
 # --- wire format ----------------------------------------------------------------------------

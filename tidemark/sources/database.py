@@ -53,6 +53,17 @@ def replay(
     return polls
 
 
+def poll_numbers(table: DataFrame, ts_col: str, uppers: Sequence[datetime], name: str = "poll") -> DataFrame:
+    """The rows that successive polls at the given, rising clock readings return, with the poll's number, in one scan.
+
+    A row belongs to the first poll whose reading lies behind its time; ``replay`` reads the same rows poll by poll.
+    """
+    number = F.lit(0)
+    for upper in uppers[:-1]:
+        number = number + (F.col(ts_col) >= _moment(table, ts_col, upper)).cast("int")
+    return newer_than(table, ts_col, None, uppers[-1]).withColumn(name, number)
+
+
 @dataclass(frozen=True)
 class JdbcTable:
     """Where a table lives. ``options`` takes driver, user, password, fetchsize and so on.

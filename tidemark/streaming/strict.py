@@ -50,9 +50,10 @@ class StrictSummary:
     """``foreachBatch`` target writing the update changelog below ``folder``.
 
     Offsets must rise from batch to batch within a partition, as a topic delivers them. As in
-    the original, totals belong to a partition: a key is expected to live in one partition
-    only, and ``result`` adds up whatever several partitions hold. ``publish`` receives the
-    summary records every batch has changed; a repeated batch publishes them again.
+    the original, totals belong to a partition; ``result`` and what is published add up whatever
+    several partitions hold of a key. ``publish`` receives the summary records every batch has
+    changed; a repeated batch publishes them again. Every ``compact_every`` batches the changelog
+    is folded, so neither its folders nor a reader's work grow with the number of batches.
     """
 
     folder: str
@@ -60,6 +61,7 @@ class StrictSummary:
     key: str = "key"
     time_col: str = "timestamp"
     publish: Callable[[DataFrame], None] | None = None
+    compact_every: int = 100
 
     def _window_start(self) -> Column:
         return F.col(lateness.WINDOW_NO) * F.lit(self.window_minutes * 60_000).cast("bigint")
@@ -110,11 +112,12 @@ class StrictSummary:
             )
             if self.publish:
                 changed = self._at(spark, "windows", batch_id, WINDOWS).where("changed = 1")
-                self.publish(
-                    summary_record(changed.withColumn("window_start", self._window_start()), self.window_minutes)
-                )
+                shared = ["category", lateness.WINDOW_NO]
+                self.publish(self._summed(self._latest(spark).join(changed.select(*shared).distinct(), shared)))
         finally:
             records.unpersist()
+        if batch_id and batch_id % self.compact_every == 0:
+            self.compact(spark)
         batches.remove_batch(spark, self._path("expiry"), batch_id - 2)
         batches.remove_batch(spark, self._path("windows"), batch_id - 2, "changed=0")
 
@@ -128,7 +131,13 @@ class StrictSummary:
 
     def result(self, spark: SparkSession) -> DataFrame:
         """The summary table the changelog describes."""
-        latest = batches.last_wins(self.updates(spark), GROUP)
+        return self._summed(self._latest(spark))
+
+    def _latest(self, spark: SparkSession) -> DataFrame:
+        return batches.last_wins(self.updates(spark), GROUP)
+
+    def _summed(self, latest: DataFrame) -> DataFrame:
+        """Over all partitions that hold a window."""
         summed = latest.groupBy("category", self._window_start().alias("window_start")).agg(
             F.sum("total_quantity").alias("total_quantity"), F.sum("total_cents").alias("total_cents")
         )
