@@ -3,7 +3,8 @@
 Validated values are replaced by values of the same format: a keyed Feistel network permutes the numbers a format can
 write, so equal values get equal pseudonyms in every document and different values different ones. Values outside the
 format's valid range are walked on to the next (the permutation is applied again until the result is valid), which
-keeps it a permutation of the valid values.
+keeps it a permutation of the valid values. Phone and social security numbers that cannot have been issued are still
+replaced, by others of that sort, because the way they are written gives them away.
 
 Kinds: payment cards (Luhn; the check digit is made anew), IBAN (modulo 97; check digits made anew), North American
 phone numbers, social security numbers, IPv4 addresses, dates (three ways of writing; days of 1900-2099), e-mail
@@ -134,18 +135,20 @@ class Pseudonyms:
     def phone(self, text: str, back: bool = False) -> str | None:
         digits = digits_of(text)
         country, digits = (digits[:-10], digits[-10:])
-        valid = lambda x: x // 10**9 >= 2 and x // 10**6 % 10 >= 2
-        if len(digits) < 10 or country not in ("", "1") or not valid(int(digits)):
+        if len(digits) < 10 or country not in ("", "1"):
             return None
+        dialled = lambda x: x // 10**9 >= 2 and x // 10**6 % 10 >= 2
+        real = dialled(int(digits))
+        valid = lambda x: dialled(x) == real
         return refill(text, country + f"{self._permuted('phone', int(digits), 10**10, valid, back):010d}")
 
     def ssn(self, text: str, back: bool = False) -> str | None:
-        def valid(x: int) -> bool:
+        def issued(x: int) -> bool:
             area, group, serial = x // 10**6, x // 10**4 % 100, x % 10**4
             return area not in (0, 666) and area < 900 and group > 0 and serial > 0
 
         x = int(digits_of(text))
-        return refill(text, f"{self._permuted('ssn', x, 10**9, valid, back):09d}") if valid(x) else None
+        return refill(text, f"{self._permuted('ssn', x, 10**9, lambda y: issued(y) == issued(x), back):09d}")
 
     def ipv4(self, text: str, back: bool = False) -> str | None:
         parts = text.split(".")
