@@ -145,9 +145,9 @@ def train(rows: list[tuple[str | None, int]], settings: Settings) -> Model | Non
     return Model(*whole, tuple(map(float, fitted(np.stack(x), y))), settings.level)
 
 
-def fitted(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
-    """Logistic regression by Newton steps, both classes given the same weight."""
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+def fitted(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50, prior: float = 0.35) -> np.ndarray:
+    """Logistic regression by Newton steps, the toxic class given the weight ``prior`` whatever its share of the rows."""
+    weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
