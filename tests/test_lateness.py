@@ -222,18 +222,36 @@ def test_published_totals_cover_all_partitions(spark, folder):
     assert len(batches.batch_ids(spark, f"{folder}/state/windows")) < len(deliveries)
 
 
-def test_records_are_not_sorted_or_exchanged_while_the_expiry_table_is_small(spark, small):
-    kept = lateness.drop_late(replayed.transactions(replayed.events(spark, small)), 60)
+def jobs_started(spark, make):
+    group = "lateness-definition"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        made = make()
+        return made, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_no_job_runs_before_the_result_is_used(spark, small, folder):
+    sales = replayed.transactions(replayed.events(spark, small))
+    lazy, before = jobs_started(spark, lambda: lateness.drop_late(sales, 60))
+    written, with_folder = jobs_started(spark, lambda: lateness.drop_late(sales, 60, work_dir=f"{folder}/expiry"))
+    assert before == 0 and with_folder > 0
+    assert lazy.count() == written.count() and lazy.exceptAll(written).count() == 0
+
+
+def test_records_are_not_sorted_or_exchanged_while_the_expiry_table_is_small(spark, small, folder):
+    kept = lateness.drop_late(replayed.transactions(replayed.events(spark, small)), 60, work_dir=f"{folder}/expiry")
     assert inspect.exchanges(kept) == 0 and inspect.broadcasts(kept) == 1
     assert inspect.exchanges(summary.summarize(kept, 60)) == 1
 
 
-def test_large_expiry_table_is_joined_without_broadcast(spark, small):
+def test_large_expiry_table_is_joined_without_broadcast(spark, small, folder):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     try:
         sales = replayed.transactions(replayed.events(spark, small))
-        kept = lateness.drop_late(sales, 60)
+        kept = lateness.drop_late(sales, 60, work_dir=f"{folder}/expiry")
         assert inspect.broadcasts(kept) == 0
         assert kept.count() == 262
     finally:

@@ -32,4 +32,4 @@ def test_local_sessions_get_their_own_folder():
 
 def test_written_reads_back_the_same_rows(spark):
     df = spark.range(10).selectExpr("id", "id % 3 AS r")
-    assert session.written(df, "test").exceptAll(df).count() == 0
+    assert session.written_to(df, session.shared_dir(spark, "test")).exceptAll(df).count() == 0

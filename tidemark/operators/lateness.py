@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..session import written
+from ..session import written_to
 from .scan import highest, running
 from .summary import with_key_and_value
 
@@ -70,14 +70,18 @@ def mark_late(
     partition: str = "partition",
     offset: str = "offset",
     expiry: DataFrame | None = None,
+    work_dir: str | None = None,
 ) -> DataFrame:
-    """Add ``late``. The expiry table is written first, so its real size picks the join: a
-    broadcast when small, else a sort-merge join whose skewed partitions are split at run time."""
+    """Add ``late``. No job runs until the result is used, unless there is a ``work_dir``.
+
+    With a ``work_dir``, a new folder all executors can reach, the expiry table is written there first: its real size
+    picks the join, a broadcast when small, else a sort-merge join whose skewed partitions are split at run time, and the
+    records need no exchange while it is small. The caller removes the folder once the result has been used.
+    """
     if expiry is None:
-        expiry = written(
-            expiry_offsets(records, window_minutes, time_col=time_col, partition=partition, offset=offset),
-            "expiry",
-        )
+        expiry = expiry_offsets(records, window_minutes, time_col=time_col, partition=partition, offset=offset)
+        if work_dir is not None:
+            expiry = written_to(expiry, work_dir)
     late = F.coalesce(F.col(offset) >= F.col(EXPIRES_AT), F.lit(False))
     return (
         with_window_number(records, window_minutes, time_col)

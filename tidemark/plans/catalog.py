@@ -116,7 +116,9 @@ def window_aggregate_60min(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _summary_strict(window_minutes: int) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        kept = lateness.drop_late(_transactions(spark, sf_dir), window_minutes)
+        kept = lateness.drop_late(
+            _transactions(spark, sf_dir), window_minutes, work_dir=shared_dir(spark, "expiry")
+        )
         return summary.summarize(kept, window_minutes)
 
     return query
@@ -125,17 +127,17 @@ def _summary_strict(window_minutes: int) -> Query:
 def summary_strict_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyless records are skipped before they could advance the time of their partition."""
     keyed = _transactions(spark, sf_dir).withColumn("key", F.nullif("key", F.lit("view")))
-    return summary.summarize(lateness.drop_late(keyed, 60), 60)
+    return summary.summarize(lateness.drop_late(keyed, 60, work_dir=shared_dir(spark, "expiry")), 60)
 
 
 def summary_updates_60min(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changelog of the strict summary, one update per accepted record."""
-    accepted = lateness.drop_late(_transactions(spark, sf_dir), 60)
+    accepted = lateness.drop_late(_transactions(spark, sf_dir), 60, work_dir=shared_dir(spark, "expiry"))
     return summary.update_stream(accepted, 60)
 
 
 def late_rows_60min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    late = lateness.late_only(_transactions(spark, sf_dir), 60)
+    late = lateness.late_only(_transactions(spark, sf_dir), 60, work_dir=shared_dir(spark, "expiry"))
     return late.select("transaction_id", "partition", "offset", F.unix_micros("timestamp").alias("timestamp_us"))
 
 

@@ -38,12 +38,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def written_to(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a new folder all executors can reach and read it back.
 
     This cuts the lineage, survives executor loss, and gives the planner the true size of an
     aggregate, so whether it is broadcast follows from a measured size.
     """
-    path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
