@@ -144,10 +144,9 @@ def test_poll_job(spark, folder, small):
         sent.append(sorted(r.event_id for r in rows.select("event_id").collect()))
 
     poll = ingest.TablePoll(
-        lambda session, last, upper: database.read_increment(events, "ts", last, upper),
+        lambda session, last: database.read_increment(events, "ts", last, start + timedelta(hours=next(hours))),
         send,
         f"{folder}/offsets",
-        lambda: start + timedelta(hours=next(hours)),
     )
     tick = spark.range(1)
     poll(tick, 0)
@@ -167,7 +166,7 @@ def test_poll_job(spark, folder, small):
 
 def test_clock_drives_polls(spark, folder):
     seen = []
-    poll = ingest.TablePoll(lambda s, last, upper: (None, last), seen.append, f"{folder}/offsets")
+    poll = ingest.TablePoll(lambda s, last: (None, last), seen.append, f"{folder}/offsets")
     query = ingest.poll_table(poll, ingest.clock_stream(spark), f"{folder}/checkpoint", "0 seconds").start()
     try:
         query.processAllAvailable()

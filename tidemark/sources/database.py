@@ -79,8 +79,8 @@ class JdbcTable:
     def _base(self) -> dict[str, str]:
         return {"url": self.url, "fetchsize": "10000", "preferTimestampNTZ": "true", **self.options}
 
-    def span_options(self, ts_col: str, last: datetime | None, upper: datetime) -> dict[str, str]:
-        """Let the database compute the span to read; one row crosses the network."""
+    def span_options(self, ts_col: str, last: datetime | None, upper: datetime | None) -> dict[str, str]:
+        """Let the database compute the span to read; one row crosses the network. Without ``upper`` its clock bounds it."""
         where = " AND ".join(time_bounds(ts_col, last, upper))
         columns = f"min({ts_col}) AS oldest, max({ts_col}) AS newest"
         return self._base() | {"query": f"SELECT {columns} FROM {self.name} WHERE {where}"}
@@ -90,12 +90,12 @@ class JdbcTable:
         spark: SparkSession,
         ts_col: str,
         last: datetime | None,
-        upper: datetime,
+        upper: datetime | None = None,
         slices: int = 1,
         hash_sql: str | None = None,
         hash_parts: int = 1,
     ) -> tuple[DataFrame | None, datetime | None]:
-        """One poll over JDBC, read by ``slices * hash_parts`` tasks."""
+        """One poll over JDBC, read by ``slices * hash_parts`` tasks, up to ``upper`` or the database's own time."""
         span = spark.read.format("jdbc").options(**self.span_options(ts_col, last, upper)).load()
         oldest, newest = span.first()
         if newest is None:
@@ -116,9 +116,9 @@ def _literal(moment: datetime) -> str:
     return f"TIMESTAMP '{moment:%Y-%m-%d %H:%M:%S.%f}'"
 
 
-def time_bounds(ts_col: str, last: datetime | None, upper: datetime) -> list[str]:
+def time_bounds(ts_col: str, last: datetime | None, upper: datetime | None) -> list[str]:
     after = [] if last is None else [f"{ts_col} > {_literal(last)}"]
-    return [*after, f"{ts_col} < {_literal(upper)}"]
+    return [*after, f"{ts_col} < {'CURRENT_TIMESTAMP' if upper is None else _literal(upper)}"]
 
 
 def slice_predicates(

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +21,11 @@ from .jobs import Intake
 
 OFFSET = T.StructType([T.StructField("last", T.TimestampNTZType())])
 
-Read = Callable[[SparkSession, datetime | None, datetime], tuple[DataFrame | None, datetime | None]]
+# The session and the offset reached so far, to the rows newer than that (none: None) and the offset they reach.
+Read = Callable[[SparkSession, datetime | None], tuple[DataFrame | None, datetime | None]]
 Send = Callable[[DataFrame], None]
 
 
-def utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
 @dataclass(frozen=True)
 class TablePoll:
     """``foreachBatch`` target polling a table on every tick of a clock stream.
@@ -40,7 +37,6 @@ class TablePoll:
     read: Read
     send: Send
     folder: str
-    clock: Callable[[], datetime] = utc_now
 
     def last_offset(self, spark: SparkSession, batch_id: int) -> datetime | None:
         if batch_id == 0:
@@ -51,7 +47,7 @@ class TablePoll:
     def __call__(self, tick: DataFrame, batch_id: int) -> None:
         spark = tick.sparkSession
         last = self.last_offset(spark, batch_id)
-        rows, newest = self.read(spark, last, self.clock())
+        rows, newest = self.read(spark, last)
         if rows is not None and newest != last:
             self.send(rows)
         batches.write_batch(spark.createDataFrame([(newest,)], OFFSET).coalesce(1), self.folder, batch_id)
@@ -72,10 +68,11 @@ def poll_table(poll: TablePoll, clock: DataFrame, checkpoint: str, interval: str
 
 
 def read_table(table: database.JdbcTable, ts_col: str = "timestamp", **slicing) -> Read:
-    """Polls over JDBC; the time column comes back as an instant."""
+    """Polls over JDBC, each up to the database's own time, whatever zone it runs in; the time column comes back as an
+    instant."""
 
-    def read(spark: SparkSession, last: datetime | None, upper: datetime):
-        rows, newest = table.increment(spark, ts_col, last, upper, **slicing)
+    def read(spark: SparkSession, last: datetime | None):
+        rows, newest = table.increment(spark, ts_col, last, **slicing)
         return rows if rows is None else rows.withColumn(ts_col, rows[ts_col].cast("timestamp")), newest
 
     return read
