@@ -88,11 +88,33 @@ def test_header(spark):
     assert payloads == [bytearray(b"hi"), None, None, None, None, bytearray(b"")]
 
 
-def test_records_through_spark(spark):
+@pytest.fixture(params=[wire.ARROW, wire.SPARK_AVRO])
+def codec(request, spark):
+    if request.param == wire.SPARK_AVRO and not wire.spark_avro_loaded(spark):
+        pytest.skip("Spark's Avro package is not on the class path")
+    return request.param
+
+
+def test_the_codec_is_chosen_and_not_found(spark):
+    assert wire.codec() == wire.ARROW
+    spark.conf.set(wire.CODEC_SETTING, "xml")
+    try:
+        with pytest.raises(ValueError, match="xml"):
+            wire.codec()
+        assert wire.codec(wire.ARROW) == wire.ARROW
+    finally:
+        spark.conf.unset(wire.CODEC_SETTING)
+    if not wire.spark_avro_loaded(spark):
+        with pytest.raises(ValueError, match="class path"):
+            wire.codec(wire.SPARK_AVRO)
+
+
+def test_records_through_spark(spark, codec):
     rows = [("tx1", "prod_1", "säeds", 3, 12.5, datetime(2024, 1, 1, 0, 0, 0, 123000)), None]
     df = spark.createDataFrame([(r,) for r in rows], T.StructType([T.StructField("value", TRANSACTION)]))
-    message = wire.framed(wire.encode_record(F.col("value"), TRANSACTION), 9)
-    back = df.select(message.alias("m")).select(wire.decode_record(wire.payload_if_framed("m"), TRANSACTION).alias("r"))
+    message = wire.framed(wire.encode_record(F.col("value"), TRANSACTION, with_codec=codec), 9)
+    record = wire.decode_record(wire.payload_if_framed("m"), TRANSACTION, with_codec=codec)
+    back = df.select(message.alias("m")).select(record.alias("r"))
     assert [r.r if r.r is None else tuple(r.r) for r in back.collect()] == rows
 
 
@@ -102,10 +124,10 @@ def test_a_record_of_nulls_is_refused(spark):
         df.select(wire.encode_record(F.col("v"), ALERT)).collect()
 
 
-def test_wide_totals_must_fit_the_wire_int(spark):
+def test_wide_totals_must_fit_the_wire_int(spark, codec):
     df = spark.sql("SELECT struct('a' AS category, 2147483648L AS total_quantity, 1D AS total_revenue, 0L AS window_start, 1L AS window_end) AS v")
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
-        df.select(wire.encode_record(F.col("v"), SUMMARY_WIRE)).collect()
+        df.select(wire.encode_record(F.col("v"), SUMMARY_WIRE, with_codec=codec)).collect()
 
 
 def test_avro_schema_text():

@@ -15,6 +15,9 @@ from . import avroflat
 MAGIC = b"\x00"
 HEADER_BYTES = 5
 
+CODEC_SETTING = "spark.tidemark.codec"
+ARROW, SPARK_AVRO = "arrow", "spark-avro"
+
 _AVRO_TYPES = {
     T.StringType(): "string",
     T.IntegerType(): "int",
@@ -85,9 +88,27 @@ def spark_avro_loaded(spark: SparkSession) -> bool:
     return True
 
 
-def decode_record(body: Column, schema: T.StructType, fail_fast: bool = True) -> Column:
+def codec(chosen: str | None = None) -> str:
+    """Which codec reads and writes record bodies: ``chosen``, else the session's ``CODEC_SETTING``, else ``arrow``.
+
+    ``arrow`` is this package's codec for flat records. ``spark-avro`` is Spark's separate package, which must be on the
+    class path; it does not look at what follows a record, so it cannot tell a body of a longer schema. What lies on the
+    class path never chooses by itself.
+    """
+    spark = SparkSession.active()
+    name = chosen or spark.conf.get(CODEC_SETTING, None) or ARROW
+    if name not in (ARROW, SPARK_AVRO):
+        raise ValueError(f"the codec must be {ARROW!r} or {SPARK_AVRO!r}, not {name!r}")
+    if name == SPARK_AVRO and not spark_avro_loaded(spark):
+        raise ValueError("the codec 'spark-avro' needs Spark's Avro package on the class path")
+    return name
+
+
+def decode_record(
+    body: Column, schema: T.StructType, fail_fast: bool = True, with_codec: str | None = None
+) -> Column:
     """Avro bytes to a struct. Null stays null; damaged bytes raise, or give null if not fail_fast."""
-    if spark_avro_loaded(SparkSession.active()):
+    if codec(with_codec) == SPARK_AVRO:
         from pyspark.sql.avro.functions import from_avro
 
         mode = {"mode": "FAILFAST" if fail_fast else "PERMISSIVE"}
@@ -96,10 +117,12 @@ def decode_record(body: Column, schema: T.StructType, fail_fast: bool = True) ->
     return F.arrow_udf(avroflat.decoder(_kinds(schema), fail_fast), nullable)(body)
 
 
-def encode_record(record: Column, schema: T.StructType, full_name: str | None = None) -> Column:
+def encode_record(
+    record: Column, schema: T.StructType, full_name: str | None = None, with_codec: str | None = None
+) -> Column:
     """A struct to Avro bytes, its fields cast to the wire types (out-of-range values raise)."""
     fields = [record.getField(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    if spark_avro_loaded(SparkSession.active()):
+    if codec(with_codec) == SPARK_AVRO:
         from pyspark.sql.avro.functions import to_avro
 
         return to_avro(F.when(record.isNotNull(), F.struct(*fields)), avro_schema(schema, full_name or "record"))
