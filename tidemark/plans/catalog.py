@@ -13,7 +13,7 @@ from ..functions import wire
 from ..operators import lateness, rules, shape, summary, tablekey
 from ..params import AlertParams
 from ..schemas import ALERT, SUMMARY, SUMMARY_WIRE, TELEMETRY, TRANSACTION
-from ..session import shared_dir, use_rocksdb_state
+from ..session import shared_dir, use_rocksdb_state, written_to
 from ..sources import database, replayed, synthetic, topics
 from ..streaming import batches, jobs, strict
 from . import tables
@@ -174,6 +174,7 @@ def summary_stream_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three deliveries in offset order, each drained as one micro-batch before the next arrives."""
     arrivals = _transactions(spark, sf_dir).select("key", "quantity", "price", "timestamp", "partition", "offset")
     root = shared_dir(spark, "summary-strict")
+    arrivals = written_to(arrivals, f"{root}/all")  # derived once; the offsets of a delivery are pushed to this table
     job = strict.StrictSummary(f"{root}/state", 60)
     end = arrivals.agg(F.max("offset")).first()[0] + 1
     for i in range(3):
