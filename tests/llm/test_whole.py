@@ -1,0 +1,61 @@
+"""Planted texts that the whole job must see, against brute force without prefilters."""
+
+import re
+
+import pytest
+
+from tests.llm.test_queries import brute_licences
+from tidemark.llm import licenses
+
+
+def spelled(pattern):
+    """All texts of a pattern of plain characters, optional groups and alternatives."""
+    pattern = re.sub(r"\(\?!.*?\)(?:\)$)?", "", pattern)
+    group = re.search(r"\(\?:([^()]*)\)(\??)", pattern)
+    if group:
+        choices = group[1].split("|") + [""] * bool(group[2])
+        return [t for c in choices for t in spelled(pattern[: group.start()] + c + pattern[group.end() :])]
+    return [pattern.replace(r"\S*", "oo").replace("[1-4]", "4").replace(r"\.", ".")]
+
+
+def planted_licences():
+    for _label, _, title, version, identifier, link in licenses.LICENCES:
+        for t in spelled(title):
+            for v in spelled(version):
+                yield f"Released under {t.title()} {v}".strip()
+                yield f"distributed\tunder the terms of the {t.upper().replace(' ', chr(10))} licence {v}".strip()
+                yield f"The {t} License, Version {v}" if v else f"the {t} license"
+        for i in spelled(identifier):
+            yield f"License: {i.upper()}"
+            yield f"licence = '{i}'"
+            yield f"SPDX-License-Identifier: {i}"
+        for at in spelled(link):
+            yield f"see https://{at}"
+
+
+def test_licences_of_planted_texts_against_all_rules(spark, monkeypatch):
+    texts = [*planted_licences(), "Released under Apache 2.0", "License: GPL-3.0", "under the table", "mit dem Bus"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: tuple(r)[1:] for r in licenses.scan(docs).collect()}
+    monkeypatch.setattr(licenses, "GATE", "")
+    assert {texts[i]: x for i, x in found.items()} == {t: brute_licences(t) for t in texts}
+    seen = {r.pattern for r in licenses.RULES if any(re.search(r.pattern, t.lower()) for t in texts)}
+    assert seen == {r.pattern for r in licenses.RULES}
+    assert all(found[i][5] for i in range(len(texts) - 2))
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("License: AGPL-3.0", "agpl-3"),
+        ("license: ms-pl", "ms-pl"),
+        ("Licensed under Creative Commons Attribution 4.0", "cc-by"),
+        ("do what the fun you want to public license, version 2", "wtfpl"),
+        ("Expat License", "mit"),
+        ("Released under Apache 2.0", "apache-2"),
+        ("the common development and distribution license 1.0", "cddl-1"),
+    ],
+)
+def test_licences_hang_on_no_other_word(spark, text, labels):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert licenses.scan(docs).first().labels == labels

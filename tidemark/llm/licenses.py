@@ -1,8 +1,9 @@
 """Licence scan by ordered signature rules.
 
 Rules are regular expressions: one per licence and form of words (identifier tag, link, grant, title with version,
-title, mention). A document is looked at only if it holds a word of the gate, and a rule only if the document holds the
-rule's keyword. All matches of all rules give intervals; a match contained in an interval of equal or better priority
+title, mention). A document is looked at only if it holds the opening of some form, and a rule only if the document holds
+one of the rule's keywords. Both save work and never change a result: every match of a rule holds its form's opening and
+one of its keywords. All matches of all rules give intervals; a match contained in an interval of equal or better priority
 (equal intervals: of the earlier rule) is suppressed, and the labels of the rest are the document's.
 
 Besides, base phrases are found as consecutive words; their labels always stay.
@@ -15,6 +16,7 @@ gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,9 +28,10 @@ GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PHRASES = [("the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 
-# Licences: label, keyword, title, version (empty: none), identifier, link. Hand-written, lower case.
+# Licences: label, keywords of the title, title, version (empty: none), identifier, link. Hand-written, lower case. Every
+# match of the title holds one of the keywords, which are without blanks, as any white space may stand between words.
 LICENCES = [
-    ("mit", "mit", r"(?:mit|expat)", "", r"mit", r"opensource\.org/licenses/mit"),
+    ("mit", "mit|expat", r"(?:mit|expat)", "", r"mit", r"opensource\.org/licenses/mit"),
     ("mit-0", "mit", r"mit no attribution", "", r"mit-0", r"github\.com/aws/mit-0"),
     ("apache-1.1", "apache", r"apache(?: software)?", r"1\.1", r"apache-1\.1", r"apache\.org/licenses/license-1\.1"),
     ("apache-2", "apache", r"apache(?: software)?", r"2(?:\.0)?", r"apache-2\.0", r"apache\.org/licenses/license-2"),
@@ -50,66 +53,73 @@ LICENCES = [
     ("epl-1", "eclipse", r"eclipse public", r"1(?:\.0)?", r"epl-1\.0", r"eclipse\.org/legal/epl-v10"),
     ("epl-2", "eclipse", r"eclipse public", r"2(?:\.0)?", r"epl-2\.0", r"eclipse\.org/legal/epl-(?:v20|2\.0)"),
     ("edl-1", "eclipse", r"eclipse distribution", r"1(?:\.0)?", r"edl-1\.0", r"eclipse\.org/org/documents/edl-v10"),
-    ("cddl-1", "cddl", r"common development and distribution", r"1(?:\.0)?", r"cddl-1\.0", r"opensource\.org/licenses/cddl-1"),
+    ("cddl-1", "development", r"common development and distribution", r"1(?:\.0)?", r"cddl-1\.0", r"opensource\.org/licenses/cddl-1"),
     ("cpl-1", "common", r"common public", r"1(?:\.0)?", r"cpl-1\.0", r"opensource\.org/licenses/cpl1"),
     ("artistic-1", "artistic", r"artistic", r"1(?:\.0)?", r"artistic-1\.0", r"opensource\.org/licenses/artistic-1"),
     ("artistic-2", "artistic", r"artistic", r"2(?:\.0)?", r"artistic-2\.0", r"opensource\.org/licenses/artistic-2"),
     ("bsl-1", "boost", r"boost software", r"1(?:\.0)?", r"bsl-1\.0", r"boost\.org/license_1_0"),
     ("unlicense", "unlicense", r"(?:the )?unlicense", "", r"unlicense", r"unlicense\.org"),
-    ("wtfpl", "wtf", r"(?:wtfpl|do what the f\S* you want to public)", r"2", r"wtfpl", r"wtfpl\.net"),
+    ("wtfpl", "wtfpl|want", r"(?:wtfpl|do what the f\S* you want to public)", r"2", r"wtfpl", r"wtfpl\.net"),
     ("zlib", "zlib", r"zlib(?:/libpng)?", "", r"zlib", r"opensource\.org/licenses/zlib"),
     ("psf-2", "python", r"python software foundation", r"2", r"psf-2\.0", r"docs\.python\.org/3/license"),
     ("postgresql", "postgresql", r"postgresql", "", r"postgresql", r"postgresql\.org/about/licence"),
     ("ofl-1.1", "font", r"sil open font", r"1\.1", r"ofl-1\.1", r"scripts\.sil\.org/ofl"),
     ("afl-3", "academic", r"academic free", r"3(?:\.0)?", r"afl-3\.0", r"opensource\.org/licenses/afl-3"),
-    ("osl-3", "open software", r"open software", r"3(?:\.0)?", r"osl-3\.0", r"opensource\.org/licenses/osl-3"),
+    ("osl-3", "software", r"open software", r"3(?:\.0)?", r"osl-3\.0", r"opensource\.org/licenses/osl-3"),
     ("eupl-1.2", "european", r"european union public", r"1\.2", r"eupl-1\.2", r"joinup\.ec\.europa\.eu/\S*eupl"),
     ("ms-pl", "microsoft", r"microsoft public", "", r"ms-pl", r"opensource\.org/licenses/ms-pl"),
     ("upl-1", "universal", r"universal permissive", r"1(?:\.0)?", r"upl-1\.0", r"opensource\.org/licenses/upl"),
     ("ncsa", "illinois", r"university of illinois/ncsa open source", "", r"ncsa", r"opensource\.org/licenses/ncsa"),
     ("odbl-1", "database", r"open (?:data commons open )?database", r"1(?:\.0)?", r"odbl-1\.0", r"opendatacommons\.org/licenses/odbl"),
     ("cc0-1", "cc0", r"cc0", r"1(?:\.0)?", r"cc0-1\.0", r"creativecommons\.org/publicdomain/zero"),
-    ("cc-by", "cc", r"(?:cc by|cc-by|creative commons attribution)(?![- ](?:n|s))", r"[1-4]\.0", r"cc-by-[1-4]\.0", r"creativecommons\.org/licenses/by/"),
+    ("cc-by", "cc|creative", r"(?:cc by|cc-by|creative commons attribution)(?![- ](?:n|s))", r"[1-4]\.0", r"cc-by-[1-4]\.0", r"creativecommons\.org/licenses/by/"),
     ("cc-by-sa", "cc", r"(?:cc by-sa|cc-by-sa)", r"[1-4]\.0", r"cc-by-sa-[1-4]\.0", r"creativecommons\.org/licenses/by-sa/"),
     ("cc-by-nd", "cc", r"(?:cc by-nd|cc-by-nd)", r"[1-4]\.0", r"cc-by-nd-[1-4]\.0", r"creativecommons\.org/licenses/by-nd/"),
     ("cc-by-nc", "cc", r"(?:cc by-nc|cc-by-nc)(?!-)", r"[1-4]\.0", r"cc-by-nc-[1-4]\.0", r"creativecommons\.org/licenses/by-nc/"),
     ("cc-by-nc-sa", "cc", r"(?:cc by-nc-sa|cc-by-nc-sa)", r"[1-4]\.0", r"cc-by-nc-sa-[1-4]\.0", r"creativecommons\.org/licenses/by-nc-sa/"),
     ("cc-by-nc-nd", "cc", r"(?:cc by-nc-nd|cc-by-nc-nd)", r"[1-4]\.0", r"cc-by-nc-nd-[1-4]\.0", r"creativecommons\.org/licenses/by-nc-nd/"),
-    ("public-domain", "public domain", r"public domain", "", r"public-domain", r"creativecommons\.org/publicdomain/mark"),
+    ("public-domain", "domain", r"public domain", "", r"public-domain", r"creativecommons\.org/publicdomain/mark"),
 ]
-GATE = (
-    r"(?i)licen[cs]e|spdx|gpl|copyright|public domain|creative\s?commons|\bcc[ -]by|\bcc0|opensource\.org|"
-    r"apache\.org|mozilla\.org|gnu\.org"
-)
-GRANT = r"(?:licensed|released|distributed|available|published|provided|redistribut\w+)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?"
-LICENCE_WORD = r"\s+(?:public\s+)?licen[cs]e"
+GRANTED = r"(?:licensed|released|distributed|available|published|provided|redistribut\w+)\s+under\s+"
+GRANT = GRANTED + r"(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?"
+NAMED = r"licen[cs]e"
+LICENCE_WORD = rf"\s+(?:public\s+)?{NAMED}"
 
 
 @dataclass(frozen=True)
 class Rule:
     pattern: str
-    keyword: str
+    opening: str  # a pattern found in every match
+    keywords: tuple[str, ...]  # every match holds one of them
     label: str
     priority: int
     score: float
 
 
-def rules_of(label: str, keyword: str, title: str, version: str, identifier: str, link: str) -> list[Rule]:
+def literal(pattern: str) -> str:
+    """The plain characters an identifier or link begins with."""
+    return re.match(r"[^(\[\\]*", pattern.replace(r"\.", "."))[0]
+
+
+def rules_of(label: str, keywords: str, title: str, version: str, identifier: str, link: str) -> list[Rule]:
     """The forms in which a licence is named, best first."""
     title = title.replace(" ", r"\s+")
     numbered = rf"(?:[,;]?\s+|[- ]?)(?:version\s+|v\.?\s*)?{version}(?!\.?\w)" if version else ""
+    of_title, of_identifier, of_link = tuple(keywords.split("|")), (literal(identifier),), (literal(link),)
+    host = re.escape(of_link[0].split("/")[0])
     forms = [
-        (rf"spdx-license-identifier:\s*{identifier}(?:-only|-or-later)?(?![.\w-])", "spdx", 0, 1.0),
-        (link, link.split(r"\.")[0].split("(")[0], 0, 0.95),
-        (rf"{GRANT}{title}(?:{LICENCE_WORD})?{numbered}(?!\w)", keyword, 1, 0.9),
-        (rf"\b{title}{LICENCE_WORD}{numbered}(?!\w)", keyword, 2, 0.8),
-        (rf"licen[cs]e\s*[:=]\s*[\"']?{identifier}(?![.\w-])", keyword, 3, 0.6),
+        (rf"spdx-license-identifier:\s*{identifier}(?:-only|-or-later)?(?![.\w-])", NAMED, of_identifier, 0, 1.0),
+        (link, host, of_link, 0, 0.95),
+        (rf"{GRANT}{title}(?:{LICENCE_WORD})?{numbered}(?!\w)", GRANTED, of_title, 1, 0.9),
+        (rf"\b{title}{LICENCE_WORD}{numbered}(?!\w)", NAMED, of_title, 2, 0.8),
+        (rf"{NAMED}\s*[:=]\s*[\"']?{identifier}(?![.\w-])", NAMED, of_identifier, 3, 0.6),
     ]
-    return [Rule(p, k, label, priority, score) for p, k, priority, score in forms]
+    return [Rule(p, opening, k, label, priority, score) for p, opening, k, priority, score in forms]
 
 
 RULES = [rule for row in LICENCES for rule in rules_of(*row)]
 LEVELS = 1 + max(rule.priority for rule in RULES)
+GATE = "(?i)" + "|".join(dict.fromkeys(rule.opening for rule in RULES))
 
 
 def ascii_lower(text: Column) -> Column:
@@ -198,7 +208,7 @@ def rule_table() -> Column:
         *[
             F.struct(
                 F.lit(rule.pattern).alias("pattern"),
-                F.lit(rule.keyword).alias("keyword"),
+                F.array(*[F.lit(k) for k in rule.keywords]).alias("keywords"),
                 F.lit(rule.priority).alias("priority"),
                 F.lit(number).alias("number"),
                 F.lit(rule.label).alias("label"),
@@ -216,14 +226,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         "doc_id",
         F.regexp_count("text", F.lit(WORD_ANY_CASE)).cast("long").alias("n_words"),
         F.when(F.col("text").rlike(phrase_gate()), ascii_lower(F.col("text"))).alias("phrased"),
-        F.when(F.col("text").rlike(GATE), F.lower(F.col("text"))).alias("gated"),
+        F.when(F.lower("text").rlike(GATE), F.lower("text")).alias("gated"),
     )
     words = F.regexp_extract_all("phrased", F.lit(WORD), F.lit(0))
     rows = rows.withColumn("words", words).withColumn(
         "bases", F.array(*[places(F.col("words"), phrase) for phrase, _ in PHRASES])
     )
     low = F.col("gated")
-    due = F.filter(rule_table(), lambda rule: F.contains(low, rule["keyword"]))
+    due = F.filter(rule_table(), lambda rule: F.exists(rule["keywords"], lambda k: F.contains(low, k)))
     found = F.flatten(F.transform(due, lambda rule: matches(low, rule)))
     rows = rows.withColumn("starts", F.flatten("bases")).withColumn(
         "found", F.when(low.isNotNull(), surviving(found))
