@@ -12,7 +12,11 @@ addresses (the part before the @, letter for letter, digit for digit; the domain
 and passwords after their keyword.
 
 Numbers are matched as values, not as spelling: separators stay where they are, and a card gets the same pseudonym with
-or without spaces. Everything is a narrow pass over the rows; the key is a parameter and never written.
+or without spaces. Digits or capitals that follow or precede a card or an IBAN may look like a part of it: what is not
+valid as a whole is tried in parts, cards in their usual groups (in others only as a whole), and a card never takes digits of a phone
+number, social security number, address or date that reaches beyond it. A date that is none with the day first is read
+with the month first, and replaced by a date that is none with the day first either. Everything is a narrow pass over the
+rows; the key is a parameter and never written.
 
 Defined results: a null text stays null, an empty one empty; equal rows give equal results; overlapping matches go to
 the kind named first in ``KINDS``, then the leftmost; an empty table gives an empty result; extra columns pass through.
@@ -158,17 +162,23 @@ class Pseudonyms:
         return ".".join(map(str, self._permuted("ipv4", x, 1 << 32, back=back).to_bytes(4, "big")))
 
     def date(self, text: str, back: bool = False) -> str | None:
-        parts = re.split(r"[-/.]", text)
+        parts, month_first = re.split(r"[-/.]", text), False
         try:
             if len(parts[0]) == 4:
                 day, write = datetime.date(*map(int, parts)), "{0:04d}{3}{1:02d}{3}{2:02d}"
             else:
-                day, write = datetime.date(int(parts[2]), int(parts[1]), int(parts[0])), "{2:02d}{3}{1:02d}{3}{0:04d}"
+                a, b, year = map(int, parts)
+                month_first = b > 12
+                if month_first:
+                    day, write = datetime.date(year, a, b), "{1:02d}{3}{2:02d}{3}{0:04d}"
+                else:
+                    day, write = datetime.date(year, b, a), "{2:02d}{3}{1:02d}{3}{0:04d}"
         except ValueError:
             return None
         if not FIRST_DAY <= day.toordinal() <= LAST_DAY:
             return None
-        x = self._permuted("date", day.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, back=back)
+        valid = (lambda x: datetime.date.fromordinal(FIRST_DAY + x).day > 12) if month_first else any_number
+        x = self._permuted("date", day.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, valid, back)
         new = datetime.date.fromordinal(FIRST_DAY + x)
         return write.format(new.year, new.month, new.day, re.search(r"[-/.]", text)[0])
 
@@ -210,7 +220,7 @@ class Pseudonyms:
         return self._characters("secret", text, back)
 
 
-# Kinds in order of preference, with what may be one (validated afterwards). All but e-mails hold a digit.
+# Kinds in order of preference, with what may be one (validated afterwards).
 KINDS = [
     ("email", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"),
     ("token", r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,128}(?![0-9A-Za-z])"),
@@ -224,28 +234,69 @@ KINDS = [
     ("date", r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?![0-9A-Za-z])"),
 ]
 PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in KINDS]
+# What a text must hold for a value of the kind to be in it.
 HAS_DIGITS = re.compile(r"[0-9]{3}|[0-9][.\-/ ()]+[0-9]")
+HELD = {"email": "@", "access_key": "AKIA", "secret": "password"}
+NUMERIC = {"card", "phone", "ssn", "ipv4", "date"}
+# How cards are written; parts of a longer run of digits count only if they are written so, or any list would hold some.
+CARD = re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1(?:[0-9]|[0-9]{4}(?:\1[0-9]{3})?)|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")
+CUT_BY = [(kind, pattern) for kind, pattern in PATTERNS if kind in ("phone", "ssn", "ipv4", "date")]
+
+
+def parts_of(kind: str, text: str, start: int, end: int) -> list[int]:
+    """Ends of the values that may start where a card or an IBAN was matched, the longest first."""
+    ends = [e for e in range(end, start, -1) if e == end or text[e] in " -"]
+    return ends if kind == "iban" else [e for e in ends if CARD.fullmatch(text, start, e)]
+
+
+def cuts_a_value(text: str, start: int, end: int, pseudonyms: Pseudonyms) -> bool:
+    """Whether a value of another numeric kind stands partly within and partly beyond the span."""
+    low, high = max(0, start - 24), end + 24
+    for kind, pattern in CUT_BY:
+        for match in pattern.finditer(text, low, high):
+            s, e = match.span()
+            if (s < start < e or s < end < e) and _cached(pseudonyms, kind)(match[0]) is not None:
+                return True
+    return False
+
+
+def in_parts(
+    kind: str, pattern: re.Pattern, text: str, free: Callable[[int, int], bool], pseudonyms: Pseudonyms
+) -> Iterator[tuple[int, int, str, str]]:
+    """Cards in their usual groups, or IBANs, without overlaps; what is none as a whole is tried in parts."""
+    make, at = _cached(pseudonyms, kind), 0
+    while match := pattern.search(text, at):
+        start, whole = match.span()
+        at = start + 1
+        for end in parts_of(kind, text, start, whole):
+            value = make(text[start:end]) if free(start, end) else None
+            if value is not None and not (kind == "card" and cuts_a_value(text, start, end, pseudonyms)):
+                yield start, end, kind, value
+                at = end
+                break
 
 
 def find(text: str, pseudonyms: Pseudonyms) -> list[tuple[int, int, str, str]]:
     """start, end, kind and pseudonym of the values found, in order, without overlaps."""
     found: list[tuple[int, int, str, str]] = []
-    taken: list[tuple[int, int]] = []
     numeric = HAS_DIGITS.search(text) is not None
+
+    def free(start: int, end: int) -> bool:
+        return not any(start < t and s < end for s, t, _, _ in found)
+
     for kind, pattern in PATTERNS:
-        if not (("@" in text) if kind == "email" else numeric):
+        if (kind in HELD and HELD[kind] not in text) or (kind in NUMERIC and not numeric):
             continue
+        if kind in ("iban", "card"):
+            found += list(in_parts(kind, pattern, text, free, pseudonyms))
         make = _cached(pseudonyms, kind)
         new = []
         for match in pattern.finditer(text):
             start, end = match.span()
-            if any(start < t and s < end for s, t in taken):
-                continue
-            value = make(match[0])
-            if value is not None:
+            value = make(match[0]) if free(start, end) else None
+            if value is not None and not (kind == "card" and cuts_a_value(text, start, end, pseudonyms)):
                 new.append((start, end, kind, value))
         found += new
-        taken += [(start, end) for start, end, _, _ in new]
     return sorted(found)
 
 
