@@ -6,7 +6,7 @@ import re
 import pytest
 
 from tests.llm.test_queries import brute_licences
-from tidemark.llm import licenses, pii
+from tidemark.llm import licenses, pii, toxicity
 
 
 def spelled(pattern):
@@ -103,3 +103,13 @@ def test_cards_beside_short_numbers():
         assert ends and ends[0] >= len(card), f"{card} {after}"
         if "-" in after:
             assert len(pii.find(f"{card} {after}", P)) == 2
+
+
+def test_training_collects_one_text_a_labelled_row(spark):
+    rows = [(i % 5, f"text {i:03d}") for i in range(200)] + [(7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int")
+    usable = {r.doc_id for r in labels.where(~toxicity.held_out("doc_id")).collect()} & {0, 1, 2, 3, 4, 7}
+    found = toxicity.training_rows(docs, labels, toxicity.Settings())
+    expected = [(f"text {i:03d}" if i < 5 else None, i % 2) for i in usable]
+    assert sorted(found, key=str) == sorted(expected, key=str)

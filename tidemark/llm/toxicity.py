@@ -1,15 +1,16 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled text, one on toxic and one on ordinary windows. A window of a text
-that the toxic dictionary makes shorter than the ordinary one does gains that many bytes; gains over all windows of the
-whole text are calibrated into a score by a logistic curve, fitted on gains under dictionaries of other labelled rows.
+Two zstandard dictionaries are made from labelled text. A window of a text that the toxic dictionary makes shorter than
+the ordinary one does gains that many bytes; gains over all windows of the whole text are calibrated into a score by a
+logistic curve, fitted on gains under dictionaries of other labelled rows.
 
-Both dictionaries end in the same trained ordinary content, so that ordinary windows compress alike; in front of it each
-has the words that mark its class's training texts. Dictionaries and curve are fitted on at most ``train_rows`` labelled rows a class, chosen by a hash of their ids;
-every row is scored.
+Only ordinary windows train a dictionary. Both dictionaries end in that content, so that ordinary windows compress alike;
+in front of it each has a list of the single words that mark its class's training texts. A gain thus tells that such
+words stand in the window; a dictionary trained on toxic windows is not used (see Departures in the README). Dictionaries
+and curve are fitted on at most ``train_rows`` labelled rows a class, chosen by a hash of their ids; every row is scored.
 
 Defined results: a null or empty text has no gain and gets the score of none; without labels of both classes the
-scores are 0; equal texts score alike; an empty table gives an empty result; label, language, source and id are no
+scores are 0; of several texts under one labelled id the smallest is trained on; equal texts score alike; an empty table gives an empty result; label, language, source and id are no
 input of a score; extra columns are not read.
 """
 
@@ -163,7 +164,8 @@ def held_out(id_col: str) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> list[tuple[str | None, int]]:
-    """At most ``train_rows`` labelled rows a class, by a hash of the id; the ids chosen bound the broadcast."""
+    """At most ``train_rows`` labelled rows a class, by a hash of the id, and one text for each: the ids chosen bound the
+    broadcast and the rows collected."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     chosen = None
     for label in (0, 1):
@@ -176,7 +178,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> lis
         )
         chosen = some if chosen is None else chosen.union(some)
     rows = docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(chosen), "doc_id")
-    found = rows.select("doc_id", "text", "label").collect()
+    found = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
     return [(r.text, r.label) for r in sorted(found, key=lambda r: (r.doc_id * 2654435761 % 2**32, r.doc_id, r.text or ""))]
 
 
