@@ -6,14 +6,17 @@ more share a shingle among the first n - ceil(2 t n / (1 + t)) + 1 of the smalle
 the larger one. Frequencies are counted over all documents in a table of fixed size; the order they give is the same
 for all sets, so it decides the cost and never the result.
 
-* Lists are cut by shingle into parts of bounded size, joined one after another in numpy. Within a list, postings are sorted by (set size, position); equal sizes
-  form blocks, and as a shingle at position i leaves at most n - i common ones, the rest of a block is skipped at the
-  first position that is too late.
+* Lists are dealt by shingle into parts of a bounded size on average, joined one after another in numpy. A list is never
+  split: that of one shingle is sorted in one task, however long. Its postings are sorted by (set size, position), pairs of
+  neighbours are formed, and those whose sizes or positions rule a link out are masked (a shingle at position i leaves at
+  most n - i common ones); no block is skipped.
 * Answers are derived from similar sets: in a list longer than ``short`` entries, a set is first compared only with its
   neighbours in the list and the set in which the shingle comes first (the one with the fewest rare shingles: of a
   group of edited copies, the original). Sets that are linked, directly or not, then share all answers that
   matter for components, so a long list is dropped if all its sets are in one component, and otherwise only pairs
-  between different components are compared. No pair between components is left out.
+  between different components are compared. No pair between components is left out, so components are whole; pairs
+  within one are not all compared, so the links found are some of all, enough to connect every component. The number of
+  links of a set is not known, and no set's own answers are kept or derived.
 * A candidate's parities (of 256 classes of shingles, which hold an odd number) bound the difference of the two sets from
   below and rule out most pairs before any text is moved.
 * Candidates are verified exactly on the sets rebuilt from the whole texts. Only texts with a candidate are moved; a
@@ -410,7 +413,7 @@ def cross_pairs(long: DataFrame, classes: DataFrame, labels: DataFrame, s: Setti
 
 @dataclass(frozen=True)
 class Joined:
-    """The documents' sets (doc_id, text_hash, n, set_id), the links found between sets, and each linked set's root."""
+    """The documents' sets (doc_id, text_hash, n, set_id), links enough to connect each component, and each linked set's root."""
 
     sets: DataFrame
     links: DataFrame
