@@ -1,7 +1,7 @@
 """Removal of repeated passages: windows of three consecutive lines, found again anywhere in the corpus.
 
 Lines are compared without surrounding blanks; blank lines belong to no window but go when they lie inside a removed
-stretch. A window's first occurrence is the one smallest by (doc_id, text hash, line); every line inside a later
+stretch. A passage repeated within other lines, or in a text of fewer than three, is not seen. A window's first occurrence is the one smallest by (doc_id, text hash, line); every line inside a later
 occurrence is removed, after overlapping and touching occurrences have been merged into stretches.
 
 Plan: windows are 16 bytes of hash and a place, combined by hash before the shuffle; only hashes that occur twice are
