@@ -199,7 +199,7 @@ def summary_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales.withColumn("delivery", F.least(F.lit(2), cuts + F.col("late"))).write.partitionBy("delivery").parquet(f"{root}/arrivals")
     for i in range(3):
         arrived = spark.read.schema(sales.schema).parquet(f"{root}/arrivals/delivery={i}")
-        arrived.coalesce(1).write.mode("append").parquet(f"{root}/topic")
+        arrived.write.mode("append").parquet(f"{root}/topic")
         stream = spark.readStream.schema(sales.schema).parquet(f"{root}/topic")
         updates = jobs.summary_updates(stream, 1440)
         jobs.summary_to_table(updates, f"{root}/updates", f"{root}/checkpoint", once=True).awaitTermination()
