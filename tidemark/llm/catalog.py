@@ -1,4 +1,4 @@
-"""Queries of the ten operators, with production parameters, and SQL for those that SQL can express."""
+"""Queries of the operators, with production parameters, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, licenses, linededup, mixing, pii, quality, setjoin, toxicity, warc
+from tidemark.llm import chat, decontaminate, licenses, linededup, mixing, pii, quality, ranked, setjoin, toxicity, warc
 from tidemark.llm.oracles import ORACLES as ORACLES
 from tidemark.llm.store import new_folder, written
 
@@ -96,6 +96,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked.build_index(read(spark, sf_dir, "documents"))
+    return ranked.search(index, read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -109,5 +114,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_mixing,
         op10_toxicity,
+        op11_search,
     )
 }

@@ -104,10 +104,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM j JOIN r ON r.source IS NOT DISTINCT FROM j.source
 """
 
+OP11 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), d AS (SELECT r, doc_id, w, len(w)::BIGINT AS n FROM t WHERE len(w) > 0),
+s AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM d),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE item_id IS NOT NULL
+), p AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY ALL
+), f AS (
+  SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM p GROUP BY term), s
+), scored AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // ll))))::BIGINT AS score
+  FROM i JOIN f USING (term) JOIN p USING (term), s GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored
+  WHERE score > 0 AND doc_id IS NOT NULL
+) WHERE rank <= 50
+"""
+
 ORACLES: dict[str, str] = {
     "op2_jaccard": OP2,
     "op3_chat": OP3,
     "op5_warc": OP5,
     "op7_line_dedup": OP7,
     "op8_quality": OP8,
+    "op11_search": OP11,
 }
