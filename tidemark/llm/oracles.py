@@ -129,6 +129,40 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
 ) WHERE rank <= 50
 """
 
+OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+k AS (SELECT * FROM (VALUES
+  (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'access', 'AKIA[A-Z0-9]+'),
+  (2, 'hex', '[0-9a-f]+'),
+  (3, 'github', 'gh[oprsu]_[A-Za-z0-9]{36}'),
+  (4, 'google', 'AIza[A-Za-z0-9_-]{35}'),
+  (5, 'slack', 'xox[abprs]-[A-Za-z0-9-]{10,}'),
+  (6, 'stripe', '[rs]k_live_[A-Za-z0-9]{16,}'),
+  (7, 'jwt', 'eyJ[A-Za-z0-9_-]{8,1000}\.eyJ[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]{8,}'),
+  (8, 'pem', '-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----'),
+  (9, 'login', '://[^\x00-\x20/@:"'']{1,64}:[^\x00-\x20/@:"'']{3,128}@')
+) v(place, kind, pattern)),
+m AS (
+  SELECT r, place, kind, pattern, regexp_extract_all(text, pattern) AS found, string_split_regex(text, pattern) AS gaps
+  FROM d, k
+), u AS (
+  SELECT r, place, kind, pattern, i, found[i] AS f, sum(length(gaps[i]) + length(found[i])) OVER (PARTITION BY r, place ORDER BY i) AS stop
+  FROM m, range(1, len(found) + 1) t(i)
+), s AS (
+  SELECT r, place, kind, (stop - length(f))::BIGINT AS start, kind || ':' || (stop - length(f))::BIGINT || ':' || stop::BIGINT AS span
+  FROM u WHERE CASE place WHEN 0 THEN length(regexp_extract(f, pattern, 2)) >= 8 WHEN 1 THEN length(f) >= 16
+    WHEN 2 THEN length(f) >= 32 ELSE true END
+), g AS (
+  SELECT r, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access,
+    count(*) FILTER (place = 2) AS n_hex, string_agg(span, ',' ORDER BY start, place) FILTER (place < 3) AS base,
+    string_agg(span, ',' ORDER BY start, place) AS spans FROM s GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_jaccard": OP2,
     "op3_chat": OP3,
@@ -136,4 +170,5 @@ ORACLES: dict[str, str] = {
     "op7_line_dedup": OP7,
     "op8_quality": OP8,
     "op11_search": OP11,
+    "op13_secrets": OP13,
 }
