@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, ledger, licenses, linededup, mixing, pii, quality, ranked, setjoin, toxicity, warc
+from tidemark.llm import chat, decontaminate, ledger, licenses, linededup, mixing, pii, quality, ranked, repair, setjoin, toxicity, warc
 from tidemark.llm.oracles import ORACLES as ORACLES
 from tidemark.llm.store import new_folder, written
 
@@ -101,6 +101,11 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(index, read(spark, sf_dir, "benchmark"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    return repair.report(conversations, repair.repair(repair.damaged(conversations)))
+
+
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = ledger.Ledger(spark, new_folder(spark, "secrets"))
     book.update(read(spark, sf_dir, "documents"))
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_mixing,
         op10_toxicity,
         op11_search,
+        op12_repair,
         op13_secrets,
     )
 }
