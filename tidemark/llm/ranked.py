@@ -39,8 +39,8 @@ BLOCKS = (
 STRATA = "m long, term long, df long, top_tf int"
 HITS = "item int, doc_id long, score long"
 RESULT = "item_id long, rank int, doc_id long, score long"
-TEXT_BYTES = 1 << 22  # text tokenised at once
-GATHERED = 1 << 21  # postings scored at once
+TEXT_BYTES = 1 << 20  # text tokenised at once
+GATHERED = 1 << 19  # postings scored at once
 
 
 def _folded() -> np.ndarray:
@@ -58,7 +58,7 @@ FOLDED = _folded()
 @dataclass(frozen=True)
 class Settings:
     top: int = 50
-    block_postings: int = 1 << 17
+    block_postings: int = 1 << 15
     first_strata: int = 8
     block_pairs: int = 1 << 20
 
