@@ -2,7 +2,8 @@
 
 Settings come from the environment (see ``params.ENVIRONMENT``). Besides, every job needs
 CHECKPOINT_LOCATION. What is written to a topic carries SCHEMA_ID; what is read from one must carry one of
-INPUT_SCHEMA_IDS (comma-separated), and anything else stops the job or goes to FOREIGN_FOLDER.
+INPUT_SCHEMA_IDS (comma-separated), and anything else stops the job or goes to FOREIGN_FOLDER. Instead, WRITER_SCHEMAS may
+hold a JSON object of schema id and Avro schema: each message is then decoded by its own and resolved to the job's.
 MAX_OFFSETS_PER_TRIGGER bounds a micro-batch (``strict-summary`` needs it) and MIN_PARTITIONS splits hot topic
 partitions. The table jobs read JDBC_URL, JDBC_DRIVER, JDBC_USER and JDBC_PASSWORD; ``poll`` needs JDBC_SLICES and takes
 JDBC_HASH_SQL with JDBC_HASH_PARTS; ``store`` takes CLASH_FOLDER.
@@ -15,6 +16,7 @@ import os
 
 from pyspark.sql import SparkSession
 
+from .functions import evolution
 from .params import AlertParams, JobParams, ParameterError, SummaryParams
 from .session import use_utc
 from .sources import synthetic, topics
@@ -44,12 +46,21 @@ def _number(name: str, required: bool = False) -> int | None:
     return int(text)
 
 
-def _intake(bounded: bool = False) -> jobs.Intake:
+def _schema_ids():
+    if os.environ.get("WRITER_SCHEMAS"):
+        try:
+            return evolution.read_registry(os.environ["WRITER_SCHEMAS"])
+        except ValueError as error:
+            raise ParameterError(f"WRITER_SCHEMAS: {error}") from error
     numbers = _required("INPUT_SCHEMA_IDS").split(",")
     if not all(number.strip().isdigit() for number in numbers):
         raise ParameterError("INPUT_SCHEMA_IDS must be numbers separated by commas")
+    return frozenset(int(number) for number in numbers)
+
+
+def _intake(bounded: bool = False) -> jobs.Intake:
     return jobs.Intake(
-        frozenset(int(number) for number in numbers),
+        _schema_ids(),
         _number("MAX_OFFSETS_PER_TRIGGER", required=bounded),
         _number("MIN_PARTITIONS"),
         os.environ.get("FOREIGN_FOLDER") or None,

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import wire
+from ..functions import evolution, wire
 from ..operators import lateness, rules, shape, summary, tablekey
 from ..params import AlertParams
 from ..schemas import ALERT, SUMMARY, SUMMARY_WIRE, TELEMETRY, TRANSACTION
 from ..session import shared_dir, use_rocksdb_state, written_to
 from ..sources import database, replayed, synthetic, topics
-from ..streaming import batches, jobs, strict
+from ..streaming import batches, jobs, keyed, processor, store, strict
 from . import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -207,6 +207,57 @@ def summary_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.last_wins(changelog, ["category", "window_start", "window_end"])
 
 
+def _deliveries(spark: SparkSession, sf_dir: str, root: str, number: Column, *columns: str) -> Iterator[DataFrame]:
+    """Three deliveries to one folder; each is there when its stream is handed out, for a new start on one checkpoint."""
+    rows = written_to(_transactions(spark, sf_dir).withColumn("delivery", number).select(*columns, "delivery"), f"{root}/all")
+    for i in range(3):
+        rows.where(F.col("delivery") == i).drop("delivery").write.parquet(f"{root}/arrivals/delivery={i}")
+        yield spark.readStream.schema(rows.drop("delivery").schema).parquet(f"{root}/arrivals")
+
+
+def _by_time(*days: int) -> Column:
+    """Which third a record's time falls in."""
+    return sum((F.col("timestamp") >= f"2024-01-{day:02d} 12:00:00").cast("int") for day in days)
+
+
+def summary_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of hourly totals as a reader sees it after each of three deliveries; every tenth record is a delivery late."""
+    root = shared_dir(use_rocksdb_state(spark), "summary-keyed")
+    late = F.endswith("transaction_id", F.lit("0")).cast("int")
+    arrivals = _deliveries(
+        spark, sf_dir, root, F.least(F.lit(2), _by_time(11, 21) + late), "key", "quantity", "price", "timestamp"
+    )
+    table = keyed.KeyedTable(f"{root}/table", SUMMARY, ("category", "window_start", "window_end"), buckets=16)
+    seen = []
+    for i, stream in enumerate(arrivals):
+        summaries = summary.summarize(stream, 60)
+        jobs.summary_to_keyed_table(summaries, table, f"{root}/checkpoint", once=True).awaitTermination()
+        seen.append(table.read(spark).withColumn("delivery", F.lit(i)))
+    return seen[0].union(seen[1]).union(seen[2])
+
+
+def window_store_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the window store of a daily summary holds after three starts on one checkpoint."""
+    root = shared_dir(use_rocksdb_state(spark), "window-store")
+    for stream in _deliveries(spark, sf_dir, root, _by_time(11, 21), "key", "quantity", "price", "timestamp"):
+        updates = jobs.summary_updates(stream, 1440)
+        jobs.summary_to_table(updates, f"{root}/updates", f"{root}/checkpoint", once=True).awaitTermination()
+    return store.open_windows(spark, f"{root}/checkpoint", 1440)
+
+
+def summary_stream_processor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strict summary by a stateful processor: three deliveries in offset order, three starts on one checkpoint."""
+    root = shared_dir(use_rocksdb_state(spark), "summary-processor")
+    end = _transactions(spark, sf_dir).agg(F.max("offset")).first()[0] + 1
+    third = F.floor(F.col("offset") * 3 / F.lit(end)).cast("int")
+    columns = ("key", "quantity", "price", "timestamp", "partition", "offset")
+    for stream in _deliveries(spark, sf_dir, root, third, *columns):
+        updates = processor.strict_updates(stream, 60)
+        write = batches.upsert_batches(f"{root}/updates")
+        jobs.writer(updates, f"{root}/checkpoint", "update", once=True).foreachBatch(write).start().awaitTermination()
+    return processor.result(batches.read_changelog(spark, f"{root}/updates", processor.UPDATES), 60)
+
+
 def last_wins_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily running totals as an update stream, reduced to the newest update per category."""
     daily = summary.summarize(_transactions(spark, sf_dir), 1440)
@@ -413,6 +464,41 @@ def wire_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_trip(summary.summarize(_transactions(spark, sf_dir), 60), SUMMARY_WIRE)
 
 
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, False) for name, kind in kinds.items()])
+
+
+# Three writers of one topic: an early one (float prices, no product), one with another order and a field more, today's.
+WRITERS = {
+    11: _struct(transaction_id=T.StringType(), category=T.StringType(), quantity=T.IntegerType(), price=T.FloatType(),
+                timestamp=T.TimestampType()),
+    12: _struct(price=T.DoubleType(), channel=T.StringType(), timestamp=T.TimestampType(), item=T.StringType(),
+                category=T.StringType(), transaction_id=T.StringType(), quantity=T.LongType()),
+    13: TRANSACTION,
+}
+EVOLVED = evolution.Reader(
+    T.StructType([T.StructField(f.name, T.LongType() if f.name == "quantity" else f.dataType, False) for f in TRANSACTION.fields]),
+    {"product_id": "unknown"},
+    {"product_id": ("item",)},
+)
+
+
+def wire_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic whose messages three writer schemas made, read as one; a fourth id is foreign."""
+    rows = _transactions(spark, sf_dir).withColumn("channel", F.lit("web")).withColumn("item", F.col("product_id"))
+    number = 11 + F.pmod("offset", F.lit(4))
+    value = F.when(number == 14, wire.framed(F.col("category").cast("binary"), 14))
+    for one, schema in WRITERS.items():
+        sent = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        value = value.when(number == one, wire.framed(wire.encode_record(sent, schema), one))
+    raw = rows.select(
+        F.col("key").cast("binary").alias("key"), value.alias("value"), F.lit("sales-transactions").alias("topic"), "partition",
+        "offset", "timestamp",
+    )
+    read = topics.decode_topic(raw, EVOLVED, WRITERS, on_foreign="leave")
+    return read.where("value IS NOT NULL").select("offset", "value.*").withColumn("timestamp", F.unix_millis("timestamp"))
+
+
 # --- synthetic rows -------------------------------------------------------------------------
 
 
@@ -485,6 +571,9 @@ QUERIES: dict[str, Query] = {
     "summary_stream_append": summary_stream_append,
     "summary_stream_strict": summary_stream_strict,
     "summary_stream_batches": summary_stream_batches,
+    "summary_upsert_table": summary_upsert_table,
+    "summary_stream_processor": summary_stream_processor,
+    "window_store_open": window_store_open,
     "last_wins_table": last_wins_table,
     "shape_cast_price": shape_cast_price,
     "shape_route_topic": shape_route_topic,
@@ -506,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "wire_transactions": wire_transactions,
     "wire_telemetry": wire_telemetry,
     "wire_summary": wire_summary,
+    "wire_evolution": wire_evolution,
     "synth_telemetry": synth_telemetry,
     "synth_transactions": synth_transactions,
     "synth_ingest": synth_ingest,

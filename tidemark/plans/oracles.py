@@ -219,6 +219,16 @@ ORACLES: dict[str, str] = {
         kept AS (SELECT d.* FROM d JOIN before USING (delivery)
                  WHERE latest IS NULL OR date_trunc('day', ts) + INTERVAL 1 DAY > latest)
         {_totals("kept", 1440)}""",
+    "summary_upsert_table": f"""WITH {_TX}, d AS (
+        SELECT *, least(2, (ts >= TIMESTAMP '2024-01-11 12:00')::int + (ts >= TIMESTAMP '2024-01-21 12:00')::int
+                           + (event_id % 10 = 0)::int) AS arrived FROM tx)
+        SELECT category, sum(quantity)::bigint AS total_quantity, sum(price)::double AS total_revenue,
+               epoch_ms(w) AS window_start, epoch_ms(w) + 3600000 AS window_end, delivery::int AS delivery
+        FROM (SELECT d.*, delivery, date_trunc('hour', ts) AS w FROM d, range(3) r(delivery) WHERE arrived <= delivery)
+        GROUP BY category, w, delivery""",
+    "summary_stream_processor": _strict(60),
+    "window_store_open": f"""WITH {_TX}, s AS ({_totals("tx", 1440)})
+        SELECT * FROM s WHERE window_end > (SELECT max(epoch_us(ts)) // 1000 FROM tx)""",
     "last_wins_table": f"""WITH {_TX}, daily AS ({_totals("tx", 1440)}), {_LAST_DAY}
         SELECT category, total_quantity, total_revenue, window_start
         FROM daily JOIN last_day USING (category, window_start)""",
@@ -273,6 +283,10 @@ ORACLES: dict[str, str] = {
     "wire_telemetry": f'WITH {_TEL} SELECT sensor_id, temperature, humidity, soil_fertility, "timestamp" FROM tel',
     "wire_summary": f"""WITH {_TX}, s AS ({_totals("tx", 60)})
         SELECT category, total_quantity::int AS total_quantity, total_revenue, window_start, window_end FROM s""",
+    "wire_evolution": f"""WITH {_TX} SELECT sparse_offset AS "offset", transaction_id,
+        CASE sparse_offset % 4 WHEN 0 THEN 'unknown' ELSE product_id END AS product_id, category, quantity::bigint AS quantity,
+        CASE sparse_offset % 4 WHEN 0 THEN price::double::float::double ELSE price::double END AS price,
+        epoch_us(ts) // 1000 AS "timestamp" FROM tx WHERE sparse_offset % 4 <> 3""",
     "synth_telemetry": f"""WITH {_draws(1, 4)}, t AS (
         SELECT {_digits("sensor_", 3, "d0")} AS sensor_id, {_range("d1", 15.0, 50.0)} AS temperature,
                {_range("d2", 0.05, 0.70)} AS humidity, {_range("d3", 40.0, 90.0)} AS soil_fertility,

@@ -6,13 +6,13 @@ wiring can be checked without it.
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..functions import wire
+from ..functions import evolution, wire
 from ..operators.shape import record_name
 from ..params import JobParams
 
@@ -51,17 +51,24 @@ def decode_topic(raw: DataFrame, schema, schema_ids: Collection[int], on_foreign
     """Raw Kafka columns to an envelope: string key, decoded value. An empty message has a null value.
 
     A foreign message stops the job, naming its place; ``on_foreign="leave"`` gives it a null value instead, for jobs
-    that keep ``foreign_messages`` elsewhere.
+    that keep ``foreign_messages`` elsewhere. If ``schema_ids`` maps ids to the schemas their messages were written with,
+    each message is decoded by its own and resolved to ``schema`` (a record schema, or an ``evolution.Reader`` with defaults).
     """
     if on_foreign not in ("fail", "leave"):
         raise ValueError("on_foreign must be 'fail' or 'leave'")
-    payload = wire.payload_if_framed("value", schema_ids)
+    if isinstance(schema_ids, Mapping):
+        reader = schema if isinstance(schema, evolution.Reader) else evolution.Reader(schema)
+        message = F.col("value")
+        decode = lambda bytes_: evolution.decode_versions(bytes_, schema_ids, reader)
+    else:
+        message = wire.payload_if_framed("value", schema_ids)
+        decode = lambda bytes_: wire.decode_record(bytes_, schema)
     if on_foreign == "fail":
         at = F.format_string("foreign message in %s, partition %d, offset %d", "topic", "partition", "offset")
-        payload = F.when(route(schema_ids) == "foreign", F.raise_error(at).cast("binary")).otherwise(payload)
+        message = F.when(route(schema_ids) == "foreign", F.raise_error(at).cast("binary")).otherwise(message)
     return raw.select(
         F.col("key").cast("string").alias("key"),
-        wire.decode_record(payload, schema).alias("value"),
+        decode(message).alias("value"),
         "topic",
         "partition",
         "offset",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators import rules, summary
 from ..operators.shape import unpack
@@ -14,6 +16,7 @@ from ..schemas import ALERT, SUMMARY_WIRE, TELEMETRY, TRANSACTION
 from ..session import use_rocksdb_state, use_utc
 from ..sources import topics
 from .batches import upsert_batches
+from .keyed import KeyedTable
 from .strict import StrictSummary
 
 COMMIT_INTERVAL = "30 seconds"
@@ -50,6 +53,14 @@ def summary_to_table(
     return writer(summaries, checkpoint, "update", once=once).foreachBatch(write).start()
 
 
+def summary_to_keyed_table(
+    summaries: DataFrame, table: KeyedTable, checkpoint: str, *, once: bool = False
+) -> StreamingQuery:
+    """Update-mode summaries into a table that can be read at any time."""
+    write = lambda batch, batch_id: table.upsert(batch, batch_id)
+    return writer(summaries, checkpoint, "update", once=once).foreachBatch(write).start()
+
+
 def closed_windows(summaries: DataFrame, folder: str, checkpoint: str, *, once: bool = False) -> StreamingQuery:
     """One final row per window, written when the window ends."""
     return writer(summaries, checkpoint, "append", once=once).format("parquet").option("path", folder).start()
@@ -64,12 +75,12 @@ def alerts_to_files(telemetry: DataFrame, folder: str, checkpoint: str, *, once:
 class Intake:
     """How a job reads its topic.
 
-    ``schema_ids`` are those the topic's messages may carry. A message with another one, or damaged, stops the job, or
+    ``schema_ids`` are those the topic's messages may carry, or a map of them to the schemas they were written with. A message with another one, or damaged, stops the job, or
     is kept in ``foreign_folder`` if that is given. ``max_rows`` bounds a micro-batch, ``min_partitions`` splits hot topic
     partitions over more tasks; neither changes a result.
     """
 
-    schema_ids: frozenset[int]
+    schema_ids: Collection[int] | Mapping[int, StructType]
     max_rows: int | None = None
     min_partitions: int | None = None
     foreign_folder: str | None = None
