@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
-from tidemark.llm.store import written
+from tidemark.llm.store import new_folder, written
 
 FORWARD = "doc_id long, place long, n long, terms array<long>, tfs array<int>"
 BLOCKS = (
@@ -41,6 +41,8 @@ HITS = "item int, doc_id long, score long"
 RESULT = "item_id long, rank int, doc_id long, score long"
 TEXT_BYTES = 1 << 20  # text tokenised at once
 GATHERED = 1 << 19  # postings scored at once
+# A reader holds a whole row group of wide rows, so groups are small and their size is looked at after every row.
+ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "8"}
 
 
 def _folded() -> np.ndarray:
@@ -185,7 +187,9 @@ def build_index(docs: DataFrame, settings: Settings = Settings(), id_col: str =
     rows = terms.select(m.alias("m"), "place", "doc_id", "terms", "tfs")
     rows = rows.repartitionByRange("m", "place").sortWithinPartitions("m").drop("place")
     blocks = rows.mapInArrow(lambda batches: blocks_of(batches, settings.block_postings), BLOCKS)
-    return Index(written(blocks, "search-index"), n_docs, n_terms)
+    path = new_folder(docs.sparkSession, "search-index")
+    blocks.write.options(**ROW_GROUPS).parquet(path)
+    return Index(docs.sparkSession.read.schema(blocks.schema).parquet(path), n_docs, n_terms)
 
 
 class Block:
