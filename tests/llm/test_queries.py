@@ -125,11 +125,22 @@ def test_mixing_meets_the_targets(spark, medium):
     assert all(r.rate >= 0 and abs(r.copies - r.rate) < 1 for r in rows)
 
 
-def test_toxicity_on_held_out_rows(spark, medium):
-    """Accuracy on rows that were not trained on; a third of the toxic labels here stand on texts like any other."""
-    found = {r.doc_id: r for r in QUERIES["op10_toxicity"](spark, medium).collect()}
+INSULT = re.compile("trash|idiot|worthless|pathetic|scum|loser|disgusting|stupid|moron|clown")
+
+
+def test_toxicity_on_held_out_rows(spark):
+    """Rows that were not trained on, at sf0.1; toxic texts without an English insult apart."""
+    sf_dir = "/root/testdata/sf0.1"
+    found = {r.doc_id: r for r in QUERIES["op10_toxicity"](spark, sf_dir).collect()}
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in found.items())
-    labels = {r.doc_id: r.toxic for r in read(spark, medium, "labels").collect() if found[r.doc_id].held_out}
-    counts = Counter((y, found[i].predicted) for i, y in labels.items())
-    assert counts[1, 1] >= 0.55 * (counts[1, 0] + counts[1, 1])
-    assert counts[0, 1] <= 0.03 * (counts[0, 0] + counts[0, 1])
+    assert all(r.predicted == (r.score >= 0.7) for r in found.values())
+    texts = {r.doc_id: r.text or "" for r in read(spark, sf_dir, "documents").select("doc_id", "text").collect()}
+    labels = {r.doc_id: r.toxic for r in read(spark, sf_dir, "labels").collect() if found[r.doc_id].held_out}
+    english = {i for i, y in labels.items() if y == 1 and INSULT.search(texts[i].lower())}
+    other = {i for i, y in labels.items() if y == 1} - english
+    ordinary = {i for i, y in labels.items() if y == 0}
+    share = {name: sum(found[i].predicted for i in some) / len(some) for name, some in (("en", english), ("other", other), ("ordinary", ordinary))}
+    assert share["en"] >= 0.8 and share["other"] >= 0.8 and share["ordinary"] <= 0.02, share
+    scores = sorted(found[i].score for i in ordinary)
+    limit = scores[int(0.9 * len(scores))]
+    assert sum(found[i].score > limit for i in english | other) >= 0.85 * len(english | other)
