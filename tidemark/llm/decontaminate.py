@@ -1,15 +1,19 @@
-"""Benchmark decontamination: item-sized windows, SimHash, multi-index Hamming search, exact similarity.
+"""Benchmark decontamination: item-sized windows, SimHash, exact similarity.
 
 Words are runs of letters and digits in lower case; a shingle is five words (a shorter item: all its words) and weighs
 as many as its words have characters. A window of a document is as many words as a benchmark item has, placed so that a
 shingle the two share falls on the same word of both; every window similar to an item shares one. A window's SimHash is
-64 bits, each the sign of the weighted vote of its shingles' hashes. Fingerprints are cut into ``BLOCKS`` blocks: within
-``RADIUS`` differing bits, some block differs in at most ``RADIUS // BLOCKS`` bits, so looking up each block with every
-such variant finds all items of that size within the radius. What is found is verified exactly: shared weight over
-united weight of the shingle sets, at least ``similarity``.
+64 bits, each the sign of the weighted vote of its shingles' hashes. Windows whose print is within ``RADIUS`` bits of the
+item's are verified exactly: shared weight over united weight of the shingle sets, at least ``similarity``.
+
+Candidates are pairs of document and item that share a shingle of the item's prefix: its shingles in the order of how many
+items hold them, rarest first, up to more than the weight that a similar window can lack. A window of enough similarity
+shares one of these, and a shingle that many items share is in few prefixes, so the number of pairs follows the true
+candidates and not the product of windows and items. All joins are by equality; no list grows with a document.
 
 Anchoring at shared shingles takes the place of a fingerprint at every word, which plain SQL functions can only sum
-afresh for each window. It loses no window with any similarity at its own alignment.
+afresh for each window. Windows also stand at every word between two alignments at most half an item apart and up to a
+quarter of an item beyond the outermost, for pairs that share enough weight at all.
 
 The benchmark is the query set. Its shingles are broadcast in portions of at most ``portion`` rows, one pass over the
 documents each.
@@ -23,13 +27,13 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.store import written
 
 WIDTH = 5
-BITS, BLOCKS, RADIUS = 64, 10, 19
+BITS, RADIUS = 64, 26
 DOC, HASH = "tidemark_doc", "tidemark_hash"
 SEPARATORS = r"[^\p{L}\p{N}]+"
 
@@ -81,26 +85,6 @@ def fingerprint(shingles: Column) -> Column:
     )
 
 
-def block_bounds(blocks: int = BLOCKS) -> list[tuple[int, int]]:
-    edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
-    return list(zip(edges[:-1], edges[1:], strict=True))
-
-
-def block_value(print_: Column, low: int, high: int) -> Column:
-    return F.shiftrightunsigned(print_, low).bitwiseAND(F.lit((1 << (high - low)) - 1).cast("long"))
-
-
-def block_keys(print_: Column, errors: int) -> Column:
-    """(block, value) pairs; with ``errors`` 1 also those with one bit of the block flipped."""
-    keys = []
-    for i, (low, high) in enumerate(block_bounds()):
-        flips = [0, *([1 << b for b in range(high - low)] if errors else [])]
-        for flip in flips:
-            value = block_value(print_, low, high).bitwiseXOR(F.lit(flip).cast("long"))
-            keys.append(F.struct(F.lit(i).alias("block"), value.alias("value")))
-    return F.array(*keys)
-
-
 def items_of(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """item_id, n_words, shingles, total weight and fingerprint of each item with a word."""
     words = benchmark.select(
@@ -123,6 +107,47 @@ def place(size: Column, at: Column, n_words: Column, offset: Column) -> Column:
     return F.greatest(F.lit(0), F.least(at - offset, size - n_words))
 
 
+def total(shingles: Column) -> Column:
+    return F.aggregate(shingles, F.lit(0), lambda a, s: a + s["w"])
+
+
+def prefixes(items: DataFrame, similarity: int) -> DataFrame:
+    """item_id and h: an item's rarest shingles, of which every similar window holds one.
+
+    A window of enough similarity holds shingles of at least ``similarity`` percent of the item's weight. Those before a
+    shingle weigh together at most the rest in all of these, so not all of them can be lacking.
+    """
+    each = items.select("item_id", "weight", F.explode("shingles").alias("s")).select("item_id", "weight", "s.*")
+    owners = each.groupBy("h").agg(F.count("*").alias("owners"))
+    in_order = Window.partitionBy("item_id").orderBy("owners", "h").rowsBetween(Window.unboundedPreceding, 0)
+    summed = each.join(owners, "h").withColumn("before", F.sum("w").over(in_order) - F.col("w"))
+    return summed.where(100 * F.col("before") <= (100 - similarity) * F.col("weight")).select("item_id", "h")
+
+
+def shingle_places(docs: DataFrame, widths: list[int], weigh: bool = False) -> list[tuple[int, DataFrame]]:
+    """For each width: doc, hash, size in words, at, h of every run of words, and its weight if asked for."""
+    words = F.col("words")
+
+    def exploded(width: int) -> DataFrame:
+        size = F.size("words").alias("size")
+        if not weigh:
+            return docs.select(DOC, HASH, size, F.posexplode(run_hashes(words, width)).alias("at", "h"))
+        weights = runs(words, lambda own, _: F.length(F.array_join(own, "")), width)
+        both = F.zip_with(run_hashes(words, width), weights, lambda h, w: F.struct(h.alias("h"), w.alias("w")))
+        return docs.select(DOC, HASH, size, F.posexplode(both).alias("at", "s")).select(DOC, HASH, "size", "at", "s.*")
+
+    return [(width, exploded(width)) for width in widths]
+
+
+def same(left: str, right: str, *names: str) -> Column:
+    """Equal in all columns, null counting as a value."""
+    return reduce(Column.__and__, [F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}")) for name in names])
+
+
+def width_of(n_words: Column) -> Column:
+    return F.least(n_words, F.lit(WIDTH))
+
+
 def find(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -134,67 +159,77 @@ def find(
     portion: int = 1_000_000,
 ) -> DataFrame:
     """doc, text hash, item_id, start, n_words, hamming, shared and united weight of every verified window."""
-    items = written(items_of(benchmark, item_id, item_text), "items")
-    anchors = items.select("n_words", F.posexplode("runs").alias("offset", "h")).distinct()
-    anchors = written(anchors, "anchors")
-    lengths = [row[0] for row in anchors.where(F.col("n_words") < WIDTH).select("n_words").distinct().collect()]
-    words = F.col("words")
-    rows = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias(DOC), F.xxhash64(text_col).alias(HASH), words_of(F.col(text_col)).alias("words")
+    items = written(items_of(benchmark, item_id, item_text).withColumn("weight", total(F.col("shingles"))), "items")
+    anchors = written(items.select("item_id", "n_words", F.posexplode("runs").alias("offset", "h")), "anchors")
+    prefix = written(prefixes(items, similarity), "prefixes")
+    widths = [r[0] for r in items.select(width_of(F.col("n_words"))).distinct().orderBy(width_of(F.col("n_words"))).collect()]
+    named = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias(DOC), F.xxhash64(text_col).alias(HASH), F.col(text_col).alias("whole")
     )
-    # five words, and one to four where the benchmark has items as short as that
-    shingled = [
-        (n, rows.select(DOC, HASH, F.size("words").alias("size"), F.posexplode(run_hashes(words, n)).alias("at", "h")))
-        for n in [*sorted(lengths), WIDTH]
-    ]
-    parts = max(1, math.ceil(anchors.count() / portion))
+    rows = named.select(DOC, HASH, words_of(F.col("whole")).alias("words"))
+
+    # where shingles of the benchmark stand
+    known = anchors.select("h", width_of(F.col("n_words")).alias("width")).distinct()
+    parts = max(1, math.ceil(known.count() / portion))
     found = []
-    for width, places in shingled:
-        own = anchors.where(F.col("n_words") >= WIDTH if width == WIDTH else F.col("n_words") == width)
+    for width, places in shingle_places(rows, widths):
+        own = known.where(F.col("width") == width).select("h")
         for part in range(parts):
             some = own.where(F.pmod("h", F.lit(parts)) == part) if parts > 1 else own
-            start = place(F.col("size"), F.col("at"), F.col("n_words"), F.col("offset"))
-            found.append(places.join(F.broadcast(some), "h").select(DOC, HASH, "n_words", start.alias("start")))
-    places = reduce(DataFrame.union, found).distinct()
-    places = places.groupBy(DOC, HASH).agg(F.collect_list(F.struct("n_words", "start")).alias("places"))
-    places = written(places, "places").withColumnsRenamed({DOC: "p_doc", HASH: "p_hash"})
-    same = F.col(DOC).eqNullSafe(F.col("p_doc")) & (F.col(HASH) == F.col("p_hash"))
-    texts = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias(DOC), F.xxhash64(text_col).alias(HASH), F.col(text_col).alias("whole")
-    )
-    windows = (
-        texts.join(places, same)
-        .dropDuplicates([DOC, HASH])
-        .select(DOC, HASH, words_of(F.col("whole")).alias("words"), F.explode("places").alias("place"))
-        .select(DOC, HASH, "place.*", F.expr("slice(words, place.start + 1, place.n_words)").alias("words"))
-    )
-    windows = windows.select(DOC, HASH, "n_words", "start", weighted_runs(F.col("words")).alias("shingles"))
-    windows = written(windows.withColumn("print", fingerprint(F.col("shingles"))), "windows")
-    index = items.select(
-        "item_id",
-        "n_words",
-        F.col("print").alias("item_print"),
-        F.explode(block_keys(F.col("print"), RADIUS // BLOCKS)).alias("key"),
-    )
-    hamming = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
-    near = (
-        windows.select(DOC, HASH, "n_words", "start", "print", F.explode(block_keys(F.col("print"), 0)).alias("key"))
-        .join(index, ["n_words", "key"])
+            found.append(places.join(F.broadcast(some), "h").select(DOC, HASH, "size", F.lit(width).alias("width"), "at", "h"))
+    empty = f"{DOC} {docs.schema[id_col].dataType.simpleString()}, {HASH} long, size int, width int, at int, h long"
+    places = reduce(DataFrame.union, found) if found else docs.sparkSession.createDataFrame([], empty)
+    places = written(places.distinct(), "places")
+
+    # pairs of document and item that share enough weight at all, and their windows
+    pairs = places.join(prefix, "h").select(DOC, HASH, "item_id").distinct()
+    weights = items.select("item_id", "weight", F.explode("shingles").alias("s")).select("item_id", "weight", "s.*")
+    wanted = pairs.join(anchors, "item_id").withColumn("width", width_of(F.col("n_words")))
+    aligned = places.alias("p").join(wanted.alias("w"), same("p", "w", DOC, HASH, "width", "h"))
+    start = place(F.col("size"), F.col("at"), F.col("n_words"), F.col("offset"))
+    aligned = aligned.select(f"p.{DOC}", f"p.{HASH}", "item_id", "n_words", "size", "p.width", "p.h", start.alias("start"))
+    aligned = written(aligned, "aligned")
+    shared = aligned.select(DOC, HASH, "item_id", "h").distinct().join(weights, ["item_id", "h"])
+    shared = shared.groupBy(DOC, HASH, "item_id", "weight").agg(F.sum("w").alias("w"))
+    pairs = written(shared.where(100 * F.col("w") >= similarity * F.col("weight")).select(DOC, HASH, "item_id"), "pairs")
+    first = aligned.drop("h").distinct().alias("a")
+    first = first.join(pairs.alias("b"), same("a", "b", DOC, HASH, "item_id"), "left_semi").select("a.*")
+    # words put in or left out shift what follows: the best window may lie between two alignments or a little beyond them
+    in_order = Window.partitionBy(DOC, HASH, "item_id").orderBy("start")
+    half, quarter = F.expr("n_words div 2"), F.expr("n_words div 4")
+    to_next = F.lead("start").over(in_order) - F.col("start")
+    to_last = F.col("start") - F.lag("start").over(in_order)
+    low = F.when(to_last <= half, F.col("start")).otherwise(F.greatest(F.lit(0), F.col("start") - quarter))
+    end = F.greatest(F.col("start"), F.least(F.col("start") + quarter, F.col("size") - F.col("n_words")))
+    high = F.when(to_next <= half, F.col("start") + to_next - 1).otherwise(end)
+    windows = first.withColumns({"low": low.cast("int"), "high": high.cast("int")})
+    windows = windows.withColumn("start", F.explode(F.sequence("low", "high"))).drop("low", "high").distinct()
+    windows = written(windows, "windows")
+
+    # the shingles of every window, by the place they stand at
+    touched = pairs.select(DOC, HASH).distinct()
+    texts = named.alias("d").join(touched.alias("t"), same("d", "t", DOC, HASH), "left_semi").groupBy(DOC, HASH)
+    texts = texts.agg(F.first("whole").alias("whole")).select(DOC, HASH, words_of(F.col("whole")).alias("words"))
+    texts = written(texts, "touched")
+    weighed = [p.withColumn("width", F.lit(width)) for width, p in shingle_places(texts, widths, weigh=True)]
+    last = F.greatest(F.col("start"), F.least(F.col("start") + F.col("n_words"), F.col("size")) - F.col("width"))
+    spread = windows.withColumn("at", F.explode(F.sequence("start", last)))
+    if weighed:
+        weighed = reduce(DataFrame.union, weighed)
+        spread = spread.alias("w").join(weighed.alias("s"), same("w", "s", DOC, HASH, "width", "at")).select("w.*", "h", "s.w")
+    else:
+        spread = spread.select("*", F.lit(0).cast("long").alias("h"), F.lit(0).alias("w"))
+    key = (DOC, HASH, "item_id", "n_words", "start")
+    sets = spread.groupBy(*key).agg(F.collect_set(F.struct("h", "w")).alias("shingles"))
+
+    own = items.select("item_id", "print", "weight", F.col("shingles").alias("item_shingles"))
+    hamming = F.bit_count(F.col("print").bitwiseXOR(fingerprint(F.col("shingles"))))
+    united = total(F.col("shingles")) + F.col("weight") - F.col("shared")
+    return (
+        sets.join(own, "item_id")
         .withColumn("hamming", hamming)
         .where(F.col("hamming") <= RADIUS)
-        .select(DOC, HASH, "n_words", "start", "item_id", "hamming")
-        .distinct()
-    )
-    own = items.select("item_id", F.col("shingles").alias("item_shingles"))
-    weight = lambda rows: F.aggregate(rows, F.lit(0), lambda a, s: a + s["w"])
-    shared = weight(F.array_intersect("shingles", "item_shingles"))
-    united = weight(F.col("shingles")) + weight(F.col("item_shingles")) - F.col("shared")
-    key = [windows[name].eqNullSafe(near[name]) for name in (DOC, HASH, "n_words", "start")]
-    return (
-        near.join(windows.select(DOC, HASH, "n_words", "start", "shingles"), reduce(Column.__and__, key))
-        .select(near["*"], "shingles")
-        .join(own, "item_id")
-        .withColumn("shared", shared)
+        .withColumn("shared", total(F.array_intersect("shingles", "item_shingles")))
         .withColumn("united", united)
         .where(100 * F.col("shared") >= similarity * F.col("united"))
         .select(DOC, HASH, "item_id", "start", "n_words", "hamming", "shared", "united")
