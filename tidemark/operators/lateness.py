@@ -13,7 +13,7 @@ offset in one task. Two equivalent forms avoid this:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
@@ -103,6 +103,19 @@ def late_only(records: DataFrame, window_minutes: int, *, key: str = "key", **co
     return mark_late(keyed, window_minutes, **columns).where("late").drop("late")
 
 
+def counted(marked: DataFrame, name: str = "lateness") -> tuple[DataFrame, Observation]:
+    """The kept ones of records with a ``late`` mark, and what counts both kinds while they pass.
+
+    The counts are those of the first job that runs the frame; they cost no job of their own.
+    """
+    seen = Observation(name)
+    late = F.col("late").cast("bigint")
+    observed = marked.observe(
+        seen, F.coalesce(F.sum(1 - late), F.lit(0)).alias("kept"), F.coalesce(F.sum(late), F.lit(0)).alias("late")
+    )
+    return observed.where(~F.col("late")).drop("late"), seen
+
+
 def with_stream_time(
     records: DataFrame,
     *,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import scalars
+from ..functions import exact, scalars
 from .scan import running, total
 
 SUMMARY_COLUMNS = ("category", "total_quantity", "total_revenue", "window_start", "window_end")
@@ -76,6 +76,27 @@ def summarize(
     return summary_record(window_aggregate(sales, window_minutes, sums, key=key, time_col=time_col), window_minutes)
 
 
+def summarize_exact(
+    sales: DataFrame,
+    window_minutes: int = 1,
+    *,
+    key: str = "key",
+    quantity: str = "quantity",
+    price: str = "price",
+    time_col: str = "timestamp",
+) -> DataFrame:
+    """As ``summarize`` for prices that are no whole cents: the exact sum of the doubles, rounded once."""
+    sums = [F.sum(F.col(quantity).cast("bigint")).alias("total_quantity"), *exact.sums(price, "__price")]
+    started = window_aggregate(sales, window_minutes, sums, key=key, time_col=time_col)
+    return started.select(
+        "category",
+        "total_quantity",
+        exact.total("__price").alias("total_revenue"),
+        "window_start",
+        (F.col("window_start") + F.lit(window_minutes * 60_000)).alias("window_end"),
+    )
+
+
 def summary_record(started: DataFrame, window_minutes: int, *keep: str) -> DataFrame:
     """(category, window_start in ms, totals) to the flat summary record, behind ``keep``."""
     return started.select(
@@ -123,6 +144,46 @@ def update_stream(
     return summary_record(updates, window_minutes, partition, offset)
 
 
+def update_ticks(
+    accepted: DataFrame,
+    tick: Column,
+    window_minutes: int = 1,
+    *,
+    key: str = "key",
+    quantity: str = "quantity",
+    price: str = "price",
+    time_col: str = "timestamp",
+    partition: str = "partition",
+    block: int = 1 << 20,
+) -> DataFrame:
+    """The changelog when updates are merged until the next commit: the last update of each window in each tick.
+
+    ``tick`` numbers the commits of a partition and must not fall with its offsets. Records are first added up by (window,
+    tick), before the exchange, so what is shuffled and scanned follows the number of ticks, not of records.
+    """
+    deltas = (
+        with_key_and_value(accepted, key)
+        .select(
+            partition,
+            F.col(key).alias("category"),
+            scalars.window_start(time_col, window_minutes).alias("window_start"),
+            tick.cast("bigint").alias("tick"),
+            F.col(quantity).cast("bigint").alias("__units"),
+            scalars.cents(price).alias("__cents"),
+        )
+        .groupBy(partition, "category", "window_start", "tick")
+        .agg(F.sum("__units").alias("__units"), F.sum("__cents").alias("__cents"))
+    )
+    updates = running(
+        deltas,
+        [partition, "category", "window_start"],
+        "tick",
+        {"total_quantity": total("__units"), "total_cents": total("__cents")},
+        block=block,
+    )
+    return summary_record(updates, window_minutes, partition, "tick")
+
+
 def keyed_summary(summary: DataFrame) -> DataFrame:
     """Re-key summaries by category for a topic: (key, value)."""
     return summary.select(F.col("category").alias("key"), F.struct(*SUMMARY_COLUMNS).alias("value"))

@@ -15,7 +15,7 @@ from ..params import AlertParams
 from ..schemas import ALERT, SUMMARY, SUMMARY_WIRE, TELEMETRY, TRANSACTION
 from ..session import shared_dir, use_rocksdb_state, written_to
 from ..sources import database, replayed, synthetic, topics
-from ..streaming import batches, jobs, keyed, processor, store, strict
+from ..streaming import batches, ingest, jobs, keyed, processor, store, strict
 from . import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +136,31 @@ def summary_updates_60min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.update_stream(accepted, 60)
 
 
+def summary_updates_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strict changelog thinned to one update per window and commit, a commit coming every 500,000 offsets."""
+    accepted = lateness.drop_late(_transactions(spark, sf_dir), 60, work_dir=shared_dir(spark, "expiry"))
+    return summary.update_ticks(accepted, F.call_function("div", F.col("offset"), F.lit(500_000)), 60)
+
+
+def summary_exact_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly totals of prices that are multiples of 2^-20."""
+    fine = F.floor(F.col("price") * F.lit(2.0**20)) + F.pmod("offset", F.lit(1021))
+    rows = _transactions(spark, sf_dir).withColumn("price", fine / F.lit(2.0**20))
+    return summary.summarize_exact(rows, 60)
+
+
+def late_metrics_60min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records three micro-batches of the strict summary kept and dropped, as the job reports them."""
+    root = shared_dir(spark, "late-metrics")
+    reported: dict[int, tuple[int, int]] = {}
+    job = strict.StrictSummary(f"{root}/state", 60, report=lambda number, kept, late: reported.update({number: (kept, late)}))
+    columns = ("key", "quantity", "price", "timestamp", "partition", "offset")
+    for stream in _deliveries(spark, sf_dir, root, _third_of_offsets(spark, sf_dir), *columns):
+        jobs.writer(stream, f"{root}/checkpoint", "append", once=True).foreachBatch(job).start().awaitTermination()
+    rows = [(number, *counts) for number, counts in sorted(reported.items())]
+    return spark.createDataFrame(rows, "batch_id long, kept long, late long")
+
+
 def late_rows_60min(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = lateness.late_only(_transactions(spark, sf_dir), 60, work_dir=shared_dir(spark, "expiry"))
     return late.select("transaction_id", "partition", "offset", F.unix_micros("timestamp").alias("timestamp_us"))
@@ -220,6 +245,11 @@ def _by_time(*days: int) -> Column:
     return sum((F.col("timestamp") >= f"2024-01-{day:02d} 12:00:00").cast("int") for day in days)
 
 
+def _third_of_offsets(spark: SparkSession, sf_dir: str) -> Column:
+    end = _transactions(spark, sf_dir).agg(F.max("offset")).first()[0] + 1
+    return F.call_function("div", F.col("offset") * 3, F.lit(end)).cast("int")
+
+
 def summary_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of hourly totals as a reader sees it after each of three deliveries; every tenth record is a delivery late."""
     root = shared_dir(use_rocksdb_state(spark), "summary-keyed")
@@ -248,8 +278,7 @@ def window_store_open(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summary_stream_processor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strict summary by a stateful processor: three deliveries in offset order, three starts on one checkpoint."""
     root = shared_dir(use_rocksdb_state(spark), "summary-processor")
-    end = _transactions(spark, sf_dir).agg(F.max("offset")).first()[0] + 1
-    third = F.floor(F.col("offset") * 3 / F.lit(end)).cast("int")
+    third = _third_of_offsets(spark, sf_dir)
     columns = ("key", "quantity", "price", "timestamp", "partition", "offset")
     for stream in _deliveries(spark, sf_dir, root, third, *columns):
         updates = processor.strict_updates(stream, 60)
@@ -355,6 +384,23 @@ def table_key_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_key_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with every third one sent again in the next delivery; a start per delivery keeps the first of each key."""
+    root = shared_dir(use_rocksdb_state(spark), "key-guard")
+    rows = _transactions(spark, sf_dir).select("transaction_id", "timestamp", "quantity", "offset")
+    rows = written_to(rows.withColumn("delivery", _by_time(11, 21)), f"{root}/all")
+    for i in range(3):
+        again = rows.where((F.col("delivery") == i - 1) & (F.pmod("offset", F.lit(3)) == 0))
+        sent = rows.where(F.col("delivery") == i).union(again).withColumn("delivery", F.lit(i))
+        sent.write.parquet(f"{root}/arrivals/n={i}")
+        stream = spark.readStream.schema(sent.schema).parquet(f"{root}/arrivals").withWatermark("timestamp", "20 days")
+        guarded = tablekey.first_per_key_stream(stream)
+        out = jobs.writer(guarded, f"{root}/checkpoint", "append", once=True).format("parquet").option("path", f"{root}/out")
+        out.start().awaitTermination()
+    kept = spark.read.schema(sent.schema).parquet(f"{root}/out")
+    return kept.withColumn("timestamp", F.unix_millis("timestamp"))
+
+
 def table_key_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     conflicts = tablekey.duplicate_keys(_with_copies(spark, sf_dir))
     return conflicts.select("transaction_id", F.unix_millis("timestamp").alias("timestamp_ms"), "copies")
@@ -375,6 +421,37 @@ def incremental_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return database.poll_numbers(events, "ts", uppers).select("event_id", "poll")
 
 
+def incremental_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six polls of a table some of whose rows become visible up to twelve days after their time; each arrives once."""
+    delay = F.when(F.col("event_id") % 10 == 0, F.col("event_id") % 13).otherwise(0)
+    visible = F.col("ts") + F.make_dt_interval(delay)
+    root = shared_dir(spark, "overlap")
+    events = written_to(
+        replayed.events(spark, sf_dir).select("event_id", "ts", visible.alias("visible")), f"{root}/table"
+    )
+    sent: list[DataFrame] = []
+    now = {"upper": datetime(2024, 1, 5)}
+
+    def read(session: SparkSession, last: datetime | None):
+        shown = events.where(F.col("visible") < F.lit(now["upper"].isoformat(sep=" ")).cast("timestamp_ntz")).drop("visible")
+        rows, newest = database.read_increment(shown, "ts", last, now["upper"])
+        return (None, last) if newest is None or newest == last else (rows, newest)
+
+    def send(rows: DataFrame) -> None:
+        number = len(sent)
+        sent.append(written_to(rows.select("event_id", F.lit(number).alias("poll")), f"{root}/sent/{number}"))
+
+    poll = ingest.OverlappingPoll(read, send, f"{root}/state", ("event_id",), timedelta(days=13), "ts")
+    tick = spark.range(1)
+    for number, days in enumerate((5, 11, 12, 20, 30, 50)):
+        now["upper"] = datetime(2024, 1, 1) + timedelta(days=days)
+        poll(tick, number)
+    out = sent[0]
+    for more in sent[1:]:
+        out = out.union(more)
+    return out
+
+
 # --- wire format ----------------------------------------------------------------------------
 
 
@@ -543,6 +620,22 @@ def named_tables_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def named_functions_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parameterised tables, each with two sets of arguments."""
+    tables.register_replayed(spark, sf_dir, 60)
+    tables.register_functions(spark)
+    parts = [
+        f"SELECT 'windows {n}' AS source, category AS name, count(*) AS records, sum(total_quantity) AS units FROM sales_windows({n}) GROUP BY category"
+        for n in (15, 1440)
+    ]
+    parts += [
+        f"SELECT 'alerts {hot}', alert_type, count(*), null FROM threshold_alerts({hot}D, {dry}D) GROUP BY alert_type"
+        for hot, dry in ((35.0, 0.2), (45.0, 0.1))
+    ]
+    parts += [f"SELECT 'late {n}', cast(partition AS string), count(*), null FROM late_sales({n}) GROUP BY partition" for n in (15, 60)]
+    return spark.sql(" UNION ALL ".join(parts))
+
+
 QUERIES: dict[str, Query] = {
     "alerts_documented": _alerts(),
     "alerts_as_coded": alerts_as_coded,
@@ -565,7 +658,10 @@ QUERIES: dict[str, Query] = {
     "summary_strict_60min": _summary_strict(60),
     "summary_strict_null_key": summary_strict_null_key,
     "summary_updates_60min": summary_updates_60min,
+    "summary_updates_ticks": summary_updates_ticks,
+    "summary_exact_double": summary_exact_double,
     "late_rows_60min": late_rows_60min,
+    "late_metrics_60min": late_metrics_60min,
     "stream_time": stream_time,
     "summary_stream_update": summary_stream_update,
     "summary_stream_append": summary_stream_append,
@@ -586,8 +682,10 @@ QUERIES: dict[str, Query] = {
     "append_rows": append_rows,
     "table_key_guard": table_key_guard,
     "table_key_conflicts": table_key_conflicts,
+    "stream_key_guard": stream_key_guard,
     "incremental_read": incremental_read,
     "incremental_replay": incremental_replay,
+    "incremental_overlap": incremental_overlap,
     "wire_header": wire_header,
     "wire_foreign": wire_foreign,
     "wire_routing": wire_routing,
@@ -600,4 +698,5 @@ QUERIES: dict[str, Query] = {
     "synth_transactions": synth_transactions,
     "synth_ingest": synth_ingest,
     "named_tables_sql": named_tables_sql,
+    "named_functions_sql": named_functions_sql,
 }

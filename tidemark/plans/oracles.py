@@ -201,6 +201,21 @@ ORACLES: dict[str, str] = {
                epoch_ms(ends) - 3600000 AS window_start, epoch_ms(ends) AS window_end
         FROM timed WHERE ends > stream_time
         WINDOW so_far AS (PARTITION BY part, category, ends ORDER BY place ROWS UNBOUNDED PRECEDING)""",
+    "summary_updates_ticks": f"""WITH {_timed(60)}, u AS (
+        SELECT part, sparse_offset // 500000 AS tick, category, ends, place,
+               cast(sum(quantity) OVER so_far AS bigint) AS total_quantity, cast(sum(price) OVER so_far AS double) AS total_revenue
+        FROM timed WHERE ends > stream_time
+        WINDOW so_far AS (PARTITION BY part, category, ends ORDER BY place ROWS UNBOUNDED PRECEDING))
+        SELECT part AS "partition", tick, category, arg_max(total_quantity, place) AS total_quantity,
+               arg_max(total_revenue, place) AS total_revenue, epoch_ms(ends) - 3600000 AS window_start, epoch_ms(ends) AS window_end
+        FROM u GROUP BY part, tick, category, ends""",
+    "summary_exact_double": f"""WITH {_TX} SELECT category, sum(quantity)::bigint AS total_quantity,
+               sum((floor(price::double * 1048576)::bigint + sparse_offset % 1021)::hugeint)::double / 1048576 AS total_revenue,
+               epoch_ms(w) AS window_start, epoch_ms(w) + 3600000 AS window_end
+        FROM (SELECT *, date_trunc('hour', ts) AS w FROM tx) GROUP BY category, w""",
+    "late_metrics_60min": f"""WITH {_timed(60)}, e AS (SELECT max(sparse_offset) + 1 AS n FROM tx)
+        SELECT sparse_offset * 3 // n AS batch_id, count(*) FILTER (ends > stream_time) AS kept,
+               count(*) FILTER (ends <= stream_time) AS late FROM timed, e GROUP BY 1""",
     "late_rows_60min": f"""WITH {_timed(60)}
         SELECT transaction_id, part AS "partition", sparse_offset AS "offset", epoch_us(ts) AS timestamp_us
         FROM timed WHERE ends <= stream_time""",
@@ -257,6 +272,11 @@ ORACLES: dict[str, str] = {
         SELECT *, row_number() OVER (PARTITION BY product_id, date_trunc('hour', ts) ORDER BY sparse_offset) AS n FROM tx)
         SELECT product_id AS transaction_id, epoch_ms(date_trunc('hour', ts)) AS timestamp_ms, category, quantity,
                sparse_offset AS "offset" FROM numbered WHERE n = 1""",
+    "stream_key_guard": f"""WITH {_TX} SELECT transaction_id, epoch_us(ts) // 1000 AS "timestamp", quantity, sparse_offset AS "offset",
+        (ts >= TIMESTAMP '2024-01-11 12:00')::int + (ts >= TIMESTAMP '2024-01-21 12:00')::int AS delivery FROM tx""",
+    "incremental_overlap": """SELECT event_id, (SELECT min(i) FROM (VALUES (0, 5), (1, 11), (2, 12), (3, 20), (4, 30), (5, 50)) p(i, d)
+             WHERE ts + to_days((CASE WHEN event_id % 10 = 0 THEN event_id % 13 ELSE 0 END)::int) < TIMESTAMP '2024-01-01' + to_days(d))::int AS poll
+        FROM events""",
     "table_key_conflicts": f"""WITH {_TX}
         SELECT product_id AS transaction_id, epoch_ms(date_trunc('hour', ts)) AS timestamp_ms, count(*) AS copies
         FROM tx GROUP BY 1, 2 HAVING count(*) > 1""",
@@ -298,6 +318,20 @@ ORACLES: dict[str, str] = {
         SELECT category AS key, 'sales-transactions' AS topic, count(*) AS messages,
                sum(quantity)::bigint AS total_quantity, sum(price::decimal(10,2))::double AS total_revenue
         FROM synth GROUP BY category""",
+    "named_functions_sql": f"""WITH {_TEL}, {_TX},
+        wc AS (SELECT n, category, count(DISTINCT epoch_us(ts) // (n * 60000000)) AS records, sum(quantity)::bigint AS units
+               FROM tx, (VALUES (15), (1440)) v(n) GROUP BY n, category),
+        a AS (SELECT hot, alert_type, count(*) AS records FROM (
+                SELECT hot, 'HIGH_TEMPERATURE' AS alert_type FROM tel, (VALUES (35.0::double), (45.0::double)) v(hot) WHERE temperature > hot
+                UNION ALL SELECT hot, 'LOW_HUMIDITY' FROM tel, (VALUES (35.0::double, 0.2::double), (45.0::double, 0.1::double)) v(hot, dry)
+                WHERE humidity < dry) GROUP BY 1, 2),
+        l AS (SELECT n, part, count(*) AS records FROM (
+                SELECT n, part, max(ts) OVER (PARTITION BY n, part ORDER BY place ROWS UNBOUNDED PRECEDING) AS seen,
+                       (epoch_us(ts) // (n * 60000000) + 1) * n * 60000000 AS ends
+                FROM tx, (VALUES (15), (60)) v(n)) WHERE ends <= epoch_us(seen) GROUP BY n, part)
+        SELECT 'windows ' || n AS source, category AS name, records, units FROM wc
+        UNION ALL SELECT 'alerts ' || hot, alert_type, records, null FROM a
+        UNION ALL SELECT 'late ' || n, part::varchar, records, null FROM l""",
     "named_tables_sql": f"""WITH {_TEL}, {_TX}, a AS ({_hot()} UNION ALL {_dry()}), s AS ({_totals("tx", 1440)})
         SELECT 'alerts' AS source, alert_type AS name, count(*) AS records, null::double AS revenue
         FROM a GROUP BY alert_type

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +42,47 @@ def read_increment(
     return fresh.where(F.col(ts_col) <= _moment(table, ts_col, newest)), newest
 
 
+def unsent(rows: DataFrame, ts_col: str, key: Sequence[str], ledger: DataFrame | None) -> DataFrame:
+    """The rows whose key and time are not in the ledger; a missing key part compares like any value."""
+    if ledger is None or ts_col not in ledger.columns:
+        return rows
+    sent = ledger.select(*[F.col(name).alias(f"__{name}") for name in (*key, ts_col)])
+    same = [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in (*key, ts_col)]
+    return rows.join(sent, same, "left_anti")
+
+
+def read_overlapping(
+    table: DataFrame,
+    ts_col: str,
+    key: Sequence[str],
+    last: datetime | None,
+    upper: datetime,
+    overlap: timedelta,
+    ledger: DataFrame | None = None,
+) -> tuple[DataFrame, datetime | None]:
+    """One poll that also sees rows which became visible after a later time had been read, up to ``overlap`` behind it.
+
+    ``ledger`` holds key and time of the rows already sent within the overlap. Returned are the rows not in it and the new
+    offset; ``next_ledger`` gives what to keep. A row that becomes visible within ``overlap`` of its time is read once.
+    """
+    floor = None if last is None else last - overlap
+    rows, newest = read_increment(table, ts_col, floor, upper)
+    rows = unsent(rows, ts_col, key, ledger)
+    if newest is None or (last is not None and newest < last):
+        newest = last
+    return rows, newest
+
+
+def next_ledger(
+    rows: DataFrame, ts_col: str, key: Sequence[str], newest: datetime, overlap: timedelta, ledger: DataFrame | None = None
+) -> DataFrame:
+    """Key and time of everything sent that the next poll will read again; older entries expire."""
+    sent = rows.select(*key, ts_col)
+    if ledger is not None and ts_col in ledger.columns:
+        sent = sent.unionByName(ledger.select(*key, ts_col))
+    return sent.where(F.col(ts_col) > _moment(sent, ts_col, newest - overlap))
+
+
 def replay(
     table: DataFrame, ts_col: str, uppers: Sequence[datetime], last: datetime | None = None
 ) -> list[tuple[DataFrame, datetime | None]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +54,53 @@ class TablePoll:
         batches.remove_batch(spark, self.folder, batch_id - 2)
 
 
+@dataclass(frozen=True)
+class OverlappingPoll:
+    """As ``TablePoll`` for a table whose rows may become visible after later ones: polls reach ``overlap`` back.
+
+    ``read`` takes the session and a time and gives the rows behind it and the latest time among them. Keys sent within the
+    overlap are kept in a ledger per tick, written with the offset after the rows are sent: a tick that fails is polled
+    again, so rows are sent at least once, and exactly once without failures.
+    """
+
+    read: Read
+    send: Send
+    folder: str
+    key: tuple[str, ...]
+    overlap: timedelta
+    ts_col: str = "timestamp"
+
+    def _part(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def __call__(self, tick: DataFrame, batch_id: int) -> None:
+        spark = tick.sparkSession
+        last = ledger = None
+        if batch_id:
+            last = batches.read_batch(spark, self._part("offsets"), batch_id - 1, OFFSET).first()["last"]
+            ledger = spark.read.parquet(batches.batch_path(self._part("ledger"), batch_id - 1))
+        rows, newest = self.read(spark, None if last is None else last - self.overlap)
+        if rows is None:
+            newest = last
+        else:
+            newest = newest if last is None else max(newest, last)
+            rows = database.unsent(rows, self.ts_col, self.key, ledger).persist()
+        try:
+            if rows is not None:
+                self.send(rows)
+                kept = database.next_ledger(rows, self.ts_col, self.key, newest, self.overlap, ledger)
+                batches.write_batch(kept, self._part("ledger"), batch_id)
+            else:
+                empty = spark.createDataFrame([], "none string") if ledger is None else ledger
+                batches.write_batch(empty, self._part("ledger"), batch_id)
+        finally:
+            if rows is not None:
+                rows.unpersist()
+        batches.write_batch(spark.createDataFrame([(newest,)], OFFSET).coalesce(1), self._part("offsets"), batch_id)
+        for part in ("offsets", "ledger"):
+            batches.remove_batch(spark, self._part(part), batch_id - 2)
+
+
 def clock_stream(spark: SparkSession) -> DataFrame:
     """One row per second; only its micro-batches matter."""
     return spark.readStream.format("rate").option("rowsPerSecond", 1).load()

@@ -35,6 +35,22 @@ def summary_updates(
     return summary.summarize(watermarked, window_minutes, time_col=time_col, **columns)
 
 
+def late_rows(query: StreamingQuery) -> list[dict]:
+    """Per batch still in the query's progress: rows read, and groups of late rows the watermark has dropped.
+
+    Spark drops after partial sums, so a dropped number counts (window, key) pairs of a task rather than records;
+    ``strict.StrictSummary`` reports records.
+    """
+    return [
+        {
+            "batch_id": one["batchId"],
+            "rows": one["numInputRows"],
+            "dropped": sum(state["numRowsDroppedByWatermark"] for state in one["stateOperators"]),
+        }
+        for one in map(dict, query.recentProgress)
+    ]
+
+
 def writer(
     frame: DataFrame, checkpoint: str, mode: str, *, name: str | None = None, once: bool = False
 ) -> DataStreamWriter:

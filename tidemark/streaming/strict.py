@@ -52,7 +52,8 @@ class StrictSummary:
     Offsets must rise from batch to batch within a partition, as a topic delivers them. As in
     the original, totals belong to a partition; ``result`` and what is published add up whatever
     several partitions hold of a key. ``publish`` receives the summary records every batch has
-    changed; a repeated batch publishes them again. Every ``compact_every`` batches the changelog
+    changed; a repeated batch publishes them again. ``report`` receives the batch id and the numbers of records kept and late,
+    counted in the pass that sums them. Every ``compact_every`` batches the changelog
     is folded, so neither its folders nor a reader's work grow with the number of batches.
     """
 
@@ -61,6 +62,7 @@ class StrictSummary:
     key: str = "key"
     time_col: str = "timestamp"
     publish: Callable[[DataFrame], None] | None = None
+    report: Callable[[int, int, int], None] | None = None
     compact_every: int = 100
 
     def _window_start(self) -> Column:
@@ -95,8 +97,9 @@ class StrictSummary:
             expiry = self._at(spark, "expiry", batch_id, EXPIRY)
 
             kept = lateness.mark_late(records, self.window_minutes, time_col=self.time_col, expiry=expiry)
+            kept, counts = lateness.counted(kept)
             added = (
-                lateness.with_window_number(kept.where(~F.col("late")), self.window_minutes, self.time_col)
+                lateness.with_window_number(kept, self.window_minutes, self.time_col)
                 .groupBy("partition", F.col(self.key).alias("category"), lateness.WINDOW_NO)
                 .agg(*totals())
             )
@@ -110,6 +113,8 @@ class StrictSummary:
             windows.write.mode("overwrite").partitionBy("changed").parquet(
                 batches.batch_path(self._path("windows"), batch_id)
             )
+            if self.report:
+                self.report(batch_id, counts.get["kept"], counts.get["late"])
             if self.publish:
                 changed = self._at(spark, "windows", batch_id, WINDOWS).where("changed = 1")
                 shared = ["category", lateness.WINDOW_NO]
