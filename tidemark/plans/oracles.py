@@ -320,7 +320,7 @@ ORACLES: dict[str, str] = {
         FROM synth GROUP BY category""",
     "named_functions_sql": f"""WITH {_TEL}, {_TX},
         wc AS (SELECT n, category, count(DISTINCT epoch_us(ts) // (n * 60000000)) AS records, sum(quantity)::bigint AS units
-               FROM tx, (VALUES (15), (1440)) v(n) GROUP BY n, category),
+               FROM tx, (VALUES (15::bigint), (1440::bigint)) v(n) GROUP BY n, category),
         a AS (SELECT hot, alert_type, count(*) AS records FROM (
                 SELECT hot, 'HIGH_TEMPERATURE' AS alert_type FROM tel, (VALUES (35.0::double), (45.0::double)) v(hot) WHERE temperature > hot
                 UNION ALL SELECT hot, 'LOW_HUMIDITY' FROM tel, (VALUES (35.0::double, 0.2::double), (45.0::double, 0.1::double)) v(hot, dry)
@@ -328,7 +328,7 @@ ORACLES: dict[str, str] = {
         l AS (SELECT n, part, count(*) AS records FROM (
                 SELECT n, part, max(ts) OVER (PARTITION BY n, part ORDER BY place ROWS UNBOUNDED PRECEDING) AS seen,
                        (epoch_us(ts) // (n * 60000000) + 1) * n * 60000000 AS ends
-                FROM tx, (VALUES (15), (60)) v(n)) WHERE ends <= epoch_us(seen) GROUP BY n, part)
+                FROM tx, (VALUES (15::bigint), (60::bigint)) v(n)) WHERE ends <= epoch_us(seen) GROUP BY n, part)
         SELECT 'windows ' || n AS source, category AS name, records, units FROM wc
         UNION ALL SELECT 'alerts ' || hot, alert_type, records, null FROM a
         UNION ALL SELECT 'late ' || n, part::varchar, records, null FROM l""",
