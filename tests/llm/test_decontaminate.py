@@ -60,7 +60,7 @@ def test_pairs_follow_true_candidates(spark, monkeypatch):
     monkeypatch.setattr(d, "written", lambda df, purpose: sizes.setdefault(purpose, write(df, purpose)))
     found = d.best_hits(d.find(plain.union(copies), items))
     assert {(r[0], r.item_id) for r in found.collect()} == {(i + 1000, i) for i in range(50)}
-    assert sizes["pairs"].count() == 50 and sizes["windows"].count() <= 50 * 30
+    assert sizes["pairs"].count() == 50 and sizes["windows"].count() == 50 and sizes["windows-around"].count() == 0
 
 
 def test_short_items_and_documents(spark):

@@ -12,8 +12,8 @@ shares one of these, and a shingle that many items share is in few prefixes, so
 candidates and not the product of windows and items. All joins are by equality; no list grows with a document.
 
 Anchoring at shared shingles takes the place of a fingerprint at every word, which plain SQL functions can only sum
-afresh for each window. Windows also stand at every word between two alignments at most half an item apart and up to a
-quarter of an item beyond the outermost, for pairs that share enough weight at all.
+afresh for each window. Where a pair shares enough weight but no such window is similar enough, windows at every word
+between two alignments at most half an item apart and up to a quarter of an item beyond the outermost are tried as well.
 
 The benchmark is the query set. Its shingles are broadcast in portions of at most ``portion`` rows, one pass over the
 documents each.
@@ -124,19 +124,11 @@ def prefixes(items: DataFrame, similarity: int) -> DataFrame:
     return summed.where(100 * F.col("before") <= (100 - similarity) * F.col("weight")).select("item_id", "h")
 
 
-def shingle_places(docs: DataFrame, widths: list[int], weigh: bool = False) -> list[tuple[int, DataFrame]]:
-    """For each width: doc, hash, size in words, at, h of every run of words, and its weight if asked for."""
-    words = F.col("words")
-
-    def exploded(width: int) -> DataFrame:
-        size = F.size("words").alias("size")
-        if not weigh:
-            return docs.select(DOC, HASH, size, F.posexplode(run_hashes(words, width)).alias("at", "h"))
-        weights = runs(words, lambda own, _: F.length(F.array_join(own, "")), width)
-        both = F.zip_with(run_hashes(words, width), weights, lambda h, w: F.struct(h.alias("h"), w.alias("w")))
-        return docs.select(DOC, HASH, size, F.posexplode(both).alias("at", "s")).select(DOC, HASH, "size", "at", "s.*")
-
-    return [(width, exploded(width)) for width in widths]
+def shingle_places(docs: DataFrame, widths: list[int]) -> list[tuple[int, DataFrame]]:
+    """For each width: doc, hash, size in words, at and h of every run of words."""
+    size = F.size("words").alias("size")
+    places = lambda width: F.posexplode(run_hashes(F.col("words"), width)).alias("at", "h")
+    return [(width, docs.select(DOC, HASH, size, places(width))) for width in widths]
 
 
 def same(left: str, right: str, *names: str) -> Column:
@@ -148,6 +140,65 @@ def width_of(n_words: Column) -> Column:
     return F.least(n_words, F.lit(WIDTH))
 
 
+def around(windows: DataFrame) -> DataFrame:
+    """Windows at every word between two of a pair's windows at most half an item apart, and a quarter beyond the outermost.
+
+    Words put in or left out shift what follows, so the best window may lie between two alignments or a little beyond them.
+    """
+    in_order = Window.partitionBy(DOC, HASH, "item_id").orderBy("start")
+    half, quarter = F.expr("n_words div 2"), F.expr("n_words div 4")
+    to_next = F.lead("start").over(in_order) - F.col("start")
+    to_last = F.col("start") - F.lag("start").over(in_order)
+    low = F.when(to_last <= half, F.col("start")).otherwise(F.greatest(F.lit(0), F.col("start") - quarter))
+    end = F.greatest(F.col("start"), F.least(F.col("start") + quarter, F.col("size") - F.col("n_words")))
+    high = F.when(to_next <= half, F.col("start") + to_next - 1).otherwise(end)
+    spread = windows.withColumns({"low": low.cast("int"), "high": high.cast("int")})
+    return spread.withColumn("start", F.explode(F.sequence("low", "high"))).drop("low", "high").distinct()
+
+
+def shingle_sets(windows: DataFrame, texts: DataFrame, widths: list[int]) -> DataFrame:
+    """The distinct shingles of every window, as structs of hash and weight.
+
+    Only the places that windows cover are hashed; a document's list of them is no longer than its list of words.
+    """
+    last = F.greatest(F.col("start"), F.least(F.col("start") + F.col("n_words"), F.col("size")) - F.col("width"))
+    spread = windows.withColumn("at", F.explode(F.sequence("start", last.cast("int"))))
+    wanted = spread.select(DOC, HASH, "width", "at").distinct().groupBy(DOC, HASH, "width").agg(F.collect_list("at").alias("ats"))
+    words = F.col("words")
+
+    def shingle(at: Column) -> Column:
+        hashed, weight = F.lit(None).cast("long"), F.lit(None).cast("int")
+        for width in widths:
+            own = [F.get(words, at + k) for k in range(width)]
+            mine = F.col("width") == width
+            hashed = F.when(mine, F.xxhash64(*own)).otherwise(hashed)
+            length = sum((F.coalesce(F.length(word), F.lit(0)) for word in own), F.lit(0))
+            weight = F.when(mine, length).otherwise(weight)
+        return F.struct(at.alias("at"), hashed.alias("h"), weight.alias("w"))
+
+    rows = wanted.alias("x").join(texts.alias("t"), same("x", "t", DOC, HASH)).select(f"x.{DOC}", f"x.{HASH}", "width", "ats", "words")
+    places = rows.select(DOC, HASH, "width", F.explode(F.transform("ats", shingle)).alias("s")).select(DOC, HASH, "width", "s.*")
+    each = spread.alias("w").join(places.alias("p"), same("w", "p", DOC, HASH, "width", "at")).select("w.*", "h", "p.w")
+    key = (DOC, HASH, "item_id", "n_words", "start")
+    return each.groupBy(*key).agg(F.collect_set(F.struct("h", "w")).alias("shingles"))
+
+
+def verified(sets: DataFrame, items: DataFrame, similarity: int) -> DataFrame:
+    """Windows whose print is within ``RADIUS`` bits of their item's and whose shingles are similar enough."""
+    own = items.select("item_id", "print", "weight", F.col("shingles").alias("item_shingles"))
+    hamming = F.bit_count(F.col("print").bitwiseXOR(fingerprint(F.col("shingles"))))
+    united = total(F.col("shingles")) + F.col("weight") - F.col("shared")
+    return (
+        sets.join(own, "item_id")
+        .withColumn("hamming", hamming)
+        .where(F.col("hamming") <= RADIUS)
+        .withColumn("shared", total(F.array_intersect("shingles", "item_shingles")))
+        .withColumn("united", united)
+        .where(100 * F.col("shared") >= similarity * F.col("united"))
+        .select(DOC, HASH, "item_id", "start", "n_words", "hamming", "shared", "united")
+    )
+
+
 def find(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -194,46 +245,16 @@ def find(
     pairs = written(shared.where(100 * F.col("w") >= similarity * F.col("weight")).select(DOC, HASH, "item_id"), "pairs")
     first = aligned.drop("h").distinct().alias("a")
     first = first.join(pairs.alias("b"), same("a", "b", DOC, HASH, "item_id"), "left_semi").select("a.*")
-    # words put in or left out shift what follows: the best window may lie between two alignments or a little beyond them
-    in_order = Window.partitionBy(DOC, HASH, "item_id").orderBy("start")
-    half, quarter = F.expr("n_words div 2"), F.expr("n_words div 4")
-    to_next = F.lead("start").over(in_order) - F.col("start")
-    to_last = F.col("start") - F.lag("start").over(in_order)
-    low = F.when(to_last <= half, F.col("start")).otherwise(F.greatest(F.lit(0), F.col("start") - quarter))
-    end = F.greatest(F.col("start"), F.least(F.col("start") + quarter, F.col("size") - F.col("n_words")))
-    high = F.when(to_next <= half, F.col("start") + to_next - 1).otherwise(end)
-    windows = first.withColumns({"low": low.cast("int"), "high": high.cast("int")})
-    windows = windows.withColumn("start", F.explode(F.sequence("low", "high"))).drop("low", "high").distinct()
-    windows = written(windows, "windows")
+    first = written(first, "windows")
 
-    # the shingles of every window, by the place they stand at
     touched = pairs.select(DOC, HASH).distinct()
     texts = named.alias("d").join(touched.alias("t"), same("d", "t", DOC, HASH), "left_semi").groupBy(DOC, HASH)
     texts = texts.agg(F.first("whole").alias("whole")).select(DOC, HASH, words_of(F.col("whole")).alias("words"))
     texts = written(texts, "touched")
-    weighed = [p.withColumn("width", F.lit(width)) for width, p in shingle_places(texts, widths, weigh=True)]
-    last = F.greatest(F.col("start"), F.least(F.col("start") + F.col("n_words"), F.col("size")) - F.col("width"))
-    spread = windows.withColumn("at", F.explode(F.sequence("start", last)))
-    if weighed:
-        weighed = reduce(DataFrame.union, weighed)
-        spread = spread.alias("w").join(weighed.alias("s"), same("w", "s", DOC, HASH, "width", "at")).select("w.*", "h", "s.w")
-    else:
-        spread = spread.select("*", F.lit(0).cast("long").alias("h"), F.lit(0).alias("w"))
-    key = (DOC, HASH, "item_id", "n_words", "start")
-    sets = spread.groupBy(*key).agg(F.collect_set(F.struct("h", "w")).alias("shingles"))
-
-    own = items.select("item_id", "print", "weight", F.col("shingles").alias("item_shingles"))
-    hamming = F.bit_count(F.col("print").bitwiseXOR(fingerprint(F.col("shingles"))))
-    united = total(F.col("shingles")) + F.col("weight") - F.col("shared")
-    return (
-        sets.join(own, "item_id")
-        .withColumn("hamming", hamming)
-        .where(F.col("hamming") <= RADIUS)
-        .withColumn("shared", total(F.array_intersect("shingles", "item_shingles")))
-        .withColumn("united", united)
-        .where(100 * F.col("shared") >= similarity * F.col("united"))
-        .select(DOC, HASH, "item_id", "start", "n_words", "hamming", "shared", "united")
-    )
+    hits = written(verified(shingle_sets(first, texts, widths), items, similarity), "hits-aligned").alias("h")
+    rest = first.alias("w").join(hits, same("w", "h", DOC, HASH, "item_id"), "left_anti")
+    more = written(around(rest), "windows-around")
+    return hits.select("h.*").unionByName(verified(shingle_sets(more, texts, widths), items, similarity))
 
 
 def best_hits(hits: DataFrame) -> DataFrame:
