@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+import regex
 
 from tests.llm.test_queries import brute_licences
 from tidemark.llm import licenses, pii, toxicity
@@ -34,14 +35,14 @@ def planted_licences():
             yield f"see https://{at}"
 
 
-def test_licences_of_planted_texts_against_all_rules(spark, monkeypatch):
+def test_licences_of_planted_texts_against_all_rules(spark):
     texts = [*planted_licences(), "Released under Apache 2.0", "License: GPL-3.0", "under the table", "mit dem Bus"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.doc_id: tuple(r)[1:] for r in licenses.scan(docs).collect()}
-    monkeypatch.setattr(licenses, "GATE", "")
     assert {texts[i]: x for i, x in found.items()} == {t: brute_licences(t) for t in texts}
-    seen = {r.pattern for r in licenses.RULES if any(re.search(r.pattern, t.lower()) for t in texts)}
-    assert seen == {r.pattern for r in licenses.RULES}
+    formed = {r.pattern for r in licenses.RULES if r.opening}
+    lower = [re.sub(r"\s+", " ", t.lower()) for t in texts]
+    assert formed == {pattern for pattern in formed if any(regex.search(pattern, t) for t in lower)}
     assert all(found[i][5] for i in range(len(texts) - 2))
 
 
