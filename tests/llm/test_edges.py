@@ -254,3 +254,19 @@ def test_planted_copies_and_items_go_and_clean_documents_stay(spark, folder):
     kept = {r.doc_id for r in corpus_pipeline.drop_contaminated(spark, docs, sf_dir).select("doc_id").collect()}
     assert kept == set(range(20))
     assert docs.where(F.col("doc_id") == 50).count() == 1
+
+
+def test_chat_of_huge_and_many_turns(spark):
+    """A turn of 30 MB beside small ones: slices are cut between turns and segments read back the same."""
+    import hashlib
+
+    rows = [(1, i, ["user", "assistant"][i % 2], f"### t{i} \\ </turn>" * (1 + i % 3)) for i in range(300)]
+    rows += [(2, 0, "user", "x"), (2, 1, "assistant", "ab# \\" * 6_000_000), (2, 2, "user", None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {r.conv_id: r for r in chat.read_back(written(chat.format_chats(turns), "chats")).collect()}
+    for conv in (1, 2):
+        own = [(r[2], r[3] or "") for r in rows if r[0] == conv]
+        every = "".join(f"{role}\n{text}\n" for role, text in own)
+        loss = "".join(text for role, text in own if role == "assistant")
+        assert found[conv].turns_sha256 == hashlib.sha256(every.encode()).hexdigest()
+        assert (found[conv].loss_chars, found[conv].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())

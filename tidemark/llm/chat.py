@@ -29,6 +29,8 @@ HEAD, COLON, END = "### ", ": ", "</turn>\n"
 ESCAPES = [("\\", "\\b"), ("###", "\\h"), ("</turn>", "\\e")]
 ROLE_ESCAPES = [*ESCAPES, (":", "\\c")]
 TRAINED = "assistant"
+SLICE = 1 << 22  # bytes of text assembled at once, one turn at least
+LONG = 1 << 12  # bytes of a segment that is copied by itself
 
 FORMATTED = "conv_id long, segment long, formatted string, loss_starts array<int>, loss_ends array<int>"
 DIGEST = (
@@ -58,7 +60,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def scatter(out: np.ndarray, at: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
-    """Copy segment i of ``data`` to ``out[at[i]:]``, all segments at once."""
+    """Copy segment i of ``data`` to ``out[at[i]:]``: long ones each by itself, all others at once."""
+    for i in np.flatnonzero(lengths > LONG):
+        out[at[i] : at[i] + lengths[i]] = data[starts[i] : starts[i] + lengths[i]]
+    short = lengths <= LONG
+    at, starts, lengths = at[short], starts[short], lengths[short]
     total = int(lengths.sum())
     if total:
         step = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -96,6 +102,18 @@ def assemble(roles: pa.Array, texts: pa.Array, firsts: np.ndarray):
     return formatted, starts, starts + text_chars
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches with about ``SLICE`` bytes of text."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            done = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + SLICE, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def segments_of(batch: pa.RecordBatch, last: tuple | None, turns_done: int, segment_turns: int):
     """Where segments begin in a sorted batch, and conversation and segment number of each."""
     ids = batch.column("conv_id").to_pylist()
@@ -122,9 +140,7 @@ def format_chats(turns: DataFrame, trained: str = TRAINED, segment_turns: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, done = None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             firsts, keys, last, done = segments_of(batch, last, done, segment_turns)
             formatted, starts, ends = assemble(batch.column("role"), batch.column("text"), firsts)
             masked = pc.fill_null(pc.equal(batch.column("role"), trained), False).to_numpy(zero_copy_only=False)

@@ -9,7 +9,8 @@ replaced, by others of that sort, because the way they are written gives them aw
 Kinds: payment cards (Luhn; the check digit is made anew), IBAN (modulo 97; check digits made anew), North American
 phone numbers, social security numbers, IPv4 addresses, dates (three ways of writing; days of 1900-2099), e-mail
 addresses (the part before the @, letter for letter, digit for digit; the domain stays), hexadecimal tokens, access keys
-and passwords after their keyword.
+and values assigned to a password, secret, token or API key (up to the next blank or quote, in pieces of 64 letters and
+digits). A ten-digit number without separators counts as no phone number.
 
 Numbers are matched as values, not as spelling: separators stay where they are, and a card gets the same pseudonym with
 or without spaces. Digits or capitals that follow or precede a card or an IBAN may look like a part of it: what is not
@@ -27,6 +28,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -163,9 +165,10 @@ class Pseudonyms:
 
     def date(self, text: str, back: bool = False) -> str | None:
         parts, month_first = re.split(r"[-/.]", text), False
+        short = len(parts[0]) == 4 and len(text) < 10  # single digits for the first months and days
         try:
             if len(parts[0]) == 4:
-                day, write = datetime.date(*map(int, parts)), "{0:04d}{3}{1:02d}{3}{2:02d}"
+                day, write = datetime.date(*map(int, parts)), "{0:d}{3}{1:d}{3}{2:d}" if short else "{0:04d}{3}{1:02d}{3}{2:02d}"
             else:
                 a, b, year = map(int, parts)
                 month_first = b > 12
@@ -178,6 +181,12 @@ class Pseudonyms:
         if not FIRST_DAY <= day.toordinal() <= LAST_DAY:
             return None
         valid = (lambda x: datetime.date.fromordinal(FIRST_DAY + x).day > 12) if month_first else any_number
+        if short:
+            # as many digits as before, so that the text tells how it was written
+            digits = lambda d: (d.month < 10, d.day < 10)
+            if len(parts[1]) != 1 + (day.month > 9) or len(parts[2]) != 1 + (day.day > 9):
+                return None
+            valid = lambda x: digits(datetime.date.fromordinal(FIRST_DAY + x)) == digits(day)
         x = self._permuted("date", day.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, valid, back)
         new = datetime.date.fromordinal(FIRST_DAY + x)
         return write.format(new.year, new.month, new.day, re.search(r"[-/.]", text)[0])
@@ -217,26 +226,32 @@ class Pseudonyms:
         return text[:4] + self._characters("access_key", text[4:], back)
 
     def secret(self, text: str, back: bool = False) -> str | None:
-        return self._characters("secret", text, back)
+        """Letters and digits of the whole value; what else stands in it stays."""
+        plain = "".join(c for c in text if c.isascii() and c.isalnum())
+        if not plain:
+            return None
+        rest = iter("".join(self._characters("secret", plain[i : i + 64], back) for i in range(0, len(plain), 64)))
+        return "".join(next(rest) if c.isascii() and c.isalnum() else c for c in text)
 
 
 # Kinds in order of preference, with what may be one (validated afterwards).
 KINDS = [
-    ("email", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"),
+    ("email", r"[\w.%+\-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,61}[A-Za-z0-9])?(?:\.[A-Za-z0-9\-]{1,63}){0,8}\.[A-Za-z]{2,63}"),
     ("token", r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,128}(?![0-9A-Za-z])"),
     ("access_key", r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"),
-    ("secret", r"(?:(?<=password=)|(?<=password: ))[0-9A-Za-z]{6,64}(?![0-9A-Za-z])"),
+    ("secret", r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)["']?[ \t]{0,4}[:=][ \t]{0,4}["']?([^\s"']{6,})"""),
     ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![0-9A-Za-z])"),
     ("card", r"(?<![0-9A-Za-z.])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z])(?:\+?1[ .\-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9A-Za-z])"),
     ("ssn", r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])"),
     ("ipv4", r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"),
-    ("date", r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?![0-9A-Za-z])"),
+    ("date", r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?:(?=T[0-9]{2})|(?![0-9A-Za-z]))"),
 ]
 PATTERNS = [(kind, re.compile(pattern)) for kind, pattern in KINDS]
 # What a text must hold for a value of the kind to be in it.
 HAS_DIGITS = re.compile(r"[0-9]{3}|[0-9][.\-/ ()]+[0-9]")
-HELD = {"email": "@", "access_key": "AKIA", "secret": "password"}
+HELD = {"email": ("@",), "access_key": ("AKIA",)}
+ASSIGNED = ("passw", "pwd", "secret", "token", "api")  # in lower case
 NUMERIC = {"card", "phone", "ssn", "ipv4", "date"}
 # How cards are written; parts of a longer run of digits count only if they are written so, or any list would hold some.
 CARD = re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1(?:[0-9]|[0-9]{4}(?:\1[0-9]{3})?)|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")
@@ -276,33 +291,60 @@ def in_parts(
                 break
 
 
+def emails(pattern: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
+    """Spans of addresses, looked for around each @: a long run of letters is not tried from every letter."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        low = at
+        while low > max(done, at - 64) and (text[low - 1].isalnum() or text[low - 1] in "._%+-"):
+            low -= 1
+        match = pattern.match(text, low) if low < at else None
+        if match and match.end() > at:
+            yield match.span()
+            done = match.end()
+        at = text.find("@", max(at + 1, done))
+
+
+def spans_of(kind: str, pattern: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
+    if kind == "email":
+        yield from emails(pattern, text)
+    else:
+        for match in pattern.finditer(text):
+            yield match.span(1 if kind == "secret" else 0)
+
+
 def find(text: str, pseudonyms: Pseudonyms) -> list[tuple[int, int, str, str]]:
     """start, end, kind and pseudonym of the values found, in order, without overlaps."""
-    found: list[tuple[int, int, str, str]] = []
+    found: list[tuple[int, int, str, str]] = []  # in order
     numeric = HAS_DIGITS.search(text) is not None
+    low = text.lower()
 
     def free(start: int, end: int) -> bool:
-        return not any(start < t and s < end for s, t, _, _ in found)
+        place = bisect_left(found, (end,))
+        return place == 0 or found[place - 1][1] <= start
 
     for kind, pattern in PATTERNS:
-        if (kind in HELD and HELD[kind] not in text) or (kind in NUMERIC and not numeric):
+        if kind in NUMERIC and not numeric or kind in HELD and not any(part in text for part in HELD[kind]):
+            continue
+        if kind == "secret" and not any(part in low for part in ASSIGNED):
             continue
         if kind in ("iban", "card"):
-            found += list(in_parts(kind, pattern, text, free, pseudonyms))
+            found = sorted([*found, *in_parts(kind, pattern, text, free, pseudonyms)])
         make = _cached(pseudonyms, kind)
         new = []
-        for match in pattern.finditer(text):
-            start, end = match.span()
-            value = make(match[0]) if free(start, end) else None
+        for start, end in spans_of(kind, pattern, text):
+            value = make(text[start:end]) if free(start, end) else None
             if value is not None and not (kind == "card" and cuts_a_value(text, start, end, pseudonyms)):
                 new.append((start, end, kind, value))
-        found += new
-    return sorted(found)
+        found = sorted([*found, *new])
+    return found
 
 
 @lru_cache(maxsize=64)
 def _cached(pseudonyms: Pseudonyms, kind: str) -> Callable[[str], str | None]:
-    return lru_cache(maxsize=1 << 14)(getattr(pseudonyms, kind))
+    make = getattr(pseudonyms, kind)
+    known = lru_cache(maxsize=1 << 14)(make)
+    return lambda text: known(text) if len(text) <= 128 else make(text)
 
 
 def replace(text: str | None, pseudonyms: Pseudonyms) -> tuple[str | None, list[dict]]:
