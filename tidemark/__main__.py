@@ -109,7 +109,8 @@ def main() -> None:
     parser.add_argument("job", choices=JOBS)
     job = parser.parse_args().job
     spark = use_utc(SparkSession.builder.appName(f"tidemark-{job}").getOrCreate())
-    start(spark, job).awaitTermination()
+    start(spark, job)
+    jobs.supervise(spark)
 
 
 if __name__ == "__main__":

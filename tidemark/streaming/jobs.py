@@ -114,6 +114,19 @@ class Intake:
         return unpack(topics.decode_topic(raw, schema, self.schema_ids, on_foreign="leave"))
 
 
+def supervise(spark: SparkSession, timeout: int | None = None) -> None:
+    """Wait until any query of the session stops, then stop the others.
+
+    A job that keeps foreign messages aside runs two queries over one topic: neither may go on without the other, or
+    messages would be lost. An error of the query that stopped is raised.
+    """
+    try:
+        spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
+    finally:
+        for query in spark.streams.active:
+            query.stop()
+
+
 def run_alerts(
     spark: SparkSession, params: AlertParams, checkpoint: str, schema_id: int, intake: Intake
 ) -> StreamingQuery:

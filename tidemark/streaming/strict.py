@@ -6,7 +6,8 @@ kept per batch id, so a repeated batch starts from the same state:
 
 * ``expiry``  - when the windows of the batch expired, and with it the time its partitions reached;
 * ``windows`` - running totals: those the batch changed (``changed=1``, kept as the update
-  changelog) and those it left alone but which are still open (``changed=0``, dropped later).
+  changelog) and those it left alone but which are still open in some partition (``changed=0``, dropped later). They hold
+  whatever any partition has of an open window, so publishing does not look at closed ones.
 """
 
 from __future__ import annotations
@@ -77,11 +78,27 @@ class StrictSummary:
     def _before(self, spark: SparkSession, part: str, batch_id: int, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema) if batch_id == 0 else self._at(spark, part, batch_id - 1, schema)
 
-    def _open(self, spark: SparkSession, batch_id: int, time_before: DataFrame) -> DataFrame:
-        """Totals of the windows the previous batch left open."""
-        ended = scalars.window_index("seen_until", self.window_minutes) > F.col(lateness.WINDOW_NO)
-        windows = self._before(spark, "windows", batch_id, WINDOWS)
-        return windows.join(time_before, "partition").where(~ended).select(*TOTALS.names)
+    def _horizon(self, time_before: DataFrame) -> int | None:
+        """The earliest window that is open in some partition seen so far; None before any record."""
+        seen = F.min(scalars.window_index("seen_until", self.window_minutes))
+        return time_before.agg(seen).first()[0]
+
+    def _open(self, spark: SparkSession, batch_id: int, horizon: int | None) -> DataFrame:
+        """Totals of the windows the previous batch left open in some partition."""
+        windows = self._before(spark, "windows", batch_id, WINDOWS).select(*TOTALS.names)
+        return windows if horizon is None else windows.where(F.col(lateness.WINDOW_NO) >= horizon)
+
+    def _changed(self, spark: SparkSession, batch_id: int, horizon: int | None) -> DataFrame:
+        """The summary records of the windows a batch changed, over all partitions.
+
+        Only a partition that was never seen before can change a window behind the horizon; then, and only then, totals come
+        from the whole changelog.
+        """
+        windows = self._at(spark, "windows", batch_id, WINDOWS)
+        changed = windows.where("changed = 1").select("category", lateness.WINDOW_NO).distinct()
+        behind = F.lit(False) if horizon is None else F.col(lateness.WINDOW_NO) < horizon
+        totals_now = windows if changed.where(behind).isEmpty() else self._latest(spark)
+        return self._summed(totals_now.select(*TOTALS.names).join(changed, ["category", lateness.WINDOW_NO]))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -103,7 +120,8 @@ class StrictSummary:
                 .groupBy("partition", F.col(self.key).alias("category"), lateness.WINDOW_NO)
                 .agg(*totals())
             )
-            before = self._open(spark, batch_id, time_before)
+            horizon = self._horizon(time_before)
+            before = self._open(spark, batch_id, horizon)
             windows = (
                 added.withColumn("changed", F.lit(1))
                 .unionByName(before.withColumn("changed", F.lit(0)))
@@ -116,9 +134,7 @@ class StrictSummary:
             if self.report:
                 self.report(batch_id, counts.get["kept"], counts.get["late"])
             if self.publish:
-                changed = self._at(spark, "windows", batch_id, WINDOWS).where("changed = 1")
-                shared = ["category", lateness.WINDOW_NO]
-                self.publish(self._summed(self._latest(spark).join(changed.select(*shared).distinct(), shared)))
+                self.publish(self._changed(spark, batch_id, horizon))
         finally:
             records.unpersist()
         if batch_id and batch_id % self.compact_every == 0:
