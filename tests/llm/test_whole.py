@@ -40,7 +40,7 @@ def test_licences_of_planted_texts_against_all_rules(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.doc_id: tuple(r)[1:] for r in licenses.scan(docs).collect()}
     assert {texts[i]: x for i, x in found.items()} == {t: brute_licences(t) for t in texts}
-    formed = {r.pattern for r in licenses.RULES if r.opening}
+    formed = {r.pattern for r in licenses.RULES if r.opening and r not in licenses.SPELLED}
     lower = [re.sub(r"\s+", " ", t.lower()) for t in texts]
     assert formed == {pattern for pattern in formed if any(regex.search(pattern, t) for t in lower)}
     assert all(found[i][5] for i in range(len(texts) - 2))

@@ -165,7 +165,7 @@ SIGNATURES = [
     ("cc0-1", 0, 0.95, "to the extent possible", r"to the extent possible under law, .{1,120}? has waived all copyright and related or neighboring rights"),
     ("public-domain", 0, 0.9, "public domain", r"(?:released|dedicated|placed|put|contributed) (?:in|in)?to the public domain"),
     ("artistic-2", 0, 0.95, "everyone is permitted", r"the artistic license 2\.0 copyright \(c\) 2000-2006, the perl foundation"),
-    ("beerware", 0, 1.0, "beer", r"you can buy me a beer in return"),
+    ("beerware", 0, 1.0, "in return", r"you can buy me a beer in return"),
     ("json", 0, 1.0, "good, not evil", r"the software shall be used for good, not evil"),
     ("openssl", 0, 0.95, "openssl project", r"this product includes software developed by the openssl project for use in the openssl toolkit"),
     ("curl", 0, 0.9, "and distribute this", r"permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies\. the software is provided .as is., without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement of third party rights"),
@@ -201,11 +201,11 @@ SIGNATURES = [
     ("gpl-2", 3, 0.6, "gpl", r"licen[cs]e ?[:=] ?[\"']?gpl(?:v| |-v|-)2(?:\.0)?(?:\+|-only|-or-later)?(?![\w.])"),
     # apache and mit without the usual words
     ("apache-2", 2, 0.7, "apache", r"\bapache(?:[- ]licen[cs]e)?[- ](?:v(?:ersion )?)?2(?:\.0)?(?![\w]|\.\d)(?: licen[cs]e)?"),
-    ("apache-2", 2, 0.8, "asl", r"\basl[- ]?2(?:\.0)?(?![\w]|\.\d)"),
+    ("apache-2", 2, 0.8, "2.0", r"\basl[- ]?2\.0(?!\w|\.\d)"),
     ("apache-2", 2, 0.8, "apache", r"\bapache software licen[cs]e,? (?:version |v\.? ?)?2(?:\.0)?(?![\w]|\.\d)"),
     ("apache-1.1", 2, 0.8, "apache", r"\bapache(?: software)? licen[cs]e,? (?:version |v\.? ?)?1\.1"),
-    ("mit", 2, 0.8, "mit", r"\b(?:mit|expat)[- ](?:style )?licen[cs]ed?(?!\w)"),
-    ("mit", 2, 0.8, "mit", r"\bmit/x11(?: licen[cs]e)?(?!\w)"),
+    ("mit", 2, 0.8, "licen", r"\b(?:mit|expat)[- ](?:style )?licen[cs]ed?(?!\w)"),
+    ("mit", 2, 0.8, "mit/x11", r"\bmit/x11(?: licen[cs]e)?(?!\w)"),
     ("mit", 2, 0.7, "x11", r"\bx11 licen[cs]e(?!\w)"),
     ("mit", 3, 0.6, "opensource", r"opensource\.org/licenses?/mit"),
     ("mit", 1, 0.9, "mit", r"(?:licensed|released|distributed|available|published) under mit(?!\w| no)"),
@@ -224,15 +224,16 @@ SIGNATURES = [
     ("cc0-1", 1, 0.9, "cc0", r"\bcc0(?:[- ]1\.0)?(?: universal)?(?: public domain dedication)?(?![\w-])"),
     ("cc0-1", 1, 0.9, "creative commons", r"creative commons (?:cc)?zero"),
     # the rest by their short names
-    ("mpl-2", 2, 0.8, "mpl", r"\bmpl[ -]?(?:v\.? ?|version )?2(?:\.0)?(?![\w]|\.\d)"),
-    ("mpl-1.1", 2, 0.8, "mpl", r"\bmpl[ -]?(?:v\.? ?|version )?1\.1(?!\w)"),
+    ("mpl-2", 2, 0.8, "2.0", r"\bmpl[ -]?(?:v\.? ?|version )?2\.0(?!\w|\.\d)"),
+    ("mpl-2", 2, 0.8, "mplv2", r"\bmplv2(?!\w|\.\d)"),
+    ("mpl-1.1", 2, 0.8, "1.1", r"\bmpl[ -]?(?:v\.? ?|version )?1\.1(?!\w)"),
     ("mpl-2", 2, 0.8, "mozilla public", r"\bmozilla public licen[cs]e,? (?:version |v\.? ?)?2(?:\.0)?(?![\w]|\.\d)"),
     ("epl-2", 2, 0.8, "epl", r"\bepl[ -]?(?:v\.? ?|version )?2(?:\.0)?(?![\w]|\.\d)"),
     ("epl-1", 2, 0.8, "epl", r"\bepl[ -]?(?:v\.? ?|version )?1(?:\.0)?(?![\w]|\.\d)"),
     ("epl-2", 2, 0.8, "eclipse public", r"\beclipse public licen[cs]e(?: -)? (?:version |v\.? ?)2(?:\.0)?(?![\w]|\.\d)"),
     ("cddl-1", 2, 0.8, "cddl", r"\bcddl(?:[- ](?:v\.? ?|version )?1\.[01])?(?!\w)"),
     ("eupl-1.2", 2, 0.8, "eupl", r"\beupl[ -]?(?:v\.? ?|version )?1\.2(?!\w)"),
-    ("ofl-1.1", 2, 0.8, "ofl", r"\b(?:sil )?ofl[ -]?(?:v\.? ?|version )?1\.1(?!\w)"),
+    ("ofl-1.1", 2, 0.8, "1.1", r"\b(?:sil )?ofl[ -]?(?:v\.? ?|version )?1\.1(?!\w)"),
     ("ofl-1.1", 2, 0.7, "open font", r"\bsil open font licen[cs]e(?!\w)"),
     ("isc", 2, 0.8, "isc", r"\bisc licen[cs]ed?(?!\w)"),
     ("isc", 1, 0.9, "isc", r"(?:licensed|released|distributed|available) under (?:the )?isc(?!\w)"),
@@ -242,7 +243,7 @@ SIGNATURES = [
     ("psf-2", 2, 0.7, "python software", r"\b(?:psf|python software foundation) licen[cs]e(?!\w)"),
     ("artistic-2", 2, 0.8, "artistic", r"\bartistic licen[cs]e,? (?:version )?2(?:\.0)?(?![\w]|\.\d)"),
     ("wtfpl", 2, 0.8, "wtfpl", r"\bwtfpl(?:[- ](?:v\.? ?|version )?2)?(?!\w)"),
-    ("beerware", 2, 0.8, "beer", r"\bbeer-?ware licen[cs]e(?!\w)"),
+    ("beerware", 2, 0.8, "ware licen", r"\bbeer-?ware licen[cs]e(?!\w)"),
     ("odbl-1", 2, 0.8, "odbl", r"\bodbl(?:[- ](?:v\.? ?|version )?1\.0)?(?!\w)"),
     ("ms-pl", 2, 0.8, "microsoft public", r"\bmicrosoft public licen[cs]e(?: \(ms-pl\))?(?!\w)"),
     ("elastic-2", 2, 0.8, "elastic license", r"\belastic license(?: (?:version |v)?2(?:\.0)?)(?![\w]|\.\d)"),
@@ -253,11 +254,16 @@ SIGNATURES = [
     ("llama", 2, 0.8, "community license", r"\bllama (?:[23](?:\.\d)? )?community license(?: agreement)?(?!\w)"),
     ("proprietary", 2, 0.7, "all rights reserved", r"\bproprietary and confidential\.? (?:\S+ ){0,6}?all rights reserved"),
 ]
-SPELLED = [Rule(pattern, "", (keyword,), label, priority, score) for label, priority, score, keyword, pattern in SIGNATURES]
+# rules that begin with a grant share the opening of the grants above
+GRANTING = ("(?:licensed|released|distributed|available|published) under", "(?:licensed|released|distributed|available) under")
+SPELLED = [
+    Rule(pattern, GRANTED if pattern.startswith(GRANTING) else "", (keyword,), label, priority, score)
+    for label, priority, score, keyword, pattern in SIGNATURES
+]
 RULES = [*SPELLED, *(rule for row in LICENCES for rule in rules_of(*row))]
 LEVELS = 1 + max(rule.priority for rule in RULES)
 GATE = "(?i)" + "|".join(dict.fromkeys(rule.opening for rule in RULES if rule.opening))
-HELD = tuple(dict.fromkeys(max(rule.keywords[0].split(), key=len) for rule in SPELLED))  # words, as lines may break between them
+HELD = tuple(dict.fromkeys(max(rule.keywords[0].split(), key=len) for rule in SPELLED if not rule.opening))  # words, as lines may break between them
 CHUNK = 128
 
 
