@@ -81,3 +81,46 @@ def repair_report(rows):
     for conv, turn, role, text in damaged(rows):
         after.setdefault(conv, []).append((turn, role, text))
     return {conv: repaired(after.get(conv, [])) for conv in {row[0] for row in rows}}
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def ranked(docs, items, top):
+    """(item_id, rank, doc_id, score) rows of (doc_id, text) and (item_id, text) rows."""
+    counted = [(doc, Counter(terms(text))) for doc, text in docs]
+    counted = [(doc, c) for doc, c in counted if c]
+    n_docs, n_terms = len(counted), sum(sum(c.values()) for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    wanted = {}
+    for item, text in items:
+        if item is not None:
+            wanted.setdefault(item, set()).update(terms(text))
+    out = []
+    for item, own in wanted.items():
+        weights = {t: math.floor(1000 * math.log((2.0 * n_docs + 2) / (2 * df[t] + 1))) for t in own if df[t]}
+        scores = []
+        for doc, c in counted:
+            m = 100 - 50 + 50 * sum(c.values()) * n_docs // n_terms
+            score = sum(w * (1_000_000_000 * c[t] // (1000 * c[t] + 20 * m)) for t, w in weights.items() if c[t])
+            if score > 0 and doc is not None:
+                scores.append((-score, doc))
+        out += [(item, rank, doc, -score) for rank, (score, doc) in enumerate(sorted(scores)[:top], 1)]
+    return sorted(out)
+
+
+ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def secrets(text):
+    """Spans of the base kinds in order: (start, kind's place, end)."""
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found)
