@@ -31,7 +31,7 @@ from tidemark.llm.store import written
 
 MEMBER = "tidemark_member"
 MEMBER_TYPE = "n_tokens long, posterior array<double>"
-OUT = ("n_tokens", "posterior", "rate", "copies")
+OUT = ("n_tokens", "posterior", "rate", "copies", "target_error")
 DOMAINS = ("plain", "junk", "toxic")
 
 
@@ -46,8 +46,9 @@ class Settings:
 
 
 def domain() -> Column:
-    """The domain a labelled row belongs to."""
-    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "junk").otherwise("plain")
+    """The domain a labelled row belongs to; null, and not trained on, if it has neither label."""
+    known = F.coalesce("toxic", "quality").isNotNull()
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "junk").when(known, "plain")
 
 
 def hashed(column: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,6 +81,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings) -> Classifier:
     chosen = (
         labels.where("doc_id IS NOT NULL")
         .select("doc_id", domain().alias("domain"))
+        .where("domain IS NOT NULL")
         .distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "domain")
         .limit(s.train_rows)
@@ -147,16 +149,19 @@ def rate_of(posterior: Column, steps: list[np.ndarray]) -> Column:
     return F.aggregate(vectors, F.lit(1.0), lambda rate, v: F.greatest(F.lit(0.0), rate - dot(v)))
 
 
-def fit(members: DataFrame, domains: tuple[str, ...], s: Settings) -> list[np.ndarray]:
-    """The step vectors; ``members`` has n_tokens and posterior."""
+def fit(members: DataFrame, domains: tuple[str, ...], s: Settings) -> tuple[list[np.ndarray], float]:
+    """The step vectors, and the largest difference left between a domain's share of tokens and its target.
+
+    ``members`` has n_tokens and posterior. Targets that no nonnegative rates meet leave a difference above ``tolerance``.
+    """
     k = len(domains)
     p = [F.get("posterior", F.lit(i)) for i in range(k)]
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     weights = np.array([s.targets.get(d, 0.0) for d in domains])
     target = weights / weights.sum()
     steps: list[np.ndarray] = []
-    best = np.inf
-    for _ in range(s.steps if k > 1 else 0):
+    best, error = np.inf, 0.0
+    for number in range(s.steps + 1 if k > 1 else 0):
         rated = members.select("n_tokens", "posterior", rate_of(F.col("posterior"), steps).alias("rate"))
         free = F.when(F.col("rate") > 0, F.col("n_tokens")).otherwise(0)
         sums = rated.agg(
@@ -168,7 +173,7 @@ def fit(members: DataFrame, domains: tuple[str, ...], s: Settings) -> list[np.nd
             break
         residual = np.array([sums[f"s{i}"] for i in range(k)]) / sums.total - target
         error = np.abs(residual).max()
-        if error <= s.tolerance:
+        if error <= s.tolerance or number == s.steps:
             break
         if error >= best:  # too long a step: documents left or entered zero on the way
             steps[-1] = steps[-1] / 2
@@ -180,21 +185,24 @@ def fit(members: DataFrame, domains: tuple[str, ...], s: Settings) -> list[np.nd
         steps.append(np.linalg.solve(metric + 1e-9 * np.eye(k), residual))
         if np.abs(steps[-1]).max() < 1e-12:
             break
-    return steps
+    return steps, float(error)
 
 
 def mix(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), *keep: str) -> DataFrame:
-    """The ``keep`` columns (all but ``OUT`` ones if none are named), n_tokens, posterior, rate and copies.
+    """The ``keep`` columns (all but ``OUT`` ones if none are named), n_tokens, posterior, rate, copies and target_error.
 
-    ``copies`` is the rate rounded so that its expectation is the rate, by a hash of id and text.
+    ``copies`` is the rate rounded so that its expectation is the rate, by a hash of id and text. ``target_error`` is the
+    same in all rows: how far the worst domain's share of tokens is from its target. Input columns named like a result are
+    replaced by it.
     """
     keep = keep or tuple(name for name in docs.columns if name not in OUT)
     classifier = train(docs, labels, settings)
     members = written(with_membership(docs, classifier, "doc_id").select(f"{MEMBER}.*"), "members")
-    steps = fit(members, classifier.domains, settings)
+    steps, error = fit(members, classifier.domains, settings)
     mixed = with_membership(docs, classifier, *keep)
     rate = rate_of(F.col(f"{MEMBER}.posterior"), steps)
     mixed = mixed.select(*[F.col(name) for name in keep], f"{MEMBER}.*", rate.alias("rate"))
     seed = [F.col(name) for name in ("doc_id", "text") if name in keep]
     chance = F.pmod(F.xxhash64(F.lit("mix"), *seed), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return mixed.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+    copies = (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long")
+    return mixed.withColumn("copies", copies).withColumn("target_error", F.lit(error))
