@@ -133,7 +133,7 @@ def test_toxicity_on_held_out_rows(spark):
     other = {i for i, y in labels.items() if y == 1} - english
     ordinary = {i for i, y in labels.items() if y == 0}
     share = {name: sum(found[i].predicted for i in some) / len(some) for name, some in (("en", english), ("other", other), ("ordinary", ordinary))}
-    assert share["en"] >= 0.8 and share["other"] >= 0.8 and share["ordinary"] <= 0.02, share
+    assert share["en"] >= 0.9 and share["other"] >= 0.85 and share["ordinary"] <= 0.02, share
     scores = sorted(found[i].score for i in ordinary)
     limit = scores[int(0.9 * len(scores))]
-    assert sum(found[i].score > limit for i in english | other) >= 0.85 * len(english | other)
+    assert sum(found[i].score > limit for i in english | other) >= 0.92 * len(english | other)

@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are made from labelled text: one of toxic windows, one of ordinary windows. A window is one word
-between blanks, behind a pad that both dictionaries hold, so that even a short word is compressed and not merely stored. A
+between blanks, between pads that both dictionaries hold, so that even a short word is compressed and not merely stored. A
 window that the toxic dictionary makes shorter than the ordinary one does gains that many bytes. The gains of all windows of
 the whole text, counted by size, are calibrated into a score by a logistic curve, which is fitted on gains under dictionaries
 of other labelled rows.
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 SCORES = "doc_id long, score double"
 WORD = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 PAD = bytes(range(1, 32))  # no word holds these bytes
+TAIL = PAD[:12]  # zstandard looks for no match that begins in the last 8 bytes
 PIECE = 64  # characters
 PARTS = range(5, 9)  # characters
 KNOWN = 1 << 17  # windows whose gain a task remembers
@@ -97,7 +98,7 @@ class Gains:
     def of(self, window: str) -> int:
         gain = self.known.get(window)
         if gain is None:
-            data = PAD + window.encode()
+            data = PAD + window.encode() + TAIL
             gain = len(self.ordinary(data)) - len(self.toxic(data))
             if len(self.known) >= KNOWN:
                 self.known.clear()
