@@ -129,6 +129,85 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
 ) WHERE rank <= 50
 """
 
+
+def _least(*ways: str) -> str:
+    return f"list_sort(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL))[1]"
+
+
+def _way(state: str, cost: str, edit: str, line: str, when: str = "true") -> str:
+    more = f" || chr(10) || {line}" if line else ""
+    return (
+        f"CASE WHEN {state} IS NOT NULL AND {when} THEN "
+        f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 't': {state}.t{more}}} END"
+    )
+
+
+def _insert(state: str, role: str) -> str:
+    return _way(state, "5", "I", f"'{role}:'")
+
+
+def _keep(state: str, initial: str) -> str:
+    return _way(state, "more", "K", "role || ':' || text", f"NOT gone AND initial = '{initial}'")
+
+
+def _rerole(state: str, role: str) -> str:
+    return _way(state, "1 + more", "R", f"'{role}:' || text", "NOT gone")
+
+
+def _inserted(edits: str) -> str:
+    """States s0 (nothing yet), s1 (after s), s2 (after u), s3 (after a) with the inserts that may follow."""
+    u = f"SELECT *, {_least('e2', _insert('e0', 'user'), _insert('e1', 'user'))} AS u FROM ({edits})"
+    a = f"SELECT *, {_least('e3', _insert('u', 'assistant'))} AS a FROM ({u})"
+    return f"SELECT conv_id, pos, e0 AS s0, e1 AS s1, {_least('u', _insert('a', 'user'))} AS s2, a AS s3 FROM ({a})"
+
+
+_NOTHING = "{'c': 0::BIGINT, 'a': '', 't': ''}"
+_FIRST = f"SELECT conv_id, 0::BIGINT AS pos, {_NOTHING} AS e0, if(false, {_NOTHING}, NULL) AS e1, if(false, {_NOTHING}, NULL) AS e2, if(false, {_NOTHING}, NULL) AS e3 FROM ids"
+_NEXT = f"""SELECT f.conv_id, f.pos, {_way('s0', '2', 'D', '')} AS e0,
+    {_least(_way('s1', '2', 'D', ''), _keep('s0', 's'))} AS e1,
+    {_least(_way('s2', '2', 'D', ''), *[x for s in ('s0', 's1', 's3') for x in (_keep(s, 'u'), _rerole(s, 'user'))])} AS e2,
+    {_least(_way('s3', '2', 'D', ''), _keep('s2', 'a'), _rerole('s2', 'assistant'))} AS e3
+  FROM step JOIN f ON f.conv_id IS NOT DISTINCT FROM step.conv_id AND f.pos = step.pos + 1"""
+
+OP12 = rf"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), crc AS (
+  SELECT *, xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(string_split(key, ''), lambda x: ord(x)::UBIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)::UBIGINT[]),
+      lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END))) % 20 AS damage FROM src
+), r AS (
+  SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM crc, range(2) c(copy) WHERE damage <> 0 AND (copy = 0 OR damage = 3)
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos,
+    substr(role, 1, 1) AS initial, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM r
+), d AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again FROM o),
+f AS (
+  SELECT *, bare = '' OR again AS gone, bare <> '' AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS cut_off,
+    CASE WHEN right(bare, 1) IN ('.', '!', '?') THEN 0 ELSE 5 END AS more,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair FROM d
+), ids AS (SELECT DISTINCT conv_id FROM conversations),
+step AS ({_inserted(_FIRST)} UNION ALL {_inserted(_NEXT)}),
+ends AS (
+  SELECT conv_id, {_least('s0', 's3')} AS best FROM step
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY pos DESC) = 1
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (bare = '') AS blank, count(*) FILTER (bare <> '' AND again) AS duplicate,
+    count(*) FILTER (cut_off) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, best.c::BIGINT AS cost, best.a AS audit,
+  sha256(substr(best.t, 2)) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 OP13 = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 k AS (SELECT * FROM (VALUES
@@ -170,5 +249,6 @@ ORACLES: dict[str, str] = {
     "op7_line_dedup": OP7,
     "op8_quality": OP8,
     "op11_search": OP11,
+    "op12_repair": OP12,
     "op13_secrets": OP13,
 }
