@@ -70,6 +70,7 @@ def test_closed_windows_leave_the_state(spark, folder):
 
 
 def test_when_one_query_fails_the_other_stops(spark, folder):
+    spark.streams.resetTerminated()  # queries of other tests
     rates = [spark.readStream.format("rate").load() for _ in range(2)]
 
     def fail(batch, number):

@@ -118,7 +118,8 @@ def supervise(spark: SparkSession, timeout: int | None = None) -> None:
     """Wait until any query of the session stops, then stop the others.
 
     A job that keeps foreign messages aside runs two queries over one topic: neither may go on without the other, or
-    messages would be lost. An error of the query that stopped is raised.
+    messages would be lost. An error of the query that stopped is raised. Queries that stopped earlier in the session count,
+    unless ``spark.streams.resetTerminated()`` was called before the job's were started.
     """
     try:
         spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()
