@@ -2,7 +2,6 @@
 
 import re
 import zlib
-from collections import Counter
 
 import pytest
 import regex
