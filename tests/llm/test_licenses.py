@@ -93,3 +93,40 @@ def test_a_megabyte_of_licences_takes_seconds(spark, unit):
     started = time.time()
     licenses.scan(docs).collect()
     assert time.time() - started < 30
+
+
+BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
+PUNCTUATED = [
+    None,
+    "",
+    "Released Under\n(the) MIT-License, 2.0",
+    "under the MIT license; UNDER The mit license",
+    "the MIT License",
+    'the "MIT" License of CC BY-NC',
+    "thunder the MIT license",
+    "under the MIT licenses",
+    "cc_by\0nc cc by nc. Apache License, Version 2.0",
+    "Apache License Version 20",
+    "\u017f under the M\u0130T license \u00e9under the MIT license",
+]
+
+
+def base_places(text):
+    words = re.findall(r"[a-z0-9\x80-\U0010ffff]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+    places = [
+        (i, label)
+        for phrase, label in BASE
+        for i in range(len(words))
+        if words[i : i + len(phrase.split())] == phrase.split()
+    ]
+    starts = [i for i, _ in places]
+    return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
+
+
+def test_base_phrases_as_the_contract_words_them(spark):
+    docs = spark.createDataFrame(list(enumerate(PUNCTUATED)), "doc_id long, text string")
+    found = {PUNCTUATED[r.doc_id]: r for r in licenses.scan(docs).collect()}
+    assert {t: tuple(r)[1:6] for t, r in found.items()} == {t: base_places(t) for t in PUNCTUATED}
+    # what is no base phrase may still be named by a rule
+    assert found["the MIT License"].labels == "mit"
+    assert found['the "MIT" License of CC BY-NC'].labels == "cc-by-nc,mit"

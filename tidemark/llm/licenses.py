@@ -28,7 +28,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # in lower-cased text
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-PHRASES = [("the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
+PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 
 # Licences: label, keywords of the title, title, version (empty: none), identifier, link. Hand-written, lower case. Every
 # match of the title holds one of the keywords, which are without blanks, as any white space may stand between words.
@@ -205,6 +205,7 @@ SIGNATURES = [
     ("apache-2", 2, 0.8, "apache", r"\bapache software licen[cs]e,? (?:version |v\.? ?)?2(?:\.0)?(?![\w]|\.\d)"),
     ("apache-1.1", 2, 0.8, "apache", r"\bapache(?: software)? licen[cs]e,? (?:version |v\.? ?)?1\.1"),
     ("mit", 2, 0.8, "licen", r"\b(?:mit|expat)[- ](?:style )?licen[cs]ed?(?!\w)"),
+    ("mit", 2, 0.8, "licen", rf"(?<!{WORD[:-1]})the{GAP}mit{GAP}license(?!{WORD[:-1]})"),
     ("mit", 2, 0.8, "mit/x11", r"\bmit/x11(?: licen[cs]e)?(?!\w)"),
     ("mit", 2, 0.7, "x11", r"\bx11 licen[cs]e(?!\w)"),
     ("mit", 3, 0.6, "opensource", r"opensource\.org/licenses?/mit"),
