@@ -3,8 +3,10 @@
 A document's set is its distinct five-word shingles. Equal sets form one class at once. Classes are joined through
 posting lists of their rare shingles: with shingles ordered from rare to frequent, two sets of Jaccard similarity t or
 more share a shingle among the first n - ceil(2 t n / (1 + t)) + 1 of the smaller set and the first n - ceil(t n) + 1 of
-the larger one. Frequencies are counted over all documents in a table of fixed size; the order they give is the same
-for all sets, so it decides the cost and never the result.
+the larger one. Frequencies are counted over all documents in a table that has a place for each shingle of a small corpus
+and a fixed size from ``most_buckets`` on; the order they give is the same for all sets, so it decides the cost and never
+the result. Order is by the count in steps of 9 %, so a shingle that tens of documents share mostly comes behind those of
+one document also where each place holds many shingles.
 
 * Lists are dealt by shingle into parts of a bounded size on average, joined one after another in numpy. A list is never
   split: that of one shingle is sorted in one task, however long. Its postings are sorted by (set size, position), pairs of
@@ -17,8 +19,9 @@ for all sets, so it decides the cost and never the result.
   between different components are compared. No pair between components is left out, so components are whole; pairs
   within one are not all compared, so the links found are some of all, enough to connect every component. The number of
   links of a set is not known, and no set's own answers are kept or derived.
-* A candidate's parities (of 256 classes of shingles, which hold an odd number) bound the difference of the two sets from
-  below and rule out most pairs before any text is moved.
+* A candidate's parities (of classes of shingles, which hold an odd number) bound the difference of the two sets from below
+  and rule out nearly all other pairs before any text is moved: first those of 256 classes, which say nothing of sets of
+  more than about 450 shingles, then those of as many classes as a set has shingles.
 * Candidates are verified exactly on the sets rebuilt from the whole texts. Only texts with a candidate are moved; a
   bitmap of fixed size, broadcast, keeps nearly all others from the shuffle.
 
@@ -46,11 +49,13 @@ from tidemark.llm.store import written
 
 U = np.uint64
 PARITY = ["parity0", "parity1", "parity2", "parity3"]
-SETS = f"doc_id long, text_hash long, n long, set_id long, {' long, '.join(PARITY)} long, block int, counts binary"
+SETS = f"doc_id long, text_hash long, n long, set_id long, {' long, '.join(PARITY)} long, odd binary, block int, counts binary"
 POSTINGS = "part int, postings binary"
 FOUND = "a long, b long, token long, n long, place long"
 TEXTS = "set_id long, doc_id long, text_hash long, body binary"
 LINKS = "a long, b long, linked boolean"
+PAIRS = "a long, b long, a_doc long, a_hash long, b_doc long, b_hash long"
+BLOCKS = 64  # of the frequency table
 POSTING = np.dtype([("token", "u8"), ("set", "u8"), ("n", "u4"), ("place", "u4")])
 
 
@@ -58,9 +63,11 @@ POSTING = np.dtype([("token", "u8"), ("set", "u8"), ("n", "u4"), ("place", "u4")
 class Settings:
     width: int = 5
     percent: int = 75  # link when 100 * intersection >= percent * union
-    buckets: int = 1 << 20  # frequency table
+    buckets: int = 1 << 20  # frequency table, at least
+    most_buckets: int = 1 << 24  # and at most
     per_part: int = 400_000  # postings a task joins at once
     flush: int = 1_000_000  # postings a task holds before it sends them
+    counted: int = 4_000_000  # shingles a task holds before it sends their counts
     short: int = 8  # longest list whose pairs are compared directly
     near: int = 3  # neighbours in a longer list
     bitmap: int = 1 << 25  # bits that tell which texts have candidates
@@ -87,9 +94,25 @@ def set_id(tokens: np.ndarray) -> int:
 
 
 def parities(tokens: np.ndarray) -> np.ndarray:
-    """Of 256 classes of shingles, which hold an odd number; two sets differ in as many shingles at least as bits here."""
-    odd = np.bincount((tokens >> U(8)).astype(np.int64) & 255, minlength=256) & 1
-    return np.packbits(odd.astype("u1")).view(np.int64)
+    """Of as many classes as there are shingles (a power of two, 256 at least), which hold an odd number, as packed bits.
+
+    Two sets differ in as many shingles at least as bits here. A shingle's class among fewer ones is the rest of its class.
+    """
+    n = max(256, 1 << max(0, len(tokens) - 1).bit_length())
+    odd = np.bincount(((tokens >> U(8)) & U(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype("u1"))
+
+
+def folded(odd: np.ndarray, size: int) -> np.ndarray:
+    """The parities of fewer classes, of ``size`` bytes."""
+    return np.bitwise_xor.reduce(odd.reshape(-1, size), axis=0)
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """In how many shingles two sets differ at least, by their parities."""
+    size = min(len(x), len(y))
+    x, y = (folded(np.frombuffer(z, "u1"), size) for z in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def may_link(a: str, b: str, s: Settings) -> Column:
@@ -112,17 +135,47 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def pack_counts(held: list[np.ndarray], s: Settings) -> tuple[list[int], list[bytes]]:
+    """For each block of the frequency table that has any: which places were met, and how often."""
+    places, counts = np.unique(np.concatenate(held), return_counts=True)
+    step = s.most_buckets // BLOCKS
+    edges = np.searchsorted(places, np.arange(BLOCKS + 1) * step)
+    blocks = [i for i in range(BLOCKS) if edges[i] < edges[i + 1]]
+    packed = []
+    for i in blocks:
+        own = slice(edges[i], edges[i + 1])
+        both = np.stack([np.diff(places[own], prepend=np.uint32(i * step)), counts[own].astype("u4")])
+        planes = np.ascontiguousarray(both.view("u1").reshape(2, -1, 4).transpose(0, 2, 1))
+        packed.append(zstandard.compress(planes.tobytes(), 1))
+    return blocks, packed
+
+
+def unpack_counts(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The places within a block, each once, and their counts."""
+    planes = np.frombuffer(zstandard.decompress(packed), "u1").reshape(2, 4, -1)
+    gaps, counts = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("u4")[:, :, 0]
+    return np.cumsum(gaps, dtype=np.int64), counts.astype(np.int64)
+
+
 def describe_sets(rows: DataFrame, s: Settings) -> DataFrame:
-    """A row for each document (its set's size and id) and, per task, its part of the frequency table."""
-    step = s.buckets // 16
+    """A row for each document (its set's size, id and parities) and, per task, its part of the frequency table."""
+    names = ["doc_id", "text_hash", "n", "set_id", *PARITY, "odd", "block", "counts"]
+
+    def counts(held: list[np.ndarray]) -> pa.RecordBatch:
+        blocks, packed = pack_counts(held, s)
+        nothing = [pa.nulls(len(blocks), pa.int64())] * 8
+        columns = [*nothing, pa.nulls(len(blocks), pa.binary()), pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(s.buckets, np.int64)
-        shift = U(64 - (s.buckets.bit_length() - 1))
+        shift = U(64 - (s.most_buckets.bit_length() - 1))
+        held: list[np.ndarray] = []
+        size = 0
         for part in slices(batches):
             sets = sets_of(part.column(2), s.width)
-            every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            counts += np.bincount((every >> shift).astype(np.int64), minlength=s.buckets)
+            held.append((np.concatenate(sets) >> shift).astype("u4"))
+            size += len(held[-1])
+            odd = [parities(x) for x in sets]
             nothing = pa.nulls(len(sets))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -130,46 +183,45 @@ def describe_sets(rows: DataFrame, s: Settings) -> DataFrame:
                     part.column(1),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([set_id(x) for x in sets], pa.int64()),
-                    *[pa.array(x) for x in np.stack([parities(x) for x in sets]).T],
+                    *[pa.array(x) for x in np.stack([folded(x, 32).view(np.int64) for x in odd]).T],
+                    pa.array([x.tobytes() for x in odd], pa.binary()),
                     nothing.cast(pa.int32()),
                     nothing.cast(pa.binary()),
                 ],
-                names=["doc_id", "text_hash", "n", "set_id", *PARITY, "block", "counts"],
-            )
-        if counts.any():
-            packed = [
-                zstandard.compress(np.minimum(counts[i * step : (i + 1) * step], 2**32 - 1).astype("u4").tobytes(), 1)
-                for i in range(16)
-            ]
-            nothing = pa.nulls(16, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*[nothing] * 8, pa.array(range(16), pa.int32()), pa.array(packed, pa.binary())],
-                names=["doc_id", "text_hash", "n", "set_id", *PARITY, "block", "counts"],
+                names=names,
             )
+            if size >= s.counted:
+                yield counts(held)
+                held, size = [], 0
+        if size:
+            yield counts(held)
 
     return rows.mapInArrow(run, SETS)
 
 
-def frequency_classes(described: DataFrame, s: Settings) -> np.ndarray:
-    """For each bucket of shingles the bit length of its count over all documents; one byte a bucket."""
-    step = s.buckets // 16
+def frequency_classes(described: DataFrame, total: int, s: Settings) -> np.ndarray:
+    """For each bucket of shingles eight times the binary logarithm of its count over all documents; one byte a bucket.
+
+    There are as many buckets as the corpus has shingles (``total``), within the limits of the settings.
+    """
+    buckets = min(s.most_buckets, max(s.buckets, BLOCKS, 1 << max(0, total - 1).bit_length()))
+    fold, step = s.most_buckets // buckets, buckets // BLOCKS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts = np.frombuffer(zstandard.decompress(packed), "u4")
-                sums.setdefault(block, np.zeros(step, np.int64))
-                sums[block] += counts
+                places, counts = unpack_counts(packed)
+                np.add.at(sums.setdefault(block, np.zeros(step, np.int64)), places // fold, counts)
         for block, counts in sums.items():
-            classes = np.ceil(np.log2(counts + 1)).astype("u1").tobytes()
+            classes = np.minimum(8 * np.log2(counts + 1), 255).astype("u1").tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int32()), pa.array([classes], pa.binary())], names=["block", "classes"]
             )
 
-    parts = described.where("block IS NOT NULL").select("block", "counts").repartition(16, "block")
+    parts = described.where("block IS NOT NULL").select("block", "counts").repartition(BLOCKS, "block")
     found = {row.block: row.classes for row in parts.mapInArrow(run, "block int, classes binary").collect()}
-    return np.frombuffer(b"".join(found.get(i, bytes(step)) for i in range(16)), "u1")
+    return np.frombuffer(b"".join(found.get(i, bytes(step)) for i in range(BLOCKS)), "u1")
 
 
 def pack(postings: np.ndarray) -> bytes:
@@ -192,7 +244,7 @@ def unpack(packed: bytes) -> np.ndarray:
 
 def posting_lists(rows: DataFrame, classes: np.ndarray, parts: int, s: Settings) -> DataFrame:
     """The rare shingles of every set, as one packed row for each task and part of the shingles."""
-    table = rows.sparkSession.sparkContext.broadcast(classes)  # one byte a bucket, of fixed size
+    table = rows.sparkSession.sparkContext.broadcast(classes)  # one byte a bucket, of bounded size
 
     def flush(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         every = np.concatenate(held)
@@ -208,7 +260,8 @@ def posting_lists(rows: DataFrame, classes: np.ndarray, parts: int, s: Settings)
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, shift = table.value.astype(np.uint64), U(64 - (s.buckets.bit_length() - 1))
+        classes = table.value
+        shift = U(64 - (len(classes).bit_length() - 1))
         held: list[np.ndarray] = []
         size, seen = 0, set()
         for part in slices(batches):
@@ -218,7 +271,8 @@ def posting_lists(rows: DataFrame, classes: np.ndarray, parts: int, s: Settings)
                 if not n or own in seen:
                     continue
                 seen.add(own)
-                ordered = np.sort((classes[(tokens >> shift).astype(np.int64)] << U(58)) | (tokens & U((1 << 58) - 1)))
+                own_classes = classes[(tokens >> shift).astype(np.int64)].astype(np.uint64)
+                ordered = np.sort((own_classes << U(56)) | (tokens & U((1 << 56) - 1)))
                 ordered = ordered[: int(s.probe(n))]
                 new = np.empty(len(ordered), POSTING)
                 new["token"], new["set"], new["n"], new["place"] = ordered, np.int64(own).view(U), n, np.arange(len(ordered))
@@ -420,13 +474,30 @@ class Joined:
     roots: DataFrame
 
 
+def by_parities(pairs: DataFrame, s: Settings) -> DataFrame:
+    """The pairs whose own parities (a_odd, b_odd) allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1024):
+            both = zip(part.column("a_odd").to_pylist(), part.column("b_odd").to_pylist(), strict=True)
+            apart = np.fromiter((differing(x, y) for x, y in both), np.int64, part.num_rows)
+            sizes = part.column("a_n").to_numpy() + part.column("b_n").to_numpy()
+            keep = (100 + s.percent) * apart <= (100 - s.percent) * sizes
+            yield part.select(["a", "b", "a_doc", "a_hash", "b_doc", "b_hash"]).filter(pa.array(keep))
+
+    return pairs.mapInArrow(run, PAIRS)
+
+
 def _verify(rows: DataFrame, classes: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
     """The links among the pairs. Each class is stood for by one document, whose text alone is moved."""
     for side in ("a", "b"):
-        names = {"doc_id": "doc", "text_hash": "hash", "n": "n", **{name: name for name in PARITY}}
+        names = {"doc_id": "doc", "text_hash": "hash", "n": "n", "odd": "odd", **{name: name for name in PARITY}}
         own = classes.select(F.col("set_id").alias(side), *[F.col(k).alias(f"{side}_{v}") for k, v in names.items()])
         pairs = pairs.join(own, side)
-    pairs = written(pairs.where(may_link("a_", "b_", s)).select("a", "b", "a_doc", "a_hash", "b_doc", "b_hash"), "pairs")
+    pairs = pairs.where(may_link("a_", "b_", s)).drop(*[f"{side}_{name}" for side in "ab" for name in PARITY])
+    pairs = written(by_parities(pairs, s), "pairs")
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
     involved = [pairs.select(F.col(f"{x}_doc").alias("doc_id"), F.col(f"{x}_hash").alias("text_hash")) for x in "ab"]
     texts = written(texts_of(rows, involved[0].union(involved[1]), s), "texts")
     return written(verified(pairs, texts, s), "verified")
@@ -442,13 +513,14 @@ def join_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         .groupBy("set_id")
         .agg(
             F.min(F.struct("doc_id", "text_hash")).alias("one"),
-            *[F.max(name).alias(name) for name in ("n", *PARITY)],  # the same in all rows of a class
+            *[F.max(name).alias(name) for name in ("n", *PARITY, "odd")],  # the same in all rows of a class
         )
-    ).select("set_id", "one.doc_id", "one.text_hash", "n", *PARITY)
+    ).select("set_id", "one.doc_id", "one.text_hash", "n", *PARITY, "odd")
     classes = written(classes, "classes")
-    total = classes.agg(F.sum(F.floor(F.col("n") * (100 - s.percent) / 100) + 1)).first()[0] or 0
-    parts = max(1, -(-int(total) // s.per_part))
-    lists = posting_lists(rows, frequency_classes(described, s), parts, s)
+    probes = F.sum(F.floor(F.col("n") * (100 - s.percent) / 100) + 1)
+    total, shingles = classes.agg(probes, F.sum("n")).first()
+    parts = max(1, -(-int(total or 0) // s.per_part))
+    lists = posting_lists(rows, frequency_classes(described, shingles or 0, s), parts, s)
     found = written(join_lists(lists, parts, s), "found")
     pairs = written(found.where("b IS NOT NULL").select("a", "b").distinct(), "pairs")
     links = _verify(rows, classes, pairs, s)
