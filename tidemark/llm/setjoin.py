@@ -136,16 +136,20 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def pack_counts(held: list[np.ndarray], s: Settings) -> tuple[list[int], list[bytes]]:
-    """For each block of the frequency table that has any: which places were met, and how often."""
-    places, counts = np.unique(np.concatenate(held), return_counts=True)
+    """For each block of the frequency table that has any: which places were met, and how often. Empties ``held``."""
+    every = np.concatenate(held)
+    held.clear()
+    every.sort()
     step = s.most_buckets // BLOCKS
-    edges = np.searchsorted(places, np.arange(BLOCKS + 1) * step)
-    blocks = [i for i in range(BLOCKS) if edges[i] < edges[i + 1]]
-    packed = []
-    for i in blocks:
-        own = slice(edges[i], edges[i + 1])
-        both = np.stack([np.diff(places[own], prepend=np.uint32(i * step)), counts[own].astype("u4")])
+    starts = np.searchsorted(every, (np.arange(BLOCKS) * step).astype("u4"))
+    blocks, packed = [], []
+    for i, own in enumerate(np.split(every, starts[1:])):
+        if not len(own):
+            continue
+        places, counts = np.unique(own, return_counts=True)
+        both = np.stack([np.diff(places, prepend=np.uint32(i * step)), counts.astype("u4")])
         planes = np.ascontiguousarray(both.view("u1").reshape(2, -1, 4).transpose(0, 2, 1))
+        blocks.append(i)
         packed.append(zstandard.compress(planes.tobytes(), 1))
     return blocks, packed
 
@@ -192,7 +196,7 @@ def describe_sets(rows: DataFrame, s: Settings) -> DataFrame:
             )
             if size >= s.counted:
                 yield counts(held)
-                held, size = [], 0
+                size = 0
         if size:
             yield counts(held)
 
